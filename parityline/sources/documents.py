@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed value: name given to a config entry that has none.
 NO_TABLE = "NO TABLE"
@@ -37,17 +38,22 @@ def listed_paths(spark: SparkSession, list_files: str | list[str], base: str = "
     return spark.read.text(list_files).where(line != "").select(scheme.alias("path"))
 
 
-@F.pandas_udf("string")
-def _yaml_as_json(content: pd.Series) -> pd.Series:
-    try:
-        import yaml
-    except ImportError as error:
-        raise RuntimeError("reading YAML needs PyYAML on the executors") from error
-    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
-    return content.map(
-        lambda text: json.dumps(yaml.load(text, Loader=loader), default=str, ensure_ascii=False),
-        na_action="ignore",
-    )
+def _yaml_as_json(content: str) -> Column:
+    """YAML text as JSON text; the only step that needs Python."""
+
+    # A local function travels to the executors with the plan.
+    def convert(texts: pd.Series) -> pd.Series:
+        try:
+            import yaml
+        except ImportError as error:
+            raise RuntimeError("reading YAML needs PyYAML on the executors") from error
+        loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+        return texts.map(
+            lambda text: json.dumps(yaml.load(text, Loader=loader), default=str, ensure_ascii=False),
+            na_action="ignore",
+        )
+
+    return F.pandas_udf(convert, StringType())(content)
 
 
 def _key_list(raw: Column) -> Column:
@@ -79,9 +85,7 @@ def ingestion_keys(docs: DataFrame) -> DataFrame:
         F.when(named, F.try_element_at("_entry", F.lit("target_table")))
         .otherwise(NO_TABLE)
         .alias("table"),
-        F.coalesce(_key_list(raw), F.when(raw.isNull(), F.array().cast("array<string>"))).alias(
-            "key_cols"
-        ),
+        _key_list(raw).alias("key_cols"),
     )
 
 
