@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parityline.functions.names import base_name, schema_part, source_name, staging_name
-from parityline.functions.text import SQL_KEYWORDS, section_end_pattern
+from parityline.functions.text import SQL_KEYWORDS, section_end_forms
 from parityline.operators import (
     compare,
     keys,
@@ -342,7 +342,7 @@ def _extraction_cte() -> str:
           SELECT concat(schema, '.', tbl) AS view_table,
                  CASE WHEN contains(description, '{heading}') THEN list_filter(string_split(cols, ','),
                    lambda c: contains(concat('{heading}',
-                     regexp_replace({tail}, '(?s)({section_end_pattern()}).*', '')), c))
+                     regexp_replace({tail}, '(?s)({'|'.join(section_end_forms())}).*', '')), c))
                    ELSE [] END AS found
           FROM models)"""
 

@@ -36,17 +36,33 @@ SQL_KEYWORDS = (
 )
 
 
-def section_end_pattern() -> str:
-    """Regex matching any ending heading: as is, unspaced or snake, in 3 cases."""
-    spaced = {h.replace(" ", sep) for h in SECTION_HEADINGS for sep in (" ", "", "_")}
-    forms = {f for s in spaced for f in (s, s.lower(), s.upper())}
-    return "|".join(re.escape(f).replace(r"\ ", " ") for f in sorted(forms))
+def _any_of(words: list[str]) -> str:
+    """Regex for any of ``words``, the first listed one winning at each place.
+
+    Words are grouped by initial and every four initials share a test, so a place
+    where no word starts is left after a few steps, however many words there are.
+    """
+    rests: dict[str, list[str]] = {}
+    for word in words:
+        rests.setdefault(word[0], []).append(re.escape(word[1:]).replace(r"\ ", " "))
+    initials = list(rests)
+    fours = [initials[i : i + 4] for i in range(0, len(initials), 4)]
+    return "|".join(
+        f"(?=[{''.join(four)}])(?:" + "|".join(f"{c}(?:{'|'.join(rests[c])})" for c in four) + ")"
+        for four in fours
+    )
+
+
+def section_end_forms() -> list[str]:
+    """The ending headings: as is, unspaced or snake, each in three cases."""
+    spaced = [h.replace(" ", sep) for h in SECTION_HEADINGS for sep in (" ", "", "_")]
+    return list(dict.fromkeys(f for s in spaced for f in (s, s.lower(), s.upper())))
 
 
 def key_section(description: Column) -> Column:
     """Text from the last key heading up to the next heading; null without one."""
     tail = F.substring_index(description, KEY_HEADING, -1)
-    body = F.get(F.split(tail, section_end_pattern(), 2), F.lit(0))
+    body = F.get(F.split(tail, _any_of(section_end_forms()), 2), F.lit(0))
     return F.when(F.contains(description, F.lit(KEY_HEADING)), F.concat(F.lit(KEY_HEADING), body))
 
 
@@ -73,18 +89,15 @@ def without_comment_lines(sql: Column) -> Column:
 def first_keyword(code: Column, loose: bool = False) -> Column:
     """First listed keyword standing between blanks, all lower or all upper case.
 
-    ``code`` should be a plain column, as it is tested many times. With ``loose``
-    it must come from ``loosened``, and longer keywords are tried first.
+    One pass finds all keywords; the blank after a keyword may also open the
+    next one. With ``loose`` the code must come from ``loosened``, and longer
+    keywords go first.
     """
-    words = SQL_KEYWORDS
-    if loose:
-        words = sorted(words, key=lambda w: -w.count(" "))
-
-    def present(word: str) -> Column:
-        hit = F.contains(code, F.lit(f" {word} "))
-        return hit if loose else hit | F.contains(code, F.lit(f" {word} ".upper()))
-
-    return F.coalesce(*[F.when(present(w), F.lit(w)) for w in words])
+    words = sorted(SQL_KEYWORDS, key=lambda w: -w.count(" ")) if loose else list(SQL_KEYWORDS)
+    forms = words if loose else words + [w.upper() for w in words]
+    found = F.array_distinct(F.regexp_extract_all(code, F.lit(f" (?=({_any_of(forms)}) )"), F.lit(1)))
+    listed = F.array(*[F.lit(w) for w in words])
+    return F.get(F.array_intersect(listed, F.transform(found, F.lower)), F.lit(0))
 
 
 def loosened(code: Column) -> Column:
