@@ -51,8 +51,10 @@ def attach_keys(
     tickets, of which many may share a name, are joined to that result once.
     """
     names = tickets.select(name).where(F.col(name).isNotNull()).distinct()
-    per_name = left_lookup(names, _ingestion_rows(names, ingestion_keys, name), name)
-    per_name = left_lookup(per_name, _view_rows(names, view_keys, name, exact), name)
+    # Each name occurs once here, so plain joins on one partitioning will do.
+    per_name = names.join(_ingestion_rows(names, ingestion_keys, name), name, "left").join(
+        _view_rows(names, view_keys, name, exact), name, "left"
+    )
     ingested, viewed = F.col("key_cols"), F.col("view_key_cols")
     if empty_is_missing:
         ingested, viewed = (F.when(F.size(c) > 0, c) for c in (ingested, viewed))

@@ -1,0 +1,29 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from parityline.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = local_session(
+        "tests",
+        4,
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+def rows(df, *columns):
+    """Sorted tuples of the given columns, or all."""
+    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=repr)

@@ -1,0 +1,119 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from parityline.functions.names import base_name, schema_part, source_name, staging_name, staging_table
+from parityline.operators import tickets
+from parityline.sources.tickets import EXPORT_COLUMNS, load_tickets
+
+HEADER = list(EXPORT_COLUMNS)
+
+
+def write_export(path, lines):
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    return str(path)
+
+
+def test_export_with_line_breaks_and_repeated_headers(spark, tmp_path):
+    head = ",".join(["Summary", "Comment", "Comment", *(f'"{h}"' for h in HEADER)])
+    path = write_export(
+        tmp_path / "e.csv",
+        [
+            head,
+            '"two\nlines, ""quoted""",c1,c2,core.a,prod.silver.a_vw,Done,No,T-1',
+            "plain,,,core.b,,Done,,T-2",
+            "plain,,,core.c,nodots,Open,Yes,T-3",
+        ],
+    )
+    got = load_tickets(spark, path)
+    assert [t for _, t in got.dtypes] == ["string"] * 6
+    assert rows(got) == [
+        ("core.a", "prod.silver.a_vw", "Done", "No", "T-1", "silver"),
+        ("core.b", None, "Done", None, "T-2", None),
+        ("core.c", "nodots", "Open", "Yes", "T-3", None),
+    ]
+
+
+def test_missing_export(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        load_tickets(spark, str(tmp_path / "none.csv"))
+
+
+@pytest.fixture(scope="module")
+def some(spark):
+    return spark.createDataFrame(
+        [
+            ("T-1", "Done", "No", "prod.silver.a_vw"),
+            ("T-2", "Done", None, "prod.gold.b_vw"),
+            ("T-3", "Done", "Yes", "prod.gold.c_vw"),
+            ("T-4", "Done", "No", None),
+            ("T-5", "Done", "No", "prod.static.d"),
+            ("T-6", "Won't Do", "No", "prod.gold.e_vw"),
+            ("T-7", None, None, None),
+            ("T-8", "Open", "No", "dev.gold.f_vw"),
+        ],
+        "issue_key string, status string, is_table_replaced string, eds_equivalent_table string",
+    )
+
+
+def test_target_tickets(some):
+    assert rows(tickets.target_tickets(some), "issue_key", "is_table_replaced") == [
+        ("T-1", "No"),
+        ("T-2", "not_updated"),
+    ]
+
+
+def test_funnel_is_one_row(some):
+    assert tickets.ticket_funnel(some).first().asDict() == {
+        "total": 8,
+        "done": 5,
+        "wont_do": 1,
+        "name_missing": 1,
+        "name_present": 4,
+        "replaced": 1,
+        "not_replaced": 2,
+        "replaced_unknown": 1,
+        "target": 2,
+    }
+
+
+def test_counts_and_names(some):
+    assert dict(rows(tickets.status_counts(some))) == {"Done": 5, "Won't Do": 1, None: 1, "Open": 1}
+    assert dict(rows(tickets.replaced_counts(some))) == {"No": 2, "Yes": 1, "not_updated": 1}
+    assert rows(tickets.nonstandard_names(some), "issue_key") == [("T-8",)]
+
+
+def apply(spark, rule, *names):
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    return [r[0] for r in df.select(rule(F.col("n"))).collect()]
+
+
+def test_name_rules(spark):
+    assert apply(spark, schema_part, "a.b.c", "a", None, "a.b", "") == ["b", None, None, "b", None]
+    assert apply(spark, lambda c: source_name(c, "wh.src_"), "s.t", None) == ["wh.src_s.t", None]
+    cells = ["prod.gold.x_vw", "prod.gold_base.x_vw", "prod.silver.a_vw/ prod.gold.b_vw", "prod.bi.x_vw "]
+    assert apply(spark, base_name, *cells, None) == [
+        "prod.gold_base.x",
+        "prod.gold_base_base.x",
+        "prod.silver_base.a_vw/ prod.gold_base.b",
+        "prod.bi.x_vw ",
+        None,
+    ]
+    assert apply(spark, lambda c: base_name(c, tidy=True), *cells, "p.gold.golden_vw") == [
+        "prod.gold_base.x",
+        "prod.gold_base.x",
+        "prod.silver_base.a/prod.gold_base.b",
+        "prod.bi.x",
+        "p.gold_base.golden",
+    ]
+    assert apply(spark, staging_name, "c.s.t", "s.t", "a.b.c.d", None, "a..c") == [
+        "dev.general.s_t_cw",
+        None,
+        None,
+        None,
+        "dev.general._c_cw",
+    ]
+    assert staging_table("c.s.t") == "dev.general.s_t_cw"
+    for bad in ("s.t", "", None):
+        with pytest.raises(ValueError):
+            staging_table(bad)
