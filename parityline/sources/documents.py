@@ -14,6 +14,11 @@ from pyspark.sql.types import StringType
 NO_TABLE = "NO TABLE"
 
 
+def _plain_path(path: Column) -> Column:
+    """Local paths without their scheme, so listed and found paths compare."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def read_documents(
     spark: SparkSession, paths: str | list[str], only: DataFrame | None = None
 ) -> DataFrame:
@@ -22,9 +27,10 @@ def read_documents(
     ``paths`` may be files, folders or globs. ``only`` restricts them to the
     paths in its ``path`` column, as a join and not as a list on the driver.
     """
-    docs = spark.read.text(paths, wholetext=True, recursiveFileLookup=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")
-    )
+    found = spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+    # Spark reports paths as URIs, in which a plus sign stands for itself.
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    docs = found.select(_plain_path(path).alias("path"), F.col("value").alias("content"))
     if only is not None:
         docs = docs.join(only.select("path").distinct(), "path", "left_semi")
     return docs
@@ -33,9 +39,8 @@ def read_documents(
 def listed_paths(spark: SparkSession, list_files: str | list[str], base: str = "") -> DataFrame:
     """Paths from files that list one per line, below ``base``, for ``only``."""
     line = F.trim("value")
-    path = F.concat(F.lit(base), line)
-    scheme = F.when(F.startswith(path, F.lit("/")), F.concat(F.lit("file://"), path)).otherwise(path)
-    return spark.read.text(list_files).where(line != "").select(scheme.alias("path"))
+    path = _plain_path(F.concat(F.lit(base), line))
+    return spark.read.text(list_files).where(line != "").select(path.alias("path"))
 
 
 def _yaml_as_json(content: str) -> Column:

@@ -1,0 +1,96 @@
+import json
+
+import pytest
+from conftest import rows
+
+from parityline.sources.documents import (
+    ingestion_keys,
+    listed_paths,
+    load_view_keys,
+    read_documents,
+    view_keys,
+    view_models,
+)
+
+CONFIG = """
+configurations:
+- target_table: header
+  key_columns: [skipped]
+- target_table: listed
+  key_columns: [a, b]
+- target_table: mapped
+  key_columns: {snapshots: [s], other: [o]}
+- target_table: keyless
+- key_columns: [x, x]
+- target_table: scalar
+  key_columns: id
+- target_table: 2024-01-01
+  key_columns: [1, yes]
+"""
+
+
+def put(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def test_ingestion_configs(spark, tmp_path):
+    put(tmp_path / "one.yml", CONFIG)
+    put(tmp_path / "sub/two.yml", "configurations: []\n")
+    put(tmp_path / "sub/three.yml", "other: 1\n")
+    got = ingestion_keys(read_documents(spark, str(tmp_path)))
+    assert got.dtypes == [("table", "string"), ("key_cols", "array<string>")]
+    assert rows(got) == [
+        ("2024-01-01", ["1", "true"]),
+        ("NO TABLE", ["x", "x"]),
+        ("keyless", []),
+        ("listed", ["a", "b"]),
+        ("mapped", ["s"]),
+        ("scalar", []),
+    ]
+
+
+def test_broken_yaml_is_reported(spark, tmp_path):
+    put(tmp_path / "bad.yml", "configurations: [a\n")
+    with pytest.raises(Exception, match="while parsing"):
+        ingestion_keys(read_documents(spark, str(tmp_path))).collect()
+
+
+def test_only_listed_files(spark, tmp_path):
+    for name in ("a", "b", "c", "d e+f%20"):
+        put(tmp_path / f"repo/{name}.sql", f"select '{name}'\nfrom t")
+    lists = put(tmp_path / "list.txt", "repo/a.sql\n\n  repo/c.sql  \nrepo/d e+f%20.sql")
+    only = listed_paths(spark, lists, f"{tmp_path}/")
+    docs = read_documents(spark, str(tmp_path / "repo"), only)
+    assert rows(docs, "content") == [("select 'a'\nfrom t",), ("select 'c'\nfrom t",), ("select 'd e+f%20'\nfrom t",)]
+
+
+def test_view_key_objects(spark, tmp_path):
+    put(tmp_path / "k1.json", json.dumps({"s.a": ["x", "y"], "s.b": []}, indent=4))
+    put(tmp_path / "k2.json", '{"s.c": ["old"], "s.c": ["new"]}')
+    put(tmp_path / "k3.json", "{}")
+    want = [("s.a", ["x", "y"]), ("s.b", []), ("s.c", ["new"])]
+    assert rows(load_view_keys(spark, str(tmp_path))) == want
+    assert rows(view_keys(read_documents(spark, str(tmp_path / "*.json")))) == want
+
+
+def test_no_view_key_file_gives_typed_rows(spark, tmp_path):
+    none = load_view_keys(spark, str(tmp_path / "none.json"))
+    assert none.dtypes == [("view_table", "string"), ("view_key_cols", "array<string>")]
+    assert none.count() == 0
+
+
+def test_view_models(spark, tmp_path):
+    put(
+        tmp_path / "repo/gold.v2/models/items.v1.yml",
+        'models:\n- description: "Primary Key: id"\n  columns:\n  - name: id\n  - name: "2"\n- description: second\n',
+    )
+    put(tmp_path / "repo/gold/models/bare.yml", "models:\n- name: x\n")
+    put(tmp_path / "repo/gold/models/none.yml", "version: 2\n")
+    got = rows(view_models(read_documents(spark, str(tmp_path / "repo"))).drop("path"))
+    assert got == [
+        ("gold", "bare", "", None),
+        ("gold", "items", "Primary Key: id", ["id", "2"]),
+        ("gold", "none", "", None),
+    ]

@@ -1,0 +1,152 @@
+import random
+import re
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from parityline.functions.text import SECTION_HEADINGS, SQL_KEYWORDS, section_end_forms
+from parityline.operators.views import (
+    complexity_counts,
+    extraction_counts,
+    keys_from_descriptions,
+    view_complexity,
+    view_keys,
+)
+
+DOC = "path string, schema string, table string, description string, columns array<string>"
+
+
+def extract(spark, docs, **options):
+    rows_ = [(f"p{i}", "s", f"t{i}", d, c) for i, (d, c) in enumerate(docs)]
+    got = keys_from_descriptions(spark.createDataFrame(rows_, DOC), **options)
+    return [r.view_key_cols for r in got.orderBy(F.length("path"), "path").collect()]
+
+
+def test_section_rules(spark):
+    columns = ["id", "order_id", "part_id", "size"]
+    got = extract(
+        spark,
+        [
+            ("Primary Key: order_id, part_id. Not Null: size", columns),
+            ("Primary Key: part_id foreign_key size", columns),
+            ("Primary Key: size. Primary Key: order_id DATA GRAIN size", columns),
+            ("Primary Key: none", columns),
+            ("primary key: size", columns),
+            ("Primary Key: size", []),
+            ("Primary Key: size", None),
+            ("", columns),
+            (None, columns),
+            ("Primary Key: a\nb size\nchangelog id", columns),
+        ],
+    )
+    assert got == [
+        ["id", "order_id", "part_id"],
+        ["id", "part_id"],
+        ["id", "order_id"],
+        None, None, None, None, None, None,
+        ["size"],
+    ]
+
+
+def test_whole_words_option(spark):
+    docs = [("Primary Key: order_id, part_id.", ["id", "order_id", "part_id"])]
+    assert extract(spark, docs, whole_words=True) == [["order_id", "part_id"]]
+
+
+def test_headings_come_in_49_forms():
+    assert len(section_end_forms()) == 49
+    assert {"change_log", "FOREIGNKEY", "Data grain", "MEGA_EQUIVALENT_TABLE"} <= set(section_end_forms())
+    assert len(SECTION_HEADINGS) == 7
+
+
+def test_sections_equal_brute_force(spark):
+    rng = random.Random(5)
+    bits = ["Primary Key", "Primary", " Key", "id", "uid", "ts", " ", "\n", ".", "é", "C", "Not ", "null"]
+    bits += section_end_forms()
+    columns = ["id", "uid", "ts", "Key", "y", "Not"]
+    docs = [("".join(rng.choice(bits) for _ in range(rng.randint(0, 12))), columns) for _ in range(400)]
+
+    def brute(text):
+        before, heading, after = text.rpartition("Primary Key")
+        if not heading:
+            return None
+        cut = re.search("|".join(map(re.escape, section_end_forms())), after)
+        section = heading + (after[: cut.start()] if cut else after)
+        return [c for c in columns if c in section] or None
+
+    assert extract(spark, docs) == [brute(d) for d, _ in docs]
+
+
+def test_sources_are_skipped_and_last_path_wins(spark):
+    docs = spark.createDataFrame(
+        [
+            ("a", "s", "sources", "Primary Key: id", ["id"]),
+            ("b", "s", "t", "Primary Key: id", ["id"]),
+            ("c", "s", "t", "Primary Key: ts", ["ts"]),
+            ("d", "s", "u", "nothing", ["ts"]),
+        ],
+        DOC,
+    )
+    found = keys_from_descriptions(docs)
+    assert tuple(extraction_counts(found).first()) == (2, 1)
+    assert rows(view_keys(found)) == [("s.t", ["ts"])]
+
+
+def classify(spark, texts, **options):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, sql string")
+    return [r.keyword for r in view_complexity(df, **options).orderBy("i").collect()]
+
+
+def test_keyword_rules(spark):
+    assert classify(
+        spark,
+        [
+            "select a from t",
+            "select a from t JOIN u",
+            "select a from t Join u",
+            "a inner join b",
+            "a where x not in (1)",
+            "a union all b",
+            "a\n-- x join y\nb",
+            "a with b -- note\n c in d",
+            " in any ",
+            " any in ",
+            "join",
+            " join\n",
+            None,
+            "",
+            "a is not null b is null c",
+            "a group by b",
+        ],
+    ) == [
+        None, "join", None, "join", "in", "union", None, "in", "in", "in",
+        None, None, None, None, "is null", "group by",
+    ]
+    assert len(SQL_KEYWORDS) == len(set(SQL_KEYWORDS)) == 64
+
+
+def test_loose_keywords(spark):
+    texts = ["a Left Join\nb", "count(x)", "a\tunion  all b", "x not in(1)", "joined"]
+    assert classify(spark, texts, loose=True) == ["left join", "count", "union all", "not in", None]
+
+
+def test_keywords_equal_brute_force(spark):
+    rng = random.Random(6)
+    bits = list(SQL_KEYWORDS) + [w.upper() for w in SQL_KEYWORDS] + ["x", "joins", "In", "--", "\n", "", "é", "a.b"]
+    texts = [
+        "".join(rng.choice(bits) + rng.choice([" ", " ", "", "\n"]) for _ in range(rng.randint(0, 9)))
+        for _ in range(600)
+    ]
+
+    def brute(text):
+        code = "\n".join(line for line in text.split("\n") if "--" not in line)
+        return next((w for w in SQL_KEYWORDS if f" {w} " in code or f" {w.upper()} " in code), None)
+
+    assert classify(spark, texts) == [brute(t) for t in texts]
+
+
+def test_whole_texts_are_read(spark):
+    far = "x " * 500_000 + " join "
+    df = spark.createDataFrame([(1, far), (2, "x " * 500_000)], "i int, sql string")
+    assert tuple(complexity_counts(view_complexity(df)).first()) == (2, 1)
+    assert extract(spark, [("Primary Key " + "x" * 1_000_000 + " id", ["id"])]) == [["id"]]
