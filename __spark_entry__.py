@@ -149,6 +149,7 @@ def queries() -> dict[str, Query]:
         "match_ratio_reverse": _match("migrated", "legacy"),
         "match_ratio_bounded": _match(bounded=True),
         "match_ratio_null_safe": _match(null_safe=True, wide=True),
+        "match_ratio_typed": _match(typed=True, null_safe=True, wide=True),
         "match_ratio_pk_only": _match(columns=["pk"]),
         "match_ratio_dup_pk": _match_dup_pk,
         "match_ratio_array": _match_array,
@@ -387,6 +388,7 @@ def oracle_sql() -> dict[str, str]:
         "match_ratio_reverse": _ratio_sql(b2, "migrated", "legacy", ["pk"], _HASHED),
         "match_ratio_bounded": _ratio_sql(b2, "legacy", "migrated", ["pk"], _HASHED),
         "match_ratio_null_safe": _ratio_sql(b2, "legacy", "migrated", ["pk"], _HASHED),
+        "match_ratio_typed": _ratio_sql(b2, "legacy", "migrated", ["pk"], _HASHED),
         "match_ratio_pk_only": _ratio_sql(b2, "legacy", "migrated", ["pk"], ()),
         "match_ratio_dup_pk": _ratio_sql("", "lineitem", "lineitem", dup, ("l_returnflag",)),
         "match_ratio_array": _ratio_sql(

@@ -4,7 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DataType,
+    DateType,
+    MapType,
+    NumericType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+_PLAIN = (
+    NumericType, StringType, BooleanType, DateType, TimestampType, TimestampNTZType, BinaryType,
+)
 
 
 def _has_map(dtype: DataType) -> bool:
@@ -45,12 +61,15 @@ def row_hash(
     null_safe: bool = False,
     wide: bool = False,
     normalize_maps: bool = False,
+    typed: bool = False,
 ) -> Column:
     """Hash of ``columns`` cast to string; the constant 1 when there are none.
 
     The default is 32-bit Murmur3, which skips nulls. ``null_safe`` hashes each
     null flag too, ``wide`` uses 64 bits, and ``normalize_maps`` ignores the
-    order of map entries.
+    order of map entries. ``typed`` hashes plain values as they are: writing out
+    floating-point numbers is most of the work, and SQL equality does not need
+    it (it makes 0.0 and -0.0 equal). Nested values stay text.
     """
     if not columns:
         return F.lit(1)
@@ -59,8 +78,9 @@ def row_hash(
         col = F.col(f"`{name}`")
         if normalize_maps:
             col = sorted_maps(col, schema[name].dataType)
-        text = col.cast("string")
-        inputs += [text.isNull(), text] if null_safe else [text]
+        if not (typed and isinstance(schema[name].dataType, _PLAIN)):
+            col = col.cast("string")
+        inputs += [col.isNull(), col] if null_safe else [col]
     return (F.xxhash64 if wide else F.hash)(*inputs)
 
 

@@ -126,6 +126,21 @@ def test_map_order_matters_unless_normalized(spark):
     assert ratio(left, right, ["k"], normalize_maps=True).ratio == 1.0
 
 
+def test_typed_hash_agrees_on_every_type(pair, spark):
+    options = dict(typed=True, null_safe=True, wide=True, normalize_maps=True)
+    assert ratio(*pair, ["id", "region"], **options).ratio == 3 / 5
+    columns = """id, cast(id AS tinyint) AS a, cast(id AS decimal(20,3)) AS b, id / 3 AS c,
+        cast(id / 3 AS float) AS d, id % 2 = 0 AS e, date_add(date'2020-01-01', cast(id AS int)) AS f,
+        timestamp_micros(id) AS g, cast(timestamp_micros(id) AS timestamp_ntz) AS h,
+        cast(cast(id AS string) AS binary) AS i, make_dt_interval(0, 0, 0, id) AS j,
+        array(cast(null AS string), cast(id AS string)) AS k"""
+    left = spark.sql(f"SELECT {columns} FROM range(50)")
+    assert tuple(ratio(left, left, ["id"], **options)) == (1.0, 50, 50)
+    for name in left.columns[1:]:
+        shifted = left.withColumn("id", F.col("id") + 1).select("id", name)
+        assert ratio(left.select("id", name), shifted, ["id"], **options).ratio == 0.0, name
+
+
 def test_removed_rows_lower_the_ratio(spark):
     df = spark.range(200).select("id", (F.col("id") * 3).alias("v"))
     assert ratio(df, df, ["id"]).ratio == 1.0
