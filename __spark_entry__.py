@@ -235,11 +235,7 @@ def queries() -> dict[str, Query]:
             table(s, d, "lineitem").select("l_returnflag", "l_linestatus"), 1234
         ),
         "sample_to_size": lambda s, d: sampling.sample_to_size(
-            table(s, d, "orders"),
-            _ORDER_COLUMNS,
-            0.01,
-            order_by=["o_orderkey"],
-            keys=["o_orderkey"],
+            table(s, d, "orders"), _ORDER_COLUMNS, 0.01, keys=["o_orderkey"]
         ),
     }
 
@@ -283,7 +279,7 @@ def _batched_cte() -> str:
           SELECT *, CAST(floor(row_number() OVER (PARTITION BY eds_schema ORDER BY
                    CASE WHEN pks IS NULL THEN 1 ELSE 0 END,
                    md5(concat_ws('|', issue_key, tbl, view_table)), issue_key,
-                   tbl NULLS FIRST, view_table NULLS FIRST) / 20) AS INTEGER) AS batch_id
+                   tbl NULLS FIRST, view_table NULLS FIRST, pks) / 20) AS INTEGER) AS batch_id
           FROM merged WHERE NOT contains(eds_schema, '/'))"""
 
 
@@ -362,13 +358,13 @@ def _complexity_cte() -> str:
         classified AS (SELECT view_name, CASE {cases} END AS keyword FROM stripped)"""
 
 
-def _budget_cte(size_mb: float) -> str:
+def _budget_cte(size_mb: float, order: str) -> str:
     size = " + ".join(f"strlen(CAST({c} AS VARCHAR))" for c in _ORDER_COLUMNS)
     return f"""
         WITH budget AS (
           SELECT count(*) AS probed_rows, avg(b) AS avg_row_bytes,
                  CAST(floor({size_mb * 1024 * 1024} / avg(b)) AS BIGINT) AS row_budget
-          FROM (SELECT {size} AS b FROM orders ORDER BY o_orderkey LIMIT 100))"""
+          FROM (SELECT {size} AS b FROM orders ORDER BY {order} LIMIT 100))"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -494,7 +490,7 @@ def oracle_sql() -> dict[str, str]:
                      primary_keys := list_filter(string_split(pks, ','), lambda c: c <> ''),
                      batch_id := batch_id)
                    ORDER BY CASE rep WHEN 'No' THEN 0 ELSE 1 END, issue_key, tbl NULLS FIRST,
-                            view_table NULLS FIRST)) AS VARCHAR) AS document
+                            view_table NULLS FIRST, pks)) AS VARCHAR) AS document
             FROM batched WHERE pks IS NOT NULL GROUP BY eds_schema, batch_id""",
         "skipped_schemas": f"""{_merged_cte()}
             SELECT count_if(eds_schema IS NULL)::BIGINT AS null_schema,
@@ -516,13 +512,13 @@ def oracle_sql() -> dict[str, str]:
         "view_complexity": f"{_complexity_cte()} SELECT * FROM classified",
         "view_complexity_counts": f"""{_complexity_cte()}
             SELECT count(*) AS views, count(keyword) AS non_select_views FROM classified""",
-        "sample_row_budget": f"{_budget_cte(1)} SELECT * FROM budget",
+        "sample_row_budget": f"{_budget_cte(1, "o_orderkey")} SELECT * FROM budget",
         "sample_rows": f"""
             SELECT {order_columns} FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)) LIMIT 500""",
         "sample_rows_copies": """
             SELECT l_returnflag, l_linestatus FROM lineitem
             ORDER BY md5(concat_ws('|', l_returnflag, l_linestatus)) LIMIT 1234""",
-        "sample_to_size": f"""{_budget_cte(0.01)},
+        "sample_to_size": f"""{_budget_cte(0.01, "md5(CAST(o_orderkey AS VARCHAR))")},
             ordered AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR))) AS n
                         FROM orders)
             SELECT {order_columns} FROM ordered WHERE n <= (SELECT row_budget FROM budget)""",

@@ -25,7 +25,7 @@ def sample_row_budget(
     columns: list[str],
     size_mb: float,
     probe_rows: int = PROBE_ROWS,
-    order_by: list[str] | None = None,
+    order_by: list[str | Column] | None = None,
 ) -> DataFrame:
     """How many rows fit into ``size_mb``, judged by a few rows, as one row.
 
@@ -92,10 +92,14 @@ def sample_to_size(
     size_mb: float,
     *,
     probe_rows: int = PROBE_ROWS,
-    order_by: list[str] | None = None,
     keys: list[str] | None = None,
 ) -> DataFrame:
-    """A sample of the given columns that fits the size; lazy, budget included."""
-    chosen = df.select(*[f"`{c}`" for c in columns])
-    budget = sample_row_budget(df, columns, size_mb, probe_rows, order_by)
-    return sample_rows(chosen, budget.select("row_budget").scalar(), keys)
+    """A sample of the given columns that fits the size; lazy, budget included.
+
+    The row size is judged by the first rows of the sample's own order, so that
+    every evaluation of the budget gives the same number.
+    """
+    quoted = [F.col(f"`{c}`") for c in columns]
+    ordered = [digest(*[F.col(f"`{c}`") for c in keys or columns]), *quoted]
+    budget = sample_row_budget(df, columns, size_mb, probe_rows, ordered)
+    return sample_rows(df.select(*quoted), budget.select("row_budget").scalar(), keys)

@@ -47,7 +47,7 @@ VIEWS = {
         FROM assets WHERE p_size <= 35
         UNION ALL
         SELECT concat(layer, '.', substr(nm, 1, length(nm) - 1)), 'vid,vid2'
-        FROM assets WHERE p_size > 40 AND k > 9""",
+        FROM assets WHERE p_size > 40""",
     "legacy": """
         SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderkey END AS pk, o_custkey,
                CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderstatus END AS st,

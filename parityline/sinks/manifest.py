@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityline.operators.manifest import batch_documents
+from parityline.operators.manifest import batch_documents, not_replaced_first
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
@@ -16,9 +16,11 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
 def write_manifest_lines(manifest: DataFrame, path: str) -> None:
     """One row per JSON line, a folder per schema: few files for many batches.
 
-    The schema is also kept inside each line.
+    The schema is also kept inside each line; batches come in their order.
     """
-    rows = manifest.withColumn("schema", F.col("eds_schema"))
+    rows = manifest.withColumn("schema", F.col("eds_schema")).sortWithinPartitions(
+        "schema", "batch_id", not_replaced_first()
+    )
     rows.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("schema").json(path)
 
 
