@@ -48,7 +48,7 @@ def _row_counts(
     columns: list[str] | None,
     **options: bool,
 ) -> DataFrame:
-    """One row per (keys, hash) with its number of rows on either side.
+    """One ``_row`` of keys and hash with its number of rows on either side.
 
     Both sides go into a single aggregation instead of a join: one shuffle of
     key and hash only, no sort, each side read once, and copies of a row - even
@@ -59,29 +59,38 @@ def _row_counts(
     hashed = _columns_to_hash(left, right, keys, columns)
 
     def side(df: DataFrame, is_left: bool) -> DataFrame:
-        usable: Column = F.lit(True)
-        for k in keys:
-            usable = usable & F.col(f"`{k}`").isNotNull()
-        fingerprint = row_hash(df.schema, hashed, **options)
-        one, none = F.lit(1), F.lit(0)
-        if not is_left:
-            return df.where(usable).select(
-                *[F.col(f"`{k}`") for k in keys],
-                fingerprint.alias("_hash"), none.alias("_left"), one.alias("_right"),
-            )
+        usable = _all_known(keys)
+        row = F.struct(
+            *[F.col(f"`{k}`").alias(k) for k in keys],
+            row_hash(df.schema, hashed, **options).alias("_hash"),
+        )
+        if is_left:
+            row = F.when(usable, row)
+        else:
+            df = df.where(usable)
         return df.select(
-            *[F.when(usable, F.col(f"`{k}`")).alias(k) for k in keys],
-            F.when(usable, fingerprint).alias("_hash"), one.alias("_left"), none.alias("_right"),
+            row.alias("_row"),
+            F.lit(int(is_left)).alias("_left"),
+            F.lit(int(not is_left)).alias("_right"),
         )
 
+    # One struct as key keeps Spark from trying its small first-level map, which
+    # mostly unique rows only fill up.
     return (
         side(left, True)
         .unionByName(side(right, False))
-        .groupBy(*[f"`{k}`" for k in keys], "_hash")
+        .groupBy("_row")
         .agg(F.sum("_left").alias("left_rows"), F.sum("_right").alias("right_rows"))
     )
 
 
+def _all_known(keys: list[str]) -> Column:
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(f"`{k}`").isNotNull()
+    return known
+
+
 def match_ratio(
     left: DataFrame,
     right: DataFrame,
@@ -129,12 +138,9 @@ def row_matches(
     **options: bool,
 ) -> DataFrame:
     """Per distinct left row with a usable key: its copies and whether it matched."""
-    usable: Column = F.lit(True)
-    for k in keys:
-        usable = usable & F.col(f"`{k}`").isNotNull()
     counts = _row_counts(left, right, keys, columns, **options)
-    return counts.where((F.col("left_rows") > 0) & usable).select(
-        *[F.col(f"`{k}`") for k in keys],
+    return counts.where((F.col("left_rows") > 0) & F.col("_row").isNotNull()).select(
+        *[F.col("_row").getField(k).alias(k) for k in keys],
         "left_rows",
         "right_rows",
         (F.col("right_rows") > 0).alias("matched"),
