@@ -5,21 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parityline.operators.lookup import inner_lookup, left_lookup
-from parityline.operators.substring import listed_hits, substring_hits, suffix_hits
+from parityline.operators.lookup import left_lookup
+from parityline.operators.substring import names_containing, names_ending_with, names_listing
 
 NAME = "eds_equivalent_table"
 
 
 def _ingestion_rows(names: DataFrame, ingestion_keys: DataFrame, name: str) -> DataFrame:
-    hits = suffix_hits(names, ingestion_keys, name, "table")
-    return inner_lookup(hits, ingestion_keys.select("table", "key_cols"), "table")
+    return names_ending_with(names, ingestion_keys.select("table", "key_cols"), name, "table")
 
 
 def _view_rows(names: DataFrame, view_keys: DataFrame, name: str, exact: bool) -> DataFrame:
-    find = listed_hits if exact else substring_hits
-    hits = find(names, view_keys, name, "view_table")
-    return inner_lookup(hits, view_keys.select("view_table", "view_key_cols"), "view_table")
+    find = names_listing if exact else names_containing
+    return find(names, view_keys.select("view_table", "view_key_cols"), name, "view_table")
 
 
 def join_ingestion_keys(tickets: DataFrame, ingestion_keys: DataFrame, name: str = NAME) -> DataFrame:

@@ -4,14 +4,14 @@ import pytest
 from conftest import rows
 
 from parityline.operators.keys import attach_keys, join_ingestion_keys, join_view_keys, pk_coverage
-from parityline.operators.substring import substring_hits, suffix_hits
+from parityline.operators.substring import names_containing, names_ending_with, names_listing
 
 ROW = "issue_key string, eds_equivalent_table string"
 INGESTION = "table string, key_cols array<string>"
 VIEWS = "view_table string, view_key_cols array<string>"
 
 
-def test_substring_hits_equal_brute_force(spark):
+def test_names_containing_equal_brute_force(spark):
     rng = random.Random(11)
 
     def word(low, high):
@@ -19,17 +19,17 @@ def test_substring_hits_equal_brute_force(spark):
 
     names = [word(0, 30) for _ in range(150)] + [None, "", "é€𝄞.ab", "prod.silver.table_one_vw"]
     keys = [word(0, 14) for _ in range(80)] + [None, "", "€𝄞.a", "silver.table_on", "silver.table_one_vw"]
-    got = substring_hits(
+    got = names_containing(
         spark.createDataFrame([(n,) for n in names * 2], "n string"),
         spark.createDataFrame([(k,) for k in keys], "k string"),
         "n",
         "k",
     )
-    want = {(n, k) for n in names for k in keys if n is not None and k is not None and k in n}
+    want = [(n, k) for n in set(names) for k in keys if n is not None and k is not None and k in n]
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
-def test_suffix_hits_equal_brute_force(spark):
+def test_names_ending_with_equal_brute_force(spark):
     rng = random.Random(12)
 
     def word(high):
@@ -37,19 +37,37 @@ def test_suffix_hits_equal_brute_force(spark):
 
     names = [word(6) + "." + word(4) + "_vw" for _ in range(200)] + [None, "", "_vw", "._vw", "x.a_vw "]
     keys = [word(5) for _ in range(150)] + [None, "", "a"]
-    got = suffix_hits(
+    got = names_ending_with(
         spark.createDataFrame([(n,) for n in names], "n string"),
         spark.createDataFrame([(k,) for k in keys], "k string"),
         "n",
         "k",
     )
-    want = {
-        (n, k) for n in names for k in keys
+    want = [
+        (n, k) for n in set(names) for k in keys
         if n is not None and k is not None and n.endswith("." + k + "_vw")
-    }
+    ]
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_names_listing_whole_names(spark):
+    names = ["p.s.a_vw", " p.s.a_vw / q.t.b ", "s.a_vw/p.s.a_vw", "a_vw", "/", "", None, "x.p.s.a"]
+    keys = ["s.a_vw", "t.b", "s.a", "p.s", None, ""]
+    got = names_listing(
+        spark.createDataFrame([(n,) for n in names], "n string"),
+        spark.createDataFrame([(k,) for k in keys], "k string"),
+        "n",
+        "k",
+    )
+    assert rows(got) == [
+        (" p.s.a_vw / q.t.b ", "s.a_vw"),
+        (" p.s.a_vw / q.t.b ", "t.b"),
+        ("p.s.a_vw", "s.a_vw"),
+        ("s.a_vw/p.s.a_vw", "s.a_vw"),
+        ("x.p.s.a", "s.a"),
+    ]
+
+
 def test_no_keys_at_all(spark):
     tickets = spark.createDataFrame([("T-1", "p.s.a_vw"), ("T-2", None)], ROW)
     none = attach_keys(tickets, spark.createDataFrame([], INGESTION), spark.createDataFrame([], VIEWS))
