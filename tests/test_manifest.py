@@ -141,3 +141,9 @@ def test_view_key_files(spark, tmp_path):
     keys = spark.createDataFrame([("s.a", ["x", "y"]), ("s.b", [])], "view_table string, view_key_cols array<string>")
     write_view_keys(keys, str(tmp_path / "k"))
     assert rows(read_view_keys(spark, str(tmp_path / "k"))) == rows(keys)
+
+
+def test_batches_do_not_depend_on_the_input_partitioning(spark, data):
+    df = spark.createDataFrame(data * 3, SCHEMA)
+    one, many = (rows(assign_batches(x)) for x in (df.coalesce(1), df.repartition(7)))
+    assert one == many

@@ -81,3 +81,8 @@ def test_no_single_task_gets_the_sample(spark):
     plan = sample_rows(spark.range(10_000).toDF("v"), 5000)._jdf.queryExecution().optimizedPlan().toString()
     assert "Limit" not in plan
     assert rows(spark.range(3).toDF("v")) == [(0,), (1,), (2,)]
+
+
+def test_sample_does_not_depend_on_the_input_partitioning(spark):
+    df = spark.range(3000).select((F.col("id") % 1100).alias("v"))
+    assert rows(sample_rows(df.coalesce(1), 777)) == rows(sample_rows(df.repartition(9), 777))
