@@ -46,6 +46,7 @@ def _row_counts(
     right: DataFrame,
     keys: list[str],
     columns: list[str] | None,
+    bucketed: bool,
     **options: bool,
 ) -> DataFrame:
     """One ``_row`` of keys and hash with its number of rows on either side.
@@ -57,6 +58,8 @@ def _row_counts(
     left, where they only count.
     """
     hashed = _columns_to_hash(left, right, keys, columns)
+    if bucketed:
+        return _bucketed_row_counts(left, right, keys, hashed, **options)
 
     def side(df: DataFrame, is_left: bool) -> DataFrame:
         usable = _all_known(keys)
@@ -84,6 +87,28 @@ def _row_counts(
     )
 
 
+def _bucketed_row_counts(
+    left: DataFrame, right: DataFrame, keys: list[str], hashed: list[str], **options: bool
+) -> DataFrame:
+    """The same counts where each side keeps the buckets it was written in."""
+
+    def side(df: DataFrame, counted: str) -> DataFrame:
+        fingerprint = row_hash(df.schema, hashed, **options).alias("_hash")
+        rows = df.select(*[F.col(f"`{k}`") for k in keys], fingerprint)
+        return rows.groupBy(*[f"`{k}`" for k in keys], "_hash").agg(F.count("*").alias(counted))
+
+    on = [*keys, "_hash"]
+    return (
+        side(left, "left_rows")
+        .join(side(right.where(_all_known(keys)), "right_rows"), on, "left")
+        .select(
+            F.when(_all_known(keys), F.struct(*[F.col(f"`{c}`").alias(c) for c in on])).alias("_row"),
+            "left_rows",
+            F.coalesce("right_rows", F.lit(0)).alias("right_rows"),
+        )
+    )
+
+
 def _all_known(keys: list[str]) -> Column:
     known = F.lit(True)
     for k in keys:
@@ -98,13 +123,18 @@ def match_ratio(
     columns: list[str] | None = None,
     *,
     bounded: bool = False,
+    bucketed: bool = False,
     **options: bool,
 ) -> DataFrame:
     """Share of left rows found on the right by key and hash, as one row.
 
     Copies multiply, as in a join, so duplicate keys can lift the ratio above 1;
     ``bounded`` counts each left row at most once. ``matched_rows`` is null only
-    beyond the bigint range; the ratio stays right there.
+    beyond the bigint range; the ratio stays right there. ``options`` go to
+    ``row_hash``.
+
+    ``bucketed`` is for two tables bucketed alike by key columns: together with
+    ``spark.sql.requireAllClusterKeysForCoPartition=false`` no row is shuffled.
     """
     n, m = F.col("left_rows"), F.col("right_rows")
     found = F.when(m > 0, n).otherwise(0)
@@ -113,7 +143,7 @@ def match_ratio(
     duplicates = F.lit(False) if bounded else (n > 1) & (m > 1)
     wide = F.when(duplicates, n.cast("decimal(19,0)") * m.cast("decimal(19,0)"))
     plain = F.when(~duplicates, found if bounded else n * m)
-    totals = _row_counts(left, right, keys, columns, **options).agg(
+    totals = _row_counts(left, right, keys, columns, bucketed, **options).agg(
         F.coalesce(F.sum("left_rows"), F.lit(0)).alias("left_rows"),
         (
             F.coalesce(F.sum(plain), F.lit(0)).cast("decimal(38,0)")
@@ -135,10 +165,12 @@ def row_matches(
     right: DataFrame,
     keys: list[str],
     columns: list[str] | None = None,
+    *,
+    bucketed: bool = False,
     **options: bool,
 ) -> DataFrame:
     """Per distinct left row with a usable key: its copies and whether it matched."""
-    counts = _row_counts(left, right, keys, columns, **options)
+    counts = _row_counts(left, right, keys, columns, bucketed, **options)
     return counts.where((F.col("left_rows") > 0) & F.col("_row").isNotNull()).select(
         *[F.col("_row").getField(k).alias(k) for k in keys],
         "left_rows",

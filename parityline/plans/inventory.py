@@ -10,7 +10,7 @@ from parityline.operators.keys import attach_keys, pk_coverage
 from parityline.operators.manifest import skipped_schemas, validation_manifest
 from parityline.operators.tickets import target_tickets, ticket_funnel
 from parityline.session import written
-from parityline.sinks.manifest import write_manifest
+from parityline.sinks.manifest import write_manifest, write_manifest_lines
 
 
 def named_targets(tickets: DataFrame, source_prefix: str) -> DataFrame:
@@ -30,18 +30,21 @@ def run_inventory(
     output: str,
     source_prefix: str,
     scratch: str | None = None,
+    *,
+    lines: bool = False,
 ) -> dict[str, DataFrame]:
     """Write the manifests and return the one-row reports.
 
     The merged frame feeds several reports and the manifests, so it is written
-    once to the shared folder; nothing is joined twice.
+    once to the shared folder; nothing is joined twice. ``lines`` is for large
+    inventories, where one file per batch would be too many.
     """
     merged = written(
         attach_keys(named_targets(tickets, source_prefix), ingestion_keys, view_keys),
         "merged",
         scratch,
     )
-    write_manifest(validation_manifest(merged), output)
+    (write_manifest_lines if lines else write_manifest)(validation_manifest(merged), output)
     return {
         "funnel": ticket_funnel(tickets),
         "coverage": pk_coverage(merged),

@@ -97,7 +97,9 @@ def ingestion_keys(docs: DataFrame) -> DataFrame:
 def view_keys(docs: DataFrame) -> DataFrame:
     """``(view_table, view_key_cols)`` from JSON objects of lists.
 
-    A member given twice in one file counts once, with its last list.
+    A member given twice in one file counts once, with its last list. An object
+    is parsed as a whole, so large inventories belong into several files, or into
+    the lines of ``write_view_keys``.
     """
     members = docs.select(
         "path",

@@ -147,6 +147,34 @@ def test_removed_rows_lower_the_ratio(spark):
     assert ratio(df, df.where("id >= 50"), ["id"]).ratio == 150 / 200
 
 
+def test_bucketed_tables_are_not_shuffled(spark):
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    rng = random.Random(4)
+
+    def store(name, n):
+        data = [(rng.choice([None, *range(40)]), rng.choice("ab"), rng.choice([1.5, None])) for _ in range(n)]
+        df = spark.createDataFrame(data, "k int, j string, v double")
+        df.write.mode("overwrite").bucketBy(4, "k").saveAsTable(name)
+        return spark.table(name)
+
+    left, right = store("bucketed_left", 300), store("bucketed_right", 200)
+    for keys in (["k"], ["k", "j"]):
+        for options in ({}, {"bounded": True}):
+            want = ratio(left, right, keys, **options)
+            assert ratio(left, right, keys, bucketed=True, **options) == want
+        assert rows(row_matches(left, right, keys, bucketed=True)) == rows(row_matches(left, right, keys))
+    spark.conf.set(setting, "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = match_ratio(left, right, ["k", "j"], bucketed=True)._jdf.queryExecution()
+        assert "hashpartitioning" not in plan.executedPlan().toString()
+    finally:
+        spark.conf.unset(setting)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.sql("DROP TABLE bucketed_left")
+    spark.sql("DROP TABLE bucketed_right")
+
+
 def test_copies_collapse_and_products_may_leave_bigint(spark):
     """A count of copies is one row of the aggregate, however large."""
     from parityline.operators import compare

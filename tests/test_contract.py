@@ -54,15 +54,14 @@ def test_entry(spark):
 
 
 def test_whole_run(spark, tmp_path):
-    tickets = contract._tickets(spark, SF)
-    reports = run_inventory(
-        tickets,
+    inputs = (
+        contract._tickets(spark, SF),
         contract._ingestion_keys(spark, SF),
         contract._view_keys(spark, SF),
-        str(tmp_path / "out"),
-        "legacy.src_",
-        str(tmp_path / "scratch"),
     )
+    scratch = str(tmp_path / "scratch")
+    reports = run_inventory(*inputs, str(tmp_path / "out"), "legacy.src_", scratch)
+    run_inventory(*inputs, str(tmp_path / "lines"), "legacy.src_", scratch, lines=True)
     funnel, coverage = reports["funnel"].first(), reports["coverage"].first()
     assert funnel.total == view(spark, SF, "tickets").count()
     assert coverage.total >= funnel.target > 0
@@ -76,6 +75,12 @@ def test_whole_run(spark, tmp_path):
         & ~F.contains("eds_schema", F.lit("/"))
     )
     assert len(written) == keyed.count()
+    lines = [
+        json.loads(line)
+        for f in (tmp_path / "lines").rglob("part-*")
+        for line in f.read_text().splitlines()
+    ]
+    assert sorted(map(str, lines)) == sorted(map(str, written))
     assert skipped.mixed_schema > 0
     assert set(written[0]) == {
         "edw_table", "eds_equivalent_table", "status", "is_table_replaced", "issue_key",
