@@ -42,6 +42,19 @@ def sample_row_budget(
     )
 
 
+def slice_starts(counted: DataFrame) -> DataFrame:
+    """``_start`` of each ``_slice``: the ``_rows`` of the slices before it.
+
+    Slices are four hex digits, 65,536 at most, so one task may sum them up.
+    """
+    before = F.sum("_rows").over(Window.orderBy("_slice")) - F.col("_rows")
+    return (
+        counted.groupBy("_slice")
+        .agg(F.sum("_rows").alias("_rows"))
+        .select("_slice", before.alias("_start"))
+    )
+
+
 def sample_rows(df: DataFrame, n: int | Column, keys: list[str] | None = None) -> DataFrame:
     """Exactly ``n`` rows (all, if there are fewer), spread evenly and repeatable.
 
@@ -57,12 +70,8 @@ def sample_rows(df: DataFrame, n: int | Column, keys: list[str] | None = None) -
     tagged = df.withColumn("_digest", digest(*[F.col(f"`{c}`") for c in keys or columns])).withColumn(
         "_slice", F.left("_digest", F.lit(4))
     )
-    # 65,536 slices at most, so one task may sum them up.
-    starts = (
-        tagged.groupBy("_slice")
-        .agg(F.count("*").alias("_rows"))
-        .select("_slice", (F.sum("_rows").over(Window.orderBy("_slice")) - F.col("_rows")).alias("_start"))
-        .where(F.col("_start") < n)
+    starts = slice_starts(tagged.select("_slice", F.lit(1).alias("_rows"))).where(
+        F.col("_start") < n
     )
     last = starts.agg(F.max("_slice")).scalar()
     start_of_last = starts.agg(F.max("_start")).scalar()

@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from parityline.operators.sampling import row_bytes, sample_row_budget, sample_rows, sample_to_size
-from parityline.sinks.staging import StagingError, stage_sample
+from parityline.sinks.staging import StagingError, enough_files, stage_sample
 
 
 def digest(*values):
@@ -77,6 +77,31 @@ def test_staged_sample(spark, tmp_path):
     spark.sql("DROP DATABASE staged CASCADE")
 
 
+def test_only_the_needed_files_are_read(spark, tmp_path):
+    spark.range(12_000).withColumn("t", F.lit("x")).repartition(60).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    few = enough_files(table.select("id"), 1000)
+    assert 1000 <= few.count() <= 1300
+    assert few.select(F.input_file_name()).distinct().count() <= 7
+    # The filter on the path is used to list files, so fewer tasks are planned.
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        tasks = [
+            df.select(F.spark_partition_id().alias("p"))._jdf.queryExecution().toRdd().getNumPartitions()
+            for df in (table.select("id"), enough_files(table.select("id"), 1000))
+        ]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tasks[1] * 5 < tasks[0]
+    assert enough_files(table, 10**9).count() == 12_000
+    assert sample_rows(few, 1000).count() == 1000
+    rest = spark.range(9).groupBy("id").count()
+    assert enough_files(rest, 3).count() == 9
+    assert enough_files(table.where("id < 0"), 3).count() == 0
+
+
 def test_no_single_task_gets_the_sample(spark):
     plan = sample_rows(spark.range(10_000).toDF("v"), 5000)._jdf.queryExecution().optimizedPlan().toString()
     assert "Limit" not in plan
