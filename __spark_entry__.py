@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The file may be loaded by its path, from any folder.
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from parityline.functions.names import base_name, schema_part, source_name, staging_name
 from parityline.functions.text import SQL_KEYWORDS, section_end_forms
 from parityline.operators import (
