@@ -204,6 +204,13 @@ def queries() -> dict[str, Query]:
         "asset_keys_merged": lambda s, d: _merged(s, d).select(
             "issue_key", "eds_equivalent_table", "table", "view_table", _text("primary_keys")
         ),
+        "asset_keys_strict": lambda s, d: keys.attach_keys(
+            _targets(s, d),
+            _ingestion_keys(s, d),
+            _view_keys(s, d),
+            exact=True,
+            empty_is_missing=True,
+        ).select("issue_key", "table", "view_table", _text("primary_keys")),
         "pk_coverage": lambda s, d: keys.pk_coverage(_merged(s, d)),
         # Manifests
         "schema_batches": lambda s, d: manifest.schema_batches(
@@ -226,8 +233,14 @@ def queries() -> dict[str, Query]:
         "pk_from_description": lambda s, d: _extracted(s, d).select(
             "view_table", _text("view_key_cols")
         ),
+        "pk_from_description_words": lambda s, d: views.keys_from_descriptions(
+            _models(s, d), whole_words=True
+        ).select("view_table", _text("view_key_cols")),
         "pk_extraction_counts": lambda s, d: views.extraction_counts(_extracted(s, d)),
         "view_complexity": _complexity,
+        "view_complexity_loose": lambda s, d: views.view_complexity(
+            view(s, d, "view_texts"), "sql_text", loose=True
+        ),
         "view_complexity_counts": lambda s, d: views.complexity_counts(_complexity(s, d)),
         # Samples
         "sample_row_budget": lambda s, d: sampling.sample_row_budget(
@@ -335,31 +348,36 @@ def _presence_cte() -> str:
           FROM merged m {joins})"""
 
 
-def _extraction_cte() -> str:
+def _extraction_cte(whole_words: bool = False) -> str:
     heading = "Primary Key"
     tail = f"right(description, instr(reverse(description), '{heading[::-1]}') - 1)"
+    section = f"""concat('{heading}',
+                regexp_replace({tail}, '(?s)({'|'.join(section_end_forms())}).*', ''))"""
+    named = f"contains({section}, c)"
+    if whole_words:
+        named = f"list_contains(regexp_split_to_array({section}, '[^A-Za-z0-9_]+'), c)"
     return f"""
         {with_clause("models")},
         extracted AS (
           SELECT concat(schema, '.', tbl) AS view_table,
-                 CASE WHEN contains(description, '{heading}') THEN list_filter(string_split(cols, ','),
-                   lambda c: contains(concat('{heading}',
-                     regexp_replace({tail}, '(?s)({'|'.join(section_end_forms())}).*', '')), c))
-                   ELSE [] END AS found
+                 CASE WHEN contains(description, '{heading}')
+                      THEN list_filter(string_split(cols, ','), lambda c: {named}) ELSE [] END AS found
           FROM models)"""
 
 
-def _complexity_cte() -> str:
+def _complexity_cte(loose: bool = False) -> str:
+    words = sorted(SQL_KEYWORDS, key=lambda w: -w.count(" ")) if loose else SQL_KEYWORDS
+    upper = "" if loose else " OR contains(code, ' {u} ')"
     cases = " ".join(
-        f"WHEN contains(code, ' {w} ') OR contains(code, ' {w.upper()} ') THEN '{w}'"
-        for w in SQL_KEYWORDS
+        f"WHEN contains(code, ' {w} '){upper.format(u=w.upper())} THEN '{w}'" for w in words
     )
+    code = """array_to_string(list_filter(string_split(sql_text, chr(10)),
+                lambda x: NOT contains(x, '--')), chr(10))"""
+    if loose:
+        code = rf"concat(' ', regexp_replace(lower({code}), '[\s(),;]+', ' ', 'g'), ' ')"
     return f"""
         {with_clause("view_texts")},
-        stripped AS (
-          SELECT view_name, array_to_string(list_filter(string_split(sql_text, chr(10)),
-                   lambda x: NOT contains(x, '--')), chr(10)) AS code
-          FROM view_texts),
+        stripped AS (SELECT view_name, {code} AS code FROM view_texts),
         classified AS (SELECT view_name, CASE {cases} END AS keyword FROM stripped)"""
 
 
@@ -372,6 +390,16 @@ def _budget_cte(size_mb: float, order: str) -> str:
           FROM (SELECT {size} AS b FROM orders ORDER BY {order} LIMIT 100))"""
 
 
+def _listed_cte() -> str:
+    return f"""
+        {_done_cte("ingestion_keys", "view_keys")},
+        listed AS (
+          SELECT DISTINCT eds, array_to_string(list_slice(string_split(trim(one, ' '), '.'), -2, -1),
+                   '.') AS piece
+          FROM (SELECT eds, unnest(string_split(eds, '/')) AS one FROM target)),
+        hits AS (SELECT eds, view_table, view_key_cols FROM listed JOIN view_keys ON piece = view_table)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The same results in DuckDB SQL on the same tables."""
     b2 = with_clause("legacy", "migrated")
@@ -466,14 +494,13 @@ def oracle_sql() -> dict[str, str]:
         "join_keys_contains": f"""{_done_cte("view_keys")}
             SELECT issue_key, view_table, view_key_cols
             FROM target t LEFT JOIN view_keys v ON contains(t.eds, v.view_table)""",
-        "join_keys_listed": f"""{_done_cte("view_keys")},
-            listed AS (
-              SELECT DISTINCT eds, array_to_string(list_slice(string_split(trim(one, ' '), '.'), -2, -1),
-                       '.') AS piece
-              FROM (SELECT eds, unnest(string_split(eds, '/')) AS one FROM target)),
-            hits AS (SELECT eds, view_table, view_key_cols FROM listed JOIN view_keys ON piece = view_table)
+        "join_keys_listed": f"""{_listed_cte()}
             SELECT issue_key, view_table, view_key_cols
             FROM target t LEFT JOIN hits h ON t.eds = h.eds""",
+        "asset_keys_strict": f"""{_listed_cte()}
+            SELECT issue_key, i.tbl AS "table", view_table,
+                   coalesce(nullif(i.key_cols, ''), nullif(view_key_cols, '')) AS primary_keys
+            FROM target t LEFT JOIN ingestion_keys i ON {_ENDS} LEFT JOIN hits h ON t.eds = h.eds""",
         "asset_keys_merged": f"""{_merged_cte()}
             SELECT issue_key, eds AS eds_equivalent_table, tbl AS "table", view_table,
                    pks AS primary_keys FROM merged""",
@@ -511,10 +538,14 @@ def oracle_sql() -> dict[str, str]:
         "pk_from_description": f"""{_extraction_cte()}
             SELECT view_table, CASE WHEN len(found) > 0 THEN array_to_string(found, ',') END
                      AS view_key_cols FROM extracted""",
+        "pk_from_description_words": f"""{_extraction_cte(whole_words=True)}
+            SELECT view_table, CASE WHEN len(found) > 0 THEN array_to_string(found, ',') END
+                     AS view_key_cols FROM extracted""",
         "pk_extraction_counts": f"""{_extraction_cte()}
             SELECT count_if(len(found) > 0)::BIGINT AS found,
                    count_if(len(found) = 0)::BIGINT AS not_found FROM extracted""",
         "view_complexity": f"{_complexity_cte()} SELECT * FROM classified",
+        "view_complexity_loose": f"{_complexity_cte(loose=True)} SELECT * FROM classified",
         "view_complexity_counts": f"""{_complexity_cte()}
             SELECT count(*) AS views, count(keyword) AS non_select_views FROM classified""",
         "sample_row_budget": f"{_budget_cte(1, "o_orderkey")} SELECT * FROM budget",
