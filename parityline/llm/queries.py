@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityline.llm import quality, simhash, toxicity
+from parityline.llm import decontamination, quality, secret_scan, simhash, toxicity
 from parityline.llm.common import fold
 from parityline.plans.bindings import table
 
@@ -44,13 +44,33 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = secret_scan.secrets(table(spark, sf, "documents"), F.col("doc_id"))
+    return found.select(
+        F.col("kept").alias("doc_id"),
+        *[secret_scan.count(F.col("base"), k).alias(f"n_{k}") for k in secret_scan.KINDS[:3]],
+        F.sha2(secret_scan.as_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.as_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    return decontamination.contaminated(docs, items)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_toxicity": op2_toxicity,
+        "op4_secret_scan": op4_secret_scan,
+        "op6_decontamination": op6_decontamination,
         "op7_simhash": op7_simhash,
         "op10_quality": op10_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_secret_scan": secret_scan.oracle(),
+        "op6_decontamination": decontamination.oracle(),
+    }
