@@ -28,6 +28,11 @@ from parityline.plans.inventory import named_targets
 from parityline.sources import documents
 from parityline.sources.tickets import EXPORT_COLUMNS, project_tickets
 
+try:  # the folder of these operators may be left out
+    from parityline.llm import queries as training_data
+except ImportError:
+    training_data = None
+
 PREFIX = "legacy.src_"
 SMOKE_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,7 +153,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every operator on the tables in the given folder."""
-    return {
+    more = training_data.queries() if training_data else {}
+    return more | {
         # Row comparison
         "match_ratio": _match(),
         "match_ratio_reverse": _match("migrated", "legacy"),
@@ -402,6 +408,7 @@ def _listed_cte() -> str:
 
 def oracle_sql() -> dict[str, str]:
     """The same results in DuckDB SQL on the same tables."""
+    more = training_data.oracle_sql() if training_data else {}
     b2 = with_clause("legacy", "migrated")
     dup = ["l_orderkey", "l_linenumber"]
     ticket_columns = "edw_table, eds_equivalent_table, status, is_table_replaced, issue_key"
@@ -412,7 +419,7 @@ def oracle_sql() -> dict[str, str]:
     order_columns = ", ".join(_ORDER_COLUMNS)
     tidy_part = r"""regexp_replace(regexp_replace(trim(x, ' '),
                       '\.(silver|gold|bronze)\.', '.\1_base.', 'g'), '_vw$', '')"""
-    return {
+    return more | {
         "match_ratio": _ratio_sql(b2, "legacy", "migrated", ["pk"], _HASHED),
         "match_ratio_reverse": _ratio_sql(b2, "migrated", "legacy", ["pk"], _HASHED),
         "match_ratio_bounded": _ratio_sql(b2, "legacy", "migrated", ["pk"], _HASHED),
