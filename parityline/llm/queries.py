@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parityline.llm import decontamination, quality, secret_scan, simhash, toxicity
+from parityline.llm import (
+    decontamination,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from parityline.llm.common import fold
+from parityline.llm.pretokens import tokenizer_path
 from parityline.plans.bindings import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +53,26 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def digested(pieces: DataFrame) -> DataFrame:
+    """The packer's pieces with a digest in place of their ids."""
+    digest = F.crc32("ids").alias("ids_crc32")
+    return pieces.select(
+        F.col("doc").alias("doc_id"), "start", "length", digest, "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    path = tokenizer_path("word_bpe_49k.json")
+    return digested(packing.packed(table(spark, sf, "documents"), path))
+
+
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    found = token_counts.token_counts(table(spark, sf, "documents"), path, F.col("doc_id"))
+    over = (F.col("n_tokens") > 1024).alias("over_limit")
+    return found.select(F.col("kept").alias("doc_id"), "n_bytes", "n_tokens", over)
+
+
 def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     found = secret_scan.secrets(table(spark, sf, "documents"), F.col("doc_id"))
     return found.select(
@@ -62,9 +91,11 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_toxicity": op2_toxicity,
+        "op3_packing": op3_packing,
         "op4_secret_scan": op4_secret_scan,
         "op6_decontamination": op6_decontamination,
         "op7_simhash": op7_simhash,
+        "op8_token_counts": op8_token_counts,
         "op10_quality": op10_quality,
     }
 
