@@ -29,9 +29,10 @@ from parityline.sources import documents
 from parityline.sources.tickets import EXPORT_COLUMNS, project_tickets
 
 try:  # the folder of these operators may be left out
+    import corpus_pipeline
     from parityline.llm import queries as training_data
 except ImportError:
-    training_data = None
+    corpus_pipeline = training_data = None
 
 PREFIX = "legacy.src_"
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -153,7 +154,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every operator on the tables in the given folder."""
-    more = training_data.queries() if training_data else {}
+    more = training_data.queries() | {"pipeline": corpus_pipeline.run} if training_data else {}
     return more | {
         # Row comparison
         "match_ratio": _match(),
