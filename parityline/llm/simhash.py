@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parityline.llm.common import fresh_name, row_key, written
+from parityline.llm.common import broadcast_if_small, fresh_name, row_key, written
 from parityline.llm.components import connected
 
 SEED = 42
@@ -31,6 +31,8 @@ BITS = 64
 #: Members of a signature that are compared in one go. Three signatures one within
 #: another leave 8 bits open and one bit in each, so at most 2 ** 11 fingerprints share them.
 GROUP = 2048
+#: Signatures of three fingerprints or more, up to this count, are sent to all executors.
+BROADCAST_ROWS = 1_000_000
 
 
 def _hashes(text: str, width: int) -> np.ndarray:
@@ -141,7 +143,9 @@ def links(prints: DataFrame, distance: int = 3, group: int = GROUP) -> DataFrame
         keys = written(keys.where("n > 1"), "signatures")
         pairs = keys.where("n = 2").select("a", "b")
         pairs = pairs.where(F.expr(f"bit_count(a ^ b) <= {distance}"))
-        some = signed.join(keys.where(f"n between 3 and {group}").select("key"), "key", "left_semi")
+        shared = keys.where(f"n between 3 and {group}").select("key")
+        shared = broadcast_if_small(shared, shared.count(), BROADCAST_ROWS)
+        some = signed.join(shared, "key", "left_semi")
         some = some.groupBy("key").agg(F.array_sort(F.collect_set("fp")).alias("fps"))
         some = some.select("fps").distinct().mapInArrow(_forest(distance), "a long, b long")
         part = written(pairs.unionAll(some).distinct(), "links")
