@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parityline.llm import (
+    ball_tree,
     decontamination,
+    html_template,
     packing,
     quality,
     secret_scan,
     simhash,
     token_counts,
     toxicity,
+    warc,
 )
 from parityline.llm.common import fold
 from parityline.llm.pretokens import tokenizer_path
@@ -23,12 +26,30 @@ from parityline.plans.bindings import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
+    archive = warc.write(table(spark, sf, "pages"), "page_id", "url", "html")
+    return warc.read(archive).select(
+        F.nullif("record_id", F.lit("")).cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     model = toxicity.train(docs, labels, fold("doc_id", 5) != 0)
     return _classified(docs, toxicity.scorer(model), 5, 0)
 
 
+def op9_html_template(spark: SparkSession, sf: str) -> DataFrame:
+    found = html_template.main_text(table(spark, sf, "pages"))
+    return found.select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     model = quality.train(docs, labels, fold("doc_id", 3) != 1)
@@ -83,6 +104,13 @@ def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_ball_tree(spark: SparkSession, sf: str) -> DataFrame:
+    found = ball_tree.nearest(table(spark, sf, "embeddings"), "id % 50 = 0")
+    return found.select(
+        F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score"
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
     return decontamination.contaminated(docs, items)
@@ -90,18 +118,23 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_warc": op1_warc,
         "op2_toxicity": op2_toxicity,
         "op3_packing": op3_packing,
         "op4_secret_scan": op4_secret_scan,
+        "op5_ball_tree": op5_ball_tree,
         "op6_decontamination": op6_decontamination,
         "op7_simhash": op7_simhash,
         "op8_token_counts": op8_token_counts,
+        "op9_html_template": op9_html_template,
         "op10_quality": op10_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_warc": warc.oracle(),
         "op4_secret_scan": secret_scan.oracle(),
+        "op5_ball_tree": ball_tree.oracle(),
         "op6_decontamination": decontamination.oracle(),
     }
