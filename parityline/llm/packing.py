@@ -8,8 +8,9 @@ which are alike. A document that does not fit into the rest of a sequence is cut
 so that only the last sequence of a range is not full.
 
 The ids move through two steps: a pass that encodes the texts and writes ids and places,
-and the range sort. Ranges hold about ``RANGE_TOKENS`` tokens and work on one document at a
-time, whatever the number of equal documents: keys that tie are split by id.
+and the range sort. Ranges hold about ``RANGE_TOKENS`` tokens, in parts of at most ``PART``
+ids, so neither long documents nor many equal ones make a range heavy: keys that tie are
+split by id and part.
 
 Defined results: a null or empty text has the end id alone; repeated rows are packed each;
 rows with a null id are packed under it; an empty table gives no sequences; further
@@ -18,6 +19,7 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,30 +30,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parityline.llm.common import written
-from parityline.llm.pretokens import CACHE, WORD_PATTERN, Encoder
+from parityline.llm.pretokens import WORD_PATTERN, Encoder
 
 LENGTH = 2048
 END_ID = 1
 BUCKETS, DIMENSIONS, SEED = 256, 3, 42
 ORDER = 16  # bits per dimension of the curve
 RANGE_TOKENS = 4_000_000
+PART = 2 * LENGTH
+
+
+def _bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 16-bit numbers."""
+    return struct.pack(f"<{len(ids)}H", *ids)
 
 
 def _ids(encoder: Encoder, text: str) -> bytes:
-    """Ids of the whole text as little-endian unsigned 16-bit numbers, with the end id."""
+    """Ids of the whole text and the end id."""
     if not encoder.plain(text):
-        return np.array([*encoder.whole(text), END_ID], "<u2").tobytes()
-    pieces, cache = encoder.pieces(text), encoder.cache
-    try:
-        found = [cache[p] for p in pieces]
-    except KeyError:
-        if len(cache) > CACHE:
-            cache.clear()
-        for p in pieces:
-            if p not in cache:
-                cache[p] = np.array(encoder.whole(p), "<u2").tobytes()
-        found = [cache[p] for p in pieces]
-    return b"".join([*found, END_ID.to_bytes(2, "little")])
+        return _bytes([*encoder.whole(text), END_ID])
+    found = encoder.cached(encoder.pieces(text), _bytes)
+    return b"".join([*found, _bytes([END_ID])])
 
 
 def _buckets(size: int) -> np.ndarray:
@@ -60,7 +59,11 @@ def _buckets(size: int) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFrame:
-    """(doc, ids, n, p0, p1, p2) per row: ids as 16-bit numbers and the projected vector."""
+    """(doc, start, ids, n, p0, p1, p2): a document's ids in parts of at most ``PART`` ids.
+
+    ``n`` is the document's number of ids and p0 to p2 its projected vector, on every part.
+    Parts make rows alike in size, so that ranges of rows are ranges of tokens.
+    """
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc"), F.coalesce(f"`{text_col}`", F.lit("")).alias("t")
     )
@@ -69,20 +72,31 @@ def encoded(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFrame
         encoder, bucket = Encoder.of(path, WORD_PATTERN, lower=True), _buckets(1 << 16)
         axes = np.random.default_rng(SEED).standard_normal((BUCKETS, DIMENSIONS))
         for batch in batches:
-            ids = [_ids(encoder, t) for t in batch.column(1).to_pylist()]
-            vectors = np.zeros((len(ids), BUCKETS))
-            for k, data in enumerate(ids):
-                vectors[k] = np.bincount(bucket[np.frombuffer(data, "<u2")], minlength=BUCKETS)
-            vectors = np.log1p(vectors)
-            vectors /= np.maximum(1e-9, np.linalg.norm(vectors, axis=1, keepdims=True))
-            at = vectors @ axes
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64())]
-                + [pa.array(at[:, d]) for d in range(DIMENSIONS)],
-                ["doc", "ids", "n", "p0", "p1", "p2"],
-            )
-
-    return rows.mapInArrow(run, "doc long, ids binary, n long, p0 double, p1 double, p2 double")
+            for begin in range(0, batch.num_rows, 1000):
+                part = batch.slice(begin, 1000)
+                ids = [_ids(encoder, t) for t in part.column(1).to_pylist()]
+                vectors = np.zeros((len(ids), BUCKETS))
+                for k, data in enumerate(ids):
+                    vectors[k] = np.bincount(bucket[np.frombuffer(data, "<u2")], minlength=BUCKETS)
+                vectors = np.log1p(vectors)
+                vectors /= np.maximum(1e-9, np.linalg.norm(vectors, axis=1, keepdims=True))
+                at = vectors @ axes
+                cuts = [(k, s) for k, data in enumerate(ids) for s in range(0, len(data), 2 * PART)]
+                row = np.array([k for k, _ in cuts], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(pa.array(row)),
+                        pa.array([s // 2 for _, s in cuts], pa.int64()),
+                        pa.array([ids[k][s : s + 2 * PART] for k, s in cuts], pa.binary()),
+                        pa.array([len(ids[k]) // 2 for k in row], pa.int64()),
+                        *[pa.array(at[row, d]) for d in range(DIMENSIONS)],
+                    ],
+                    ["doc", "start", "ids", "n", "p0", "p1", "p2"],
+                )
+
+    return rows.mapInArrow(
+        run, "doc long, start long, ids binary, n long, p0 double, p1 double, p2 double"
+    )
 
 
 def hilbert(cells: np.ndarray, order: int = ORDER) -> np.ndarray:
@@ -128,14 +142,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin in range(0, batch.num_rows, 256):
             part, out = batch.slice(begin, 256), []
-            for doc, data in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(data, "<u2").astype("<u4")
-                start = 0
-                while start < len(ids):
-                    n = min(len(ids) - start, LENGTH - filled)
-                    piece = ids[start : start + n].tobytes()
-                    out.append((doc, start, n, len(ids), sequence, filled, piece))
-                    start, filled = start + n, filled + n
+            for doc, start, total, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                ids, at = np.frombuffer(data, "<u2").astype("<u4"), 0
+                while at < len(ids):
+                    n = min(len(ids) - at, LENGTH - filled)
+                    piece = ids[at : at + n].tobytes()
+                    out.append((doc, start + at, n, total, sequence, filled, piece))
+                    at, filled = at + n, filled + n
                     if filled == LENGTH:
                         sequence, filled = sequence + 1, 0
             kinds = [pa.int64()] * 6 + [pa.binary()]
@@ -154,13 +167,13 @@ def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     rows = encoded(docs, path, id_col, text_col).withColumn("uid", F.monotonically_increasing_id())
     rows = written(rows, "encoded")
     places = [f(f"p{d}") for d in range(DIMENSIONS) for f in (F.avg, F.stddev_pop)]
-    total, *stats = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), *places).first()
+    total, *stats = rows.where("start = 0").agg(F.coalesce(F.sum("n"), F.lit(0)), *places).first()
     stats = [s or 0.0 for s in stats]
     key = _curve_key(list(zip(stats[::2], stats[1::2], strict=True)))
     ranges = max(1, round(total / RANGE_TOKENS))
-    rows = rows.select("doc", "ids", "uid", key("p0", "p1", "p2").alias("key"))
+    rows = rows.select("doc", "start", "n", "ids", "uid", key("p0", "p1", "p2").alias("key"))
     rows = rows.repartitionByRange(ranges, "key", "doc", "uid").sortWithinPartitions("key", "doc", "uid")
-    return rows.select("doc", "ids").mapInArrow(
+    return rows.select("doc", "start", "n", "ids").mapInArrow(
         _cut,
         "doc long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary",
     )
