@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parityline.llm.pretokens import BYTE_PATTERN, CACHE, Encoder
+from parityline.llm.pretokens import BYTE_PATTERN, Encoder
 
 
 def frequent(docs: DataFrame, path: str, text_col: str, sample: int, entries: int) -> dict[str, int]:
@@ -33,7 +33,8 @@ def frequent(docs: DataFrame, path: str, text_col: str, sample: int, entries: in
     total = rows.count()
     # About twice the wanted share by hash, so that few rows reach the exact limit.
     share = min(1.0, 2 * sample / max(1, total))
-    rows = rows.where(F.col("h") <= F.lit(int(-(2**63) + share * (2**64 - 1))))
+    below = min(2**63 - 1, int(-(2**63) + share * 2**64))
+    rows = rows.where(F.col("h") <= F.lit(below))
     rows = rows.orderBy("h", F.length("t")).limit(sample).select("t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,7 +44,7 @@ def frequent(docs: DataFrame, path: str, text_col: str, sample: int, entries: in
                 if encoder.plain(text):
                     seen.update(encoder.pieces(text))
         words = sorted(seen, key=lambda w: (-seen[w], w))[:entries]
-        lengths = [len(encoder.whole(w)) for w in words]
+        lengths = [len(encoder.piece(w)) for w in words]
         yield pa.RecordBatch.from_arrays(
             [pa.array(words, pa.string()), pa.array(lengths, pa.int32())], ["word", "n"]
         )
@@ -66,23 +67,17 @@ def token_counts(
     kind = rows.schema["kept"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, first, second = Encoder.of(path, BYTE_PATTERN, lower=False), table.value, {}
+        encoder, first = Encoder.of(path, BYTE_PATTERN, lower=False), table.value
 
         def count(text: str) -> int:
-            nonlocal second
             if not encoder.plain(text):
                 return len(encoder.whole(text))
             pieces = encoder.pieces(text)
-            try:
-                return sum([first[p] if p in first else second[p] for p in pieces])
-            except KeyError:
-                for p in pieces:
-                    if p not in first and p not in second:
-                        second[p] = len(encoder.whole(p))
-            total = sum([first[p] if p in first else second[p] for p in pieces])
-            if len(second) > CACHE:
-                second = {}
-            return total
+            found = list(map(first.get, pieces))
+            if None not in found:
+                return sum(found)
+            rare = [p for p, n in zip(pieces, found, strict=True) if n is None]
+            return sum(filter(None, found)) + sum(encoder.cached(rare, len))
 
         for batch in batches:
             texts = batch.column(1).to_pylist()
