@@ -239,8 +239,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) per row of ``pages`` (page_id, url, html)."""
     rows = pages.select("page_id", "url", F.col("html").alias("page"))
     rows = rows.withColumn("host", _host())
-    # Pages that are equal count once in a vector's hash, and as often as they occur else.
-    known = written(templates(rows.select("host", F.xxhash64("url", "page_id", "page").alias("uid"), "page")), "hosts")
+    uid = F.xxhash64("url", "page_id", "page").alias("uid")
+    known = written(templates(rows.select("host", uid, "page")), "hosts")
     rows = rows.join(broadcast_if_small(known, known.count(), 10_000), "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -186,12 +186,15 @@ def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     spans = fresh_name(docs, "spans")
     found = found.withColumnRenamed("spans", spans)
     match = (F.col(f"{name}.id") == F.col("k")) & (F.col(f"{name}.h") == F.col("h"))
-    text = F.when(F.col(spans).isNotNull(), redacted(F.col("text"), F.col(spans))).otherwise(F.col("text"))
-    out = {"text": text}
+    new = fresh_name(docs, "new")
+    changed = F.col(spans).isNotNull()
+    rows = keyed.join(found, match, "left")
+    # The new text has a name of its own until both columns that need it are made.
+    rows = rows.withColumn(new, F.when(changed, redacted(F.col("text"), F.col(spans))))
+    out = {"text": F.when(changed, F.col(new)).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        chars = F.when(F.col(spans).isNotNull(), F.length(text).cast("long"))
+        chars = F.when(changed, F.length(new).cast("long"))
         out["n_chars"] = chars.otherwise(F.col("n_chars"))
-    rows = keyed.join(found, match, "left")
     return rows.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 

@@ -134,8 +134,11 @@ def links(prints: DataFrame, distance: int = 3, group: int = GROUP) -> DataFrame
     rows = prints.select(
         F.lit(0).cast("long").alias("key"), "fp", F.lit(0).alias("low"), F.lit(BITS).alias("width")
     )
-    found = None
+    found, depth = None, 0
     while True:
+        depth += 1
+        # The third signature leaves 8 bits open and one in each: a group is bounded by that.
+        most = group if depth < 3 else max(group, GROUP)
         signed = _signatures(rows)
         keys = signed.groupBy("key").agg(
             F.min("fp").alias("a"), F.max("fp").alias("b"), F.count("*").alias("n")
@@ -143,14 +146,14 @@ def links(prints: DataFrame, distance: int = 3, group: int = GROUP) -> DataFrame
         keys = written(keys.where("n > 1"), "signatures")
         pairs = keys.where("n = 2").select("a", "b")
         pairs = pairs.where(F.expr(f"bit_count(a ^ b) <= {distance}"))
-        shared = keys.where(f"n between 3 and {group}").select("key")
+        shared = keys.where(f"n between 3 and {most}").select("key")
         shared = broadcast_if_small(shared, shared.count(), BROADCAST_ROWS)
         some = signed.join(shared, "key", "left_semi")
         some = some.groupBy("key").agg(F.array_sort(F.collect_set("fp")).alias("fps"))
         some = some.select("fps").distinct().mapInArrow(_forest(distance), "a long, b long")
         part = written(pairs.unionAll(some).distinct(), "links")
         found = part if found is None else found.unionAll(part)
-        large = keys.where(f"n > {group}").select("key")
+        large = keys.where(f"n > {most}").select("key")
         if large.isEmpty():
             return found
         rows = written(signed.join(large, "key", "left_semi"), "open")

@@ -161,22 +161,24 @@ def members(source, start: int, stop: int, size: int) -> Iterator[bytes]:
         at = begin + place
         if at >= stop:
             return
-        unpack, used = zlib.decompressobj(wbits=31), place
-        parts, header = [], False
+        while len(window) - place < _CHUNK and more(1 << 20):
+            pass
+        try:
+            head = zlib.decompressobj(wbits=31).decompress(window[place : place + _CHUNK], 16)
+        except zlib.error:
+            head = b""
+        if not head.startswith(b"WARC/1."):
+            at += 1
+            continue
+        unpack, used, parts = zlib.decompressobj(wbits=31), place, []
         try:
             while not unpack.eof and (used < len(window) or more(1 << 20)):
                 parts.append(unpack.decompress(window[used : used + _CHUNK]))
                 used = min(used + _CHUNK, len(window))
-                if not header and sum(map(len, parts)) >= 7:
-                    if not b"".join(parts).startswith(b"WARC/1."):
-                        break
-                    header = True
         except zlib.error as error:
-            if header:
-                raise ValueError(f"the record at byte {at} is damaged") from error
-        if not header or not unpack.eof:
-            at += 1
-            continue
+            raise ValueError(f"the record at byte {at} is damaged") from error
+        if not unpack.eof:
+            raise ValueError(f"the record at byte {at} is cut off")
         end = begin + used - len(unpack.unused_data)
         if len(window) - (end - begin) < len(MAGIC):
             more(1 << 20)

@@ -1,0 +1,127 @@
+"""SimHash near-duplicates against brute force."""
+
+import random
+
+import pytest
+import xxhash
+from conftest import rows
+
+from parityline.llm import simhash
+from parityline.llm.components import connected
+
+ASCII = {c: c + 32 for c in range(65, 91)}
+
+
+def naive(text):
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", (text or "").translate(ASCII)) if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def classes(prints, distance=3):
+    """Root of each fingerprint by comparing all pairs."""
+    root = {f: f for f in prints}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    ordered = sorted(root)
+    for i, a in enumerate(ordered):
+        for b in ordered[:i]:
+            if (a ^ b).bit_count() <= distance:
+                root[find(a)] = find(b)
+    return {f: find(f) for f in ordered}
+
+
+def signed(f):
+    return f - (1 << 64) if f >> 63 else f
+
+
+TEXTS = [
+    None,
+    "",
+    " \t\n",
+    "One",
+    "one",
+    "One two",
+    "one\ttwo",
+    "ÄÖ ä ö x one",
+    "a b c a b c a b c",
+    "x " * 700 + "y",
+    "the quick brown fox " * 300,
+]
+
+
+def test_fingerprint_is_the_majority_of_the_hashes():
+    for text in TEXTS:
+        assert simhash.fingerprint(text) == naive(text)
+
+
+def test_components_with_ties_nulls_and_repeated_rows(spark):
+    base = [f"w{i}" for i in range(400)]
+    texts = [*TEXTS, " ".join(base), " ".join([*base, "more"]), " ".join(["less", *base]), "one"]
+    data = [(i, t, "x") for i, t in enumerate(texts)]
+    data += [(3, "One", "x"), (None, "One", "x"), (None, "alone here now", "x")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, fp string")
+    prints = {t: naive(t) for _, t, _ in data}
+    root = classes(set(prints.values()))
+    least = {}
+    for i, t, _ in data:
+        r = root[prints[t]]
+        least[r] = min(least.get(r, 10**9), 10**9 if i is None else i)
+    want = [
+        (i, signed(prints[t]), None if least[root[prints[t]]] == 10**9 else least[root[prints[t]]])
+        for i, t, _ in data
+    ]
+    assert rows(simhash.near_duplicates(docs)) == sorted(want, key=repr)
+
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == sorted({v for v in least.values() if v < 10**9})
+    assert ids.count(None) == 1
+
+
+@pytest.mark.parametrize("group", [2048, 8])
+@pytest.mark.parametrize("distance", [2, 3])
+def test_links_connect_what_brute_force_connects(spark, group, distance):
+    rng, prints = random.Random(7), set()
+    for size in (1, 2, 3, 150):
+        centre = rng.getrandbits(64)
+        for _ in range(size):
+            f = centre
+            for _ in range(rng.randrange(6)):
+                f ^= 1 << rng.randrange(64)
+            prints.add(f)
+    # A chain whose ends are far apart, and pairs that differ by up to four bits.
+    f = rng.getrandbits(64)
+    prints |= {f ^ ((1 << 3 * k) - 1) for k in range(21)}
+    prints |= {f ^ 0xF0F, f ^ 0xF, f ^ (0b111 << 61)}
+    frame = spark.createDataFrame([(signed(f),) for f in prints], "fp long")
+    nodes = connected(simhash.links(frame, distance, group))
+    root = {r.node: r.root for r in nodes.collect()}
+    want = classes({signed(f) & (1 << 64) - 1 for f in prints}, distance)
+    got = {f: root.get(signed(f), signed(f)) for f in prints}
+    assert len({(got[f], want[f]) for f in prints}) == len(set(got.values())) == len(set(want.values()))
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert simhash.near_duplicates(docs).count() == 0
+    assert simhash.drop_near_duplicates(docs).count() == 0
+
+
+def test_distances_that_two_halves_do_not_serve(spark):
+    with pytest.raises(ValueError):
+        simhash.links(spark.createDataFrame([], "fp long"), 4)
+
+
+def test_long_chain_of_components(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 500)], "a long, b long")
+    found = {r.node: r.root for r in connected(edges).collect()}
+    assert found == dict.fromkeys(range(201), 0)
