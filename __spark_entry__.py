@@ -117,9 +117,67 @@ def _match_dup_pk(spark: SparkSession, sf: str) -> DataFrame:
     return compare.match_ratio(items, items, pk, [*pk, "l_returnflag"])
 
 
+def _match_bounded(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of a customer repeat under the customer's key; each counts once at most."""
+    items = table(spark, sf, "lineitem")
+    returned = items.where("l_returnflag <> 'R' or l_linenumber > 3")
+    columns = ["l_orderkey", "l_returnflag"]
+    return compare.match_ratio(items, returned, ["l_orderkey"], columns, bounded=True)
+
+
+def _moved(spark: SparkSession, sf: str, side: str) -> DataFrame:
+    """Orders with a value in one of two columns; on the right, some in the other one."""
+    swap = side == "right"
+    key, value = F.col("o_orderkey"), F.col("o_orderpriority")
+    other = key % 5 == 0 if swap else F.lit(False)
+    return table(spark, sf, "orders").select(
+        key.alias("pk"), F.when(~other, value).alias("a"), F.when(other, value).alias("b")
+    )
+
+
+def _match_moved_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    left, right = _moved(spark, sf, "left"), _moved(spark, sf, "right")
+    return compare.match_ratio(left, right, ["pk"], null_safe=True, wide=True)
+
+
+def _zeros(spark: SparkSession, sf: str, side: str) -> DataFrame:
+    """A third of the amounts are zero: 0.0 on the left, -0.0 on the right."""
+    zero = 0.0 if side == "left" else -0.0
+    amount = F.when(F.col("o_orderkey") % 3 == 0, F.lit(zero)).otherwise(F.col("o_totalprice"))
+    changed = F.col("o_totalprice") + F.when(F.col("o_orderkey") % 7 == 0, 1.0).otherwise(0.0)
+    if side == "right":
+        amount = F.when(F.col("o_orderkey") % 3 == 0, F.lit(zero)).otherwise(changed)
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("pk"), amount.alias("amount"))
+
+
+def _match_signed_zeros(spark: SparkSession, sf: str) -> DataFrame:
+    left, right = _zeros(spark, sf, "left"), _zeros(spark, sf, "right")
+    return compare.match_ratio(left, right, ["pk"], typed=True, null_safe=True, wide=True)
+
+
+def _mapped(spark: SparkSession, sf: str, side: str) -> DataFrame:
+    """Orders' status and priority as a map, whose entries turn round on the right."""
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    one = F.create_map(F.lit("status"), status, F.lit("priority"), priority)
+    if side == "right":
+        lost = F.when(F.col("o_orderkey") % 11 == 0, F.lit("lost")).otherwise(priority)
+        one = F.create_map(F.lit("priority"), lost, F.lit("status"), status)
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("pk"), one.alias("m"))
+
+
+def _match_maps(spark: SparkSession, sf: str) -> DataFrame:
+    left, right = _mapped(spark, sf, "left"), _mapped(spark, sf, "right")
+    return compare.match_ratio(left, right, ["pk"], normalize_maps=True)
+
+
 def _match_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Of some vectors the last component is gone, of others the whole row."""
     vectors = table(spark, sf, "embeddings")
-    return compare.match_ratio(vectors, vectors.where("label <> 0"), ["vec_id"])
+    cut = F.slice("embedding", 1, F.size("embedding") - 1)
+    changed = F.when(F.col("vec_id") % 3 == 0, cut).otherwise(F.col("embedding"))
+    return compare.match_ratio(
+        vectors, vectors.where("label <> 0").withColumn("embedding", changed), ["vec_id"]
+    )
 
 
 def _match_empty_left(spark: SparkSession, sf: str) -> DataFrame:
@@ -159,9 +217,10 @@ def queries() -> dict[str, Query]:
         # Row comparison
         "match_ratio": _match(),
         "match_ratio_reverse": _match("migrated", "legacy"),
-        "match_ratio_bounded": _match(bounded=True),
-        "match_ratio_null_safe": _match(null_safe=True, wide=True),
-        "match_ratio_typed": _match(typed=True, null_safe=True, wide=True),
+        "match_ratio_bounded": _match_bounded,
+        "match_ratio_null_safe": _match_moved_nulls,
+        "match_ratio_typed": _match_signed_zeros,
+        "match_ratio_maps": _match_maps,
         "match_ratio_pk_only": _match(columns=["pk"]),
         "match_ratio_dup_pk": _match_dup_pk,
         "match_ratio_array": _match_array,
@@ -251,7 +310,7 @@ def queries() -> dict[str, Query]:
         "view_complexity_counts": lambda s, d: views.complexity_counts(_complexity(s, d)),
         # Samples
         "sample_row_budget": lambda s, d: sampling.sample_row_budget(
-            table(s, d, "orders"), _ORDER_COLUMNS, 1, order_by=["o_orderkey"]
+            table(s, d, "orders"), _ORDER_COLUMNS, 1, keys=["o_orderkey"]
         ),
         "sample_rows": lambda s, d: sampling.sample_rows(
             table(s, d, "orders").select(*_ORDER_COLUMNS), 500, ["o_orderkey"]
@@ -388,13 +447,19 @@ def _complexity_cte(loose: bool = False) -> str:
         classified AS (SELECT view_name, CASE {cases} END AS keyword FROM stripped)"""
 
 
-def _budget_cte(size_mb: float, order: str) -> str:
+_ORDER_DIGEST = f"md5(concat_ws('|', {', '.join(_ORDER_COLUMNS)}))"
+
+
+def _budget_cte(size_mb: float) -> str:
     size = " + ".join(f"strlen(CAST({c} AS VARCHAR))" for c in _ORDER_COLUMNS)
     return f"""
-        WITH budget AS (
-          SELECT count(*) AS probed_rows, avg(b) AS avg_row_bytes,
-                 CAST(floor({size_mb * 1024 * 1024} / avg(b)) AS BIGINT) AS row_budget
-          FROM (SELECT {size} AS b FROM orders ORDER BY {order} LIMIT 100))"""
+        WITH slices AS (SELECT left({_ORDER_DIGEST}, 4) AS s, count(*) AS r, sum({size}) AS b
+                        FROM orders GROUP BY s),
+        budget AS (
+          SELECT sum(r)::BIGINT AS probed_rows, sum(b)::DOUBLE / sum(r)::DOUBLE AS avg_row_bytes,
+                 CAST(floor({size_mb * 1024 * 1024} / (sum(b)::DOUBLE / sum(r)::DOUBLE)) AS BIGINT)
+                   AS row_budget
+          FROM (SELECT *, sum(r) OVER (ORDER BY s) - r AS start FROM slices) WHERE start < 100)"""
 
 
 def _listed_cte() -> str:
@@ -423,13 +488,37 @@ def oracle_sql() -> dict[str, str]:
     return more | {
         "match_ratio": _ratio_sql(b2, "legacy", "migrated", ["pk"], _HASHED),
         "match_ratio_reverse": _ratio_sql(b2, "migrated", "legacy", ["pk"], _HASHED),
-        "match_ratio_bounded": _ratio_sql(b2, "legacy", "migrated", ["pk"], _HASHED),
-        "match_ratio_null_safe": _ratio_sql(b2, "legacy", "migrated", ["pk"], _HASHED),
-        "match_ratio_typed": _ratio_sql(b2, "legacy", "migrated", ["pk"], _HASHED),
+        "match_ratio_bounded": """
+            SELECT m::DOUBLE / n AS ratio, n AS left_rows, m AS matched_rows
+            FROM (SELECT count(*) AS n, count_if(EXISTS (
+                    SELECT 1 FROM lineitem r WHERE (r.l_returnflag <> 'R' OR r.l_linenumber > 3)
+                      AND r.l_orderkey = l.l_orderkey AND r.l_returnflag = l.l_returnflag)) AS m
+                  FROM lineitem l)""",
+        "match_ratio_null_safe": _ratio_sql(
+            """WITH l_ AS (SELECT o_orderkey AS pk, o_orderpriority AS a, NULL::VARCHAR AS b FROM orders),
+            r_ AS (SELECT o_orderkey AS pk, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS a,
+                     CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority END AS b FROM orders)""",
+            "l_", "r_", ["pk"], ("a", "b"),
+        ),
+        "match_ratio_typed": _ratio_sql(
+            """WITH l_ AS (SELECT o_orderkey AS pk,
+                     CASE WHEN o_orderkey % 3 = 0 THEN 0.0::DOUBLE ELSE o_totalprice END AS amount FROM orders),
+            r_ AS (SELECT o_orderkey AS pk, CASE WHEN o_orderkey % 3 = 0 THEN -0.0::DOUBLE
+                     WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS amount FROM orders)""",
+            "l_", "r_", ["pk"], ("amount",),
+        ),
+        "match_ratio_maps": _ratio_sql(
+            """WITH l_ AS (SELECT o_orderkey AS pk, o_orderstatus AS s, o_orderpriority AS p FROM orders),
+            r_ AS (SELECT o_orderkey AS pk, o_orderstatus AS s,
+                     CASE WHEN o_orderkey % 11 = 0 THEN 'lost' ELSE o_orderpriority END AS p FROM orders)""",
+            "l_", "r_", ["pk"], ("s", "p"),
+        ),
         "match_ratio_pk_only": _ratio_sql(b2, "legacy", "migrated", ["pk"], ()),
         "match_ratio_dup_pk": _ratio_sql("", "lineitem", "lineitem", dup, ("l_returnflag",)),
         "match_ratio_array": _ratio_sql(
-            "WITH other AS (SELECT * FROM embeddings WHERE label <> 0)",
+            """WITH other AS (SELECT vec_id, label, CASE WHEN vec_id % 3 = 0
+                   THEN embedding[1:len(embedding) - 1] ELSE embedding END AS embedding
+                 FROM embeddings WHERE label <> 0)""",
             "embeddings", "other", ["vec_id"], ("embedding", "label"),
         ),
         "match_ratio_empty_left": _ratio_sql(
@@ -556,14 +645,14 @@ def oracle_sql() -> dict[str, str]:
         "view_complexity_loose": f"{_complexity_cte(loose=True)} SELECT * FROM classified",
         "view_complexity_counts": f"""{_complexity_cte()}
             SELECT count(*) AS views, count(keyword) AS non_select_views FROM classified""",
-        "sample_row_budget": f"{_budget_cte(1, "o_orderkey")} SELECT * FROM budget",
+        "sample_row_budget": f"{_budget_cte(1)} SELECT * FROM budget",
         "sample_rows": f"""
-            SELECT {order_columns} FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)) LIMIT 500""",
+            SELECT {order_columns} FROM orders ORDER BY {_ORDER_DIGEST} LIMIT 500""",
         "sample_rows_copies": """
             SELECT l_returnflag, l_linestatus FROM lineitem
             ORDER BY md5(concat_ws('|', l_returnflag, l_linestatus)) LIMIT 1234""",
-        "sample_to_size": f"""{_budget_cte(0.01, "md5(CAST(o_orderkey AS VARCHAR))")},
-            ordered AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR))) AS n
+        "sample_to_size": f"""{_budget_cte(0.01)},
+            ordered AS (SELECT *, row_number() OVER (ORDER BY {_ORDER_DIGEST}) AS n
                         FROM orders)
             SELECT {order_columns} FROM ordered WHERE n <= (SELECT row_budget FROM budget)""",
     }

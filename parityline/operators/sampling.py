@@ -20,78 +20,105 @@ def row_bytes(columns: list[str]) -> Column:
     return total
 
 
-def sample_row_budget(
-    df: DataFrame,
-    columns: list[str],
-    size_mb: float,
-    probe_rows: int = PROBE_ROWS,
-    order_by: list[str | Column] | None = None,
-) -> DataFrame:
-    """How many rows fit into ``size_mb``, judged by a few rows, as one row.
+def _sliced(df: DataFrame, keys: list[str] | None) -> DataFrame:
+    """``df`` with its MD5 order, over ``keys`` and then all other columns.
 
-    Without ``order_by`` the probe is whichever rows are found first. The budget
-    is null for an empty table or rows without any bytes.
+    All columns take part, so rows that share a key are spread like any others.
     """
-    probe = df.orderBy(*order_by) if order_by else df
-    measured = probe.select(row_bytes(columns).alias("_bytes")).limit(probe_rows)
-    average = F.avg("_bytes")
-    return measured.agg(
-        F.count("*").alias("probed_rows"),
+    first = keys or []
+    ordered = [*first, *(c for c in df.columns if c not in first)]
+    tagged = df.withColumn("_digest", digest(*[F.col(f"`{c}`") for c in ordered]))
+    return tagged.withColumns(
+        {"_slice": F.left("_digest", F.lit(4)), "_part": F.substring("_digest", 5, 4)}
+    )
+
+
+def _histogram(df: DataFrame, keys: list[str] | None, columns: list[str]) -> DataFrame:
+    """Rows and bytes of each slice, and ``_start``: the rows of the slices before it."""
+    counted = _sliced(df, keys).groupBy("_slice").agg(
+        F.count("*").alias("_rows"), F.sum(row_bytes(columns)).alias("_bytes")
+    )
+    return _with_starts(counted, "_slice")
+
+
+def _with_starts(counted: DataFrame, by: str) -> DataFrame:
+    """``counted`` with ``_start``: at most 65,536 rows, so one task may sum them up."""
+    before = F.sum("_rows").over(Window.orderBy(by)) - F.col("_rows")
+    return counted.withColumn("_start", before)
+
+
+def _budget(slices: DataFrame, size_mb: float, probe_rows: int) -> DataFrame:
+    rows, size = F.sum("_rows"), F.sum("_bytes")
+    average = size.cast("double") / rows
+    return slices.where(F.col("_start") < probe_rows).agg(
+        F.coalesce(rows, F.lit(0)).alias("probed_rows"),
         average.alias("avg_row_bytes"),
         F.floor(F.lit(float(size_mb * _MIB)) / F.nullif(average, F.lit(0.0))).alias("row_budget"),
     )
 
 
-def slice_starts(counted: DataFrame) -> DataFrame:
-    """``_start`` of each ``_slice``: the ``_rows`` of the slices before it.
+def sample_row_budget(
+    df: DataFrame,
+    columns: list[str],
+    size_mb: float,
+    probe_rows: int = PROBE_ROWS,
+    keys: list[str] | None = None,
+) -> DataFrame:
+    """How many rows fit into ``size_mb``, judged by a few rows, as one row.
 
-    Slices are four hex digits, 65,536 at most, so one task may sum them up.
+    The probe are the first slices, in the sample's own order, that together hold
+    at least ``probe_rows`` rows, so it is repeatable and no task gathers rows.
+    The budget is null for an empty table or rows without any bytes.
     """
-    before = F.sum("_rows").over(Window.orderBy("_slice")) - F.col("_rows")
-    return (
-        counted.groupBy("_slice")
-        .agg(F.sum("_rows").alias("_rows"))
-        .select("_slice", before.alias("_start"))
-    )
+    rows = df.select(*[F.col(f"`{c}`") for c in columns])
+    return _budget(_histogram(rows, keys, columns), size_mb, probe_rows)
 
 
 def sample_rows(df: DataFrame, n: int | Column, keys: list[str] | None = None) -> DataFrame:
     """Exactly ``n`` rows (all, if there are fewer), spread evenly and repeatable.
 
-    Rows are taken in the order of an MD5 over ``keys`` (all columns if none are
-    given). A limit would send ``n`` rows of every partition through one task;
-    here a histogram over the leading digits tells which slices are in, only the
-    rows of those, about ``n``, are shuffled, and only the last slice is cut
-    inside. Equal rows are counted, not listed, until the end. ``n`` may be a
-    scalar subquery such as the row budget.
+    Rows are taken in the order of an MD5 over ``keys`` and all other columns. A
+    limit would send ``n`` rows of every partition through one task; here a
+    histogram over the leading digits tells which slices are in, only the rows of
+    those, about ``n``, are shuffled, and the last slice is cut by a second
+    histogram over its next digits. Equal rows are counted, not listed, until the
+    end. ``n`` may be a scalar subquery such as the row budget.
     """
+    return _sample(df, _histogram(df, keys, []), n, keys)
+
+
+def _sample(
+    df: DataFrame, slices: DataFrame, n: int | Column, keys: list[str] | None
+) -> DataFrame:
     n = F.lit(n) if isinstance(n, int) else n
-    columns = df.columns
-    tagged = df.withColumn("_digest", digest(*[F.col(f"`{c}`") for c in keys or columns])).withColumn(
-        "_slice", F.left("_digest", F.lit(4))
-    )
-    starts = slice_starts(tagged.select("_slice", F.lit(1).alias("_rows"))).where(
-        F.col("_start") < n
-    )
-    last = starts.agg(F.max("_slice")).scalar()
-    start_of_last = starts.agg(F.max("_start")).scalar()
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    inside = slices.where(F.col("_start") < n)
+    last = inside.agg(F.max("_slice")).scalar()
+    before = inside.agg(F.max("_start")).scalar()
     packed = (
-        tagged.where(F.col("_slice") <= last)
-        .groupBy("_slice", "_digest", *[f"`{c}`" for c in columns])
+        _sliced(df, keys)
+        .where(F.col("_slice") <= last)
+        .groupBy("_slice", "_part", "_digest", *columns)
         .agg(F.count("*").alias("_copies"))
     )
-    in_slice = (
-        Window.partitionBy("_slice")
-        .orderBy("_digest", *[f"`{c}`" for c in columns])
+    # Parts of the last slice: 65,536 at most, each with a 2 ** -32 share of all rows.
+    parts = packed.where(F.col("_slice") == last).groupBy("_part").agg(F.sum("_copies").alias("_rows"))
+    parts = _with_starts(parts, "_part").where(before + F.col("_start") < n)
+    last_part = parts.agg(F.max("_part")).scalar()
+    before_part = parts.agg(F.max("_start")).scalar()
+    taken = packed.where((F.col("_slice") < last) | (F.col("_part") <= last_part))
+    cut = (F.col("_slice") == last) & (F.col("_part") == last_part)
+    in_part = (
+        Window.partitionBy("_slice", "_part")
+        .orderBy("_digest", *columns)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    room = n - start_of_last - (F.sum("_copies").over(in_slice) - F.col("_copies"))
-    taken = packed.withColumn(
-        "_taken",
-        F.when(F.col("_slice") < last, F.col("_copies")).otherwise(F.least(F.col("_copies"), room)),
+    room = n - before - before_part - (F.sum("_copies").over(in_part) - F.col("_copies"))
+    taken = taken.withColumn(
+        "_taken", F.when(cut, F.least(F.col("_copies"), room)).otherwise(F.col("_copies"))
     ).where(F.col("_taken") > 0)
     return expand_ranges(taken, F.lit(1).cast("bigint"), F.col("_taken"), "_copy", by=["_digest"]).select(
-        *[f"`{c}`" for c in columns]
+        *columns
     )
 
 
@@ -105,10 +132,10 @@ def sample_to_size(
 ) -> DataFrame:
     """A sample of the given columns that fits the size; lazy, budget included.
 
-    The row size is judged by the first rows of the sample's own order, so that
-    every evaluation of the budget gives the same number.
+    One histogram gives both the row size, judged by the first slices, and the
+    slices that are in, so the table is read twice.
     """
-    quoted = [F.col(f"`{c}`") for c in columns]
-    ordered = [digest(*[F.col(f"`{c}`") for c in keys or columns]), *quoted]
-    budget = sample_row_budget(df, columns, size_mb, probe_rows, ordered)
-    return sample_rows(df.select(*quoted), budget.select("row_budget").scalar(), keys)
+    rows = df.select(*[F.col(f"`{c}`") for c in columns])
+    slices = _histogram(rows, keys, columns)
+    budget = _budget(slices, size_mb, probe_rows).select("row_budget").scalar()
+    return _sample(rows, slices, budget, keys)

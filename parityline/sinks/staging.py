@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from parityline.functions.names import STAGING_NAMESPACE, STAGING_SUFFIX, staging_table
-from parityline.operators.sampling import PROBE_ROWS, row_bytes, sample_rows, slice_starts
+from parityline.operators.sampling import PROBE_ROWS, sample_row_budget, sample_rows
 from parityline.sources.catalog import table_columns
 
 
@@ -17,25 +15,6 @@ class StagingError(Exception):
     """A sample could not be staged."""
 
 
-def enough_files(table: DataFrame, n: int) -> DataFrame:
-    """The table, cut down to files that hold at least ``n`` rows.
-
-    A job over the files' row counts, which are in their footers, finds how many
-    files are needed in the order of an MD5 of their paths. The filter is on file
-    metadata, so Spark never opens the others. Tables not made of files are
-    returned as they are.
-    """
-    path = F.col("_metadata.file_path")
-    try:
-        files = table.groupBy(path.alias("_path")).agg(F.count("*").alias("_rows"))
-        slices = files.select(F.left(F.md5("_path"), F.lit(4)).alias("_slice"), "_rows")
-        needed = slice_starts(slices).where(F.col("_start") < n)
-        last = needed.agg(F.max("_slice").alias("last")).first()["last"]
-    except AnalysisException:
-        return table
-    return table if last is None else table.where(F.left(F.md5(path), F.lit(4)) <= last)
-
-
 def stage_sample(
     spark: SparkSession,
     name: str,
@@ -43,27 +22,26 @@ def stage_sample(
     size_mb: float,
     *,
     keys: list[str] | None = None,
+    probe_rows: int = PROBE_ROWS,
     known: Mapping[str, DataFrame] | None = None,
     namespace: str = STAGING_NAMESPACE,
     suffix: str = STAGING_SUFFIX,
 ) -> str:
     """Replace the staging table of ``name`` by a sample and return its name.
 
-    The row size is judged by the first rows found: 100 numbers that reach the
-    driver, which reads a partition or two for them. Then only as many files are
-    read as the sample needs, however large the table is.
+    The sample is that of ``sample_to_size``: spread over the whole table, whatever
+    its files, and the same at every run. What its size allows is found first, so
+    that a table without rows, or without room, replaces nothing.
     """
     try:
         target = staging_table(name, namespace, suffix)
         source = table_columns(spark, name, columns, known)
-        probe = source.select(row_bytes(columns).alias("bytes")).limit(PROBE_ROWS).collect()
-        if not probe:
+        found = sample_row_budget(source, columns, size_mb, probe_rows, keys).first()
+        if not found["probed_rows"]:
             raise StagingError(f"{name} has no rows")
-        average = sum(r["bytes"] for r in probe) / len(probe)
-        budget = int(size_mb * 1024 * 1024 / average) if average else 0
-        if budget <= 0:
+        if not found["row_budget"] or found["row_budget"] <= 0:
             raise StagingError(f"no rows of {name} fit into {size_mb} MiB")
-        sample = sample_rows(enough_files(source, budget), budget, keys)
+        sample = sample_rows(source, found["row_budget"], keys)
         sample.write.mode("overwrite").saveAsTable(target)
     except StagingError:
         raise

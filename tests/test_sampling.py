@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import Counter
 
 import pytest
@@ -6,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from parityline.operators.sampling import row_bytes, sample_row_budget, sample_rows, sample_to_size
-from parityline.sinks.staging import StagingError, enough_files, stage_sample
+from parityline.sinks.staging import StagingError, stage_sample
 
 
 def digest(*values):
@@ -18,8 +19,24 @@ def test_exact_number_in_digest_order(spark, n):
     df = spark.range(1000).select("id", (F.col("id") % 7).alias("v"))
     want = sorted(range(1000), key=lambda i: digest(i, i % 7))[:n]
     assert sorted(r[0] for r in sample_rows(df, n).collect()) == sorted(want)
-    by_id = sorted(range(1000), key=digest)[:n]
-    assert sorted(r[0] for r in sample_rows(df, n, ["id"]).collect()) == sorted(by_id)
+    by_v = sorted(range(1000), key=lambda i: digest(i % 7, i))[:n]
+    assert sorted(r[0] for r in sample_rows(df, n, ["v"]).collect()) == sorted(by_v)
+
+
+def test_a_hot_key_gets_its_share(spark):
+    hot = min(range(3000), key=digest)
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, hot).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+    got = Counter(r[0] for r in sample_rows(df, 900, ["k"]).collect())
+    assert sum(got.values()) == 900 and 220 <= got[hot] <= 380
+
+
+def test_last_slice_is_cut_by_parts(spark):
+    """No window runs over a whole slice: its partitions are the parts of the last one."""
+    plan = sample_rows(spark.range(100).toDF("v"), 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"windowspecdefinition\(_slice#\d+, _part#\d+, _digest", plan)
+    assert not re.search(r"windowspecdefinition\(_slice#\d+, _digest", plan)
 
 
 def test_copies_are_counted_not_merged(spark):
@@ -44,7 +61,10 @@ def test_budget(spark):
     assert [r[0] for r in df.select(row_bytes(["s", "i"])).collect()] == [3, 4, 3]
     got = sample_row_budget(df, ["s", "i"], 1).first()
     assert tuple(got) == (3, 10 / 3, int(1024 * 1024 / (10 / 3)))
-    assert tuple(sample_row_budget(df, ["s"], 1, 2, ["s"]).first()) == (2, 1.0, 1024 * 1024)
+    one = sample_row_budget(df, ["s", "i"], 1, 1, ["i"]).first()
+    first = min([("ab", 1), ("cdé", None), (None, 123)], key=lambda r: digest(*(x for x in (r[1], r[0]) if x is not None)))
+    size = sum(len(str(x).encode()) for x in first if x is not None)
+    assert tuple(one) == (1, size, 1024 * 1024 // size)
     assert tuple(sample_row_budget(df.limit(0), ["s"], 1).first()) == (0, None, None)
 
 
@@ -77,29 +97,19 @@ def test_staged_sample(spark, tmp_path):
     spark.sql("DROP DATABASE staged CASCADE")
 
 
-def test_only_the_needed_files_are_read(spark, tmp_path):
-    spark.range(12_000).withColumn("t", F.lit("x")).repartition(60).write.parquet(str(tmp_path / "t"))
-    table = spark.read.parquet(str(tmp_path / "t"))
-    few = enough_files(table.select("id"), 1000)
-    assert 1000 <= few.count() <= 1300
-    assert few.select(F.input_file_name()).distinct().count() <= 7
-    # The filter on the path is used to list files, so fewer tasks are planned.
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
-    try:
-        tasks = [
-            df.select(F.spark_partition_id().alias("p"))._jdf.queryExecution().toRdd().getNumPartitions()
-            for df in (table.select("id"), enough_files(table.select("id"), 1000))
-        ]
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert tasks[1] * 5 < tasks[0]
-    assert enough_files(table, 10**9).count() == 12_000
-    assert sample_rows(few, 1000).count() == 1000
-    rest = spark.range(9).groupBy("id").count()
-    assert enough_files(rest, 3).count() == 9
-    assert enough_files(table.where("id < 0"), 3).count() == 0
+def test_staged_sample_is_of_the_whole_table(spark, tmp_path):
+    """A table in id order over many files: every range is sampled, the same at each run."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS spread")
+    frame = spark.range(5000).withColumn("t", F.lit("x" * 96))
+    frame.repartitionByRange(50, "id").write.parquet(str(tmp_path / "t"))
+    stage = dict(known={"a.b.c": spark.read.parquet(str(tmp_path / "t"))}, namespace="spread")
+    runs = []
+    for _ in range(2):
+        name = stage_sample(spark, "a.b.c", ["id", "t"], 0.04, keys=["id"], probe_rows=50, **stage)
+        runs.append(sorted(r.id for r in spark.table(name).select("id").collect()))
+    spark.sql("DROP DATABASE spread CASCADE")
+    assert runs[0] == runs[1] and 380 <= len(runs[0]) <= 440
+    assert len({i // 100 for i in runs[0]}) >= 45
 
 
 def test_no_single_task_gets_the_sample(spark):
