@@ -97,6 +97,12 @@ def _manifest_columns(df: DataFrame) -> DataFrame:
     return df.select(*[_text(c) if c == "primary_keys" else c for c in df.columns])
 
 
+def _ratio(*args, **options: bool) -> DataFrame:
+    """The match ratio; counts fit a long at these sizes, as in the SQL."""
+    found = compare.match_ratio(*args, **options)
+    return found.withColumn("matched_rows", F.col("matched_rows").cast("long"))
+
+
 def _match(
     left: str = "legacy",
     right: str = "migrated",
@@ -104,9 +110,8 @@ def _match(
     **options: bool,
 ) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return compare.match_ratio(
-            view(spark, sf, left), view(spark, sf, right), ["pk"], columns, **options
-        )
+        pair = view(spark, sf, left), view(spark, sf, right)
+        return _ratio(*pair, ["pk"], columns, **options)
 
     return run
 
@@ -114,7 +119,7 @@ def _match(
 def _match_dup_pk(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem")
     pk = ["l_orderkey", "l_linenumber"]
-    return compare.match_ratio(items, items, pk, [*pk, "l_returnflag"])
+    return _ratio(items, items, pk, [*pk, "l_returnflag"])
 
 
 def _match_bounded(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,7 +127,7 @@ def _match_bounded(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem")
     returned = items.where("l_returnflag <> 'R' or l_linenumber > 3")
     columns = ["l_orderkey", "l_returnflag"]
-    return compare.match_ratio(items, returned, ["l_orderkey"], columns, bounded=True)
+    return _ratio(items, returned, ["l_orderkey"], columns, bounded=True)
 
 
 def _moved(spark: SparkSession, sf: str, side: str) -> DataFrame:
@@ -137,7 +142,7 @@ def _moved(spark: SparkSession, sf: str, side: str) -> DataFrame:
 
 def _match_moved_nulls(spark: SparkSession, sf: str) -> DataFrame:
     left, right = _moved(spark, sf, "left"), _moved(spark, sf, "right")
-    return compare.match_ratio(left, right, ["pk"], null_safe=True, wide=True)
+    return _ratio(left, right, ["pk"], null_safe=True, wide=True)
 
 
 def _zeros(spark: SparkSession, sf: str, side: str) -> DataFrame:
@@ -152,7 +157,7 @@ def _zeros(spark: SparkSession, sf: str, side: str) -> DataFrame:
 
 def _match_signed_zeros(spark: SparkSession, sf: str) -> DataFrame:
     left, right = _zeros(spark, sf, "left"), _zeros(spark, sf, "right")
-    return compare.match_ratio(left, right, ["pk"], typed=True, null_safe=True, wide=True)
+    return _ratio(left, right, ["pk"], typed=True, null_safe=True, wide=True)
 
 
 def _mapped(spark: SparkSession, sf: str, side: str) -> DataFrame:
@@ -167,7 +172,7 @@ def _mapped(spark: SparkSession, sf: str, side: str) -> DataFrame:
 
 def _match_maps(spark: SparkSession, sf: str) -> DataFrame:
     left, right = _mapped(spark, sf, "left"), _mapped(spark, sf, "right")
-    return compare.match_ratio(left, right, ["pk"], normalize_maps=True)
+    return _ratio(left, right, ["pk"], normalize_maps=True)
 
 
 def _match_array(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,14 +180,14 @@ def _match_array(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings")
     cut = F.slice("embedding", 1, F.size("embedding") - 1)
     changed = F.when(F.col("vec_id") % 3 == 0, cut).otherwise(F.col("embedding"))
-    return compare.match_ratio(
+    return _ratio(
         vectors, vectors.where("label <> 0").withColumn("embedding", changed), ["vec_id"]
     )
 
 
 def _match_empty_left(spark: SparkSession, sf: str) -> DataFrame:
     none = view(spark, sf, "legacy").where(F.col("o_totalprice") < 0)
-    return compare.match_ratio(none, view(spark, sf, "migrated"), ["pk"])
+    return _ratio(none, view(spark, sf, "migrated"), ["pk"])
 
 
 def _row_hash_match(spark: SparkSession, sf: str) -> DataFrame:

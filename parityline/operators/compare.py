@@ -129,9 +129,8 @@ def match_ratio(
     """Share of left rows found on the right by key and hash, as one row.
 
     Copies multiply, as in a join, so duplicate keys can lift the ratio above 1;
-    ``bounded`` counts each left row at most once. ``matched_rows`` is null only
-    beyond the bigint range; the ratio stays right there. ``options`` go to
-    ``row_hash``.
+    ``bounded`` counts each left row at most once. ``matched_rows`` is a whole
+    decimal, wide enough for any product of counts. ``options`` go to ``row_hash``.
 
     ``bucketed`` is for two tables bucketed alike by key columns: together with
     ``spark.sql.requireAllClusterKeysForCoPartition=false`` no row is shuffled.
@@ -156,7 +155,7 @@ def match_ratio(
         .otherwise(matched.cast("double") / n.cast("double"))
         .alias("ratio"),
         n,
-        matched.try_cast("bigint").alias("matched_rows"),
+        matched.alias("matched_rows"),
     )
 
 

@@ -11,6 +11,10 @@ from parityline.operators.substring import names_containing, names_ending_with,
 NAME = "eds_equivalent_table"
 
 
+def _names(tickets: DataFrame, name: str) -> DataFrame:
+    return tickets.select(name).where(F.col(name).isNotNull()).distinct()
+
+
 def _ingestion_rows(names: DataFrame, ingestion_keys: DataFrame, name: str) -> DataFrame:
     return names_ending_with(names, ingestion_keys.select("table", "key_cols"), name, "table")
 
@@ -22,14 +26,14 @@ def _view_rows(names: DataFrame, view_keys: DataFrame, name: str, exact: bool) -
 
 def join_ingestion_keys(tickets: DataFrame, ingestion_keys: DataFrame, name: str = NAME) -> DataFrame:
     """Left join on "name ends with .<table>_vw"; one row per matching config."""
-    return left_lookup(tickets, _ingestion_rows(tickets, ingestion_keys, name), name)
+    return left_lookup(tickets, _ingestion_rows(_names(tickets, name), ingestion_keys, name), name)
 
 
 def join_view_keys(
     tickets: DataFrame, view_keys: DataFrame, name: str = NAME, *, exact: bool = False
 ) -> DataFrame:
     """Left join on "name contains view name"; one row per matching view."""
-    return left_lookup(tickets, _view_rows(tickets, view_keys, name, exact), name)
+    return left_lookup(tickets, _view_rows(_names(tickets, name), view_keys, name, exact), name)
 
 
 def attach_keys(
@@ -46,9 +50,10 @@ def attach_keys(
 
     The ingestion key wins over the view key, even an empty one unless
     ``empty_is_missing``. Keys are resolved once per distinct name, and the
-    tickets, of which many may share a name, are joined to that result once.
+    tickets, of which many may share a name, are joined to that result once. Both
+    lookups start from one frame of distinct names, which is shuffled once.
     """
-    names = tickets.select(name).where(F.col(name).isNotNull()).distinct()
+    names = _names(tickets, name)
     # Each name occurs once here, so plain joins on one partitioning will do.
     per_name = names.join(_ingestion_rows(names, ingestion_keys, name), name, "left").join(
         _view_rows(names, view_keys, name, exact), name, "left"

@@ -37,11 +37,12 @@ def assign_batches(merged: DataFrame, size: int = BATCH_SIZE, tie: tuple[str, ..
     give each such slice its first number, and slices are numbered on their own.
     Equal rows are counted before the first shuffle and written out at the end.
     """
+    columns = [F.col(f"`{c}`") for c in merged.columns]
     packed = (
         merged.where(valid_schema())
-        .groupBy(*merged.columns)
+        .groupBy(*columns)
         .agg(F.count("*").alias("_copies"))
-        .withColumns({"_flag": _no_key_last(), "_digest": digest(*[F.col(c) for c in tie])})
+        .withColumns({"_flag": _no_key_last(), "_digest": digest(*[F.col(f"`{c}`") for c in tie])})
         .withColumn("_slice", F.left("_digest", F.lit(3)))
     )
     slice_of = ["eds_schema", "_flag", "_slice"]
@@ -52,10 +53,10 @@ def assign_batches(merged: DataFrame, size: int = BATCH_SIZE, tie: tuple[str, ..
         .agg(F.sum("_copies").alias("_rows"))
         .select(*slice_of, (F.sum("_rows").over(earlier_slices) - F.col("_rows")).alias("_start"))
     )
-    rest = [c for c in merged.columns if c not in tie]
+    ordered = [F.col(f"`{c}`") for c in (*tie, *(c for c in merged.columns if c not in tie))]
     in_slice = (
         Window.partitionBy(*slice_of)
-        .orderBy("_digest", *tie, *rest)
+        .orderBy("_digest", *ordered)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     placed = packed.withColumn("_upto", F.sum("_copies").over(in_slice)).join(starts, slice_of)
@@ -64,7 +65,7 @@ def assign_batches(merged: DataFrame, size: int = BATCH_SIZE, tie: tuple[str, ..
         placed, last - F.col("_copies") + 1, last, "_number", by=["eds_schema"]
     )
     return numbered.select(
-        *merged.columns, F.expr(f"cast(_number div {int(size)} as int)").alias("batch_id")
+        *columns, F.expr(f"cast(_number div {int(size)} as int)").alias("batch_id")
     )
 
 

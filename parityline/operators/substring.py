@@ -1,6 +1,7 @@
 """Joins on "name ends with" and "name contains", as equi-joins.
 
-Each function returns the distinct names with every matching row of ``keys``.
+Each function takes names that are distinct and returns them with every matching row
+of ``keys``.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ def names_ending_with(names: DataFrame, keys: DataFrame, name: str, key: str) ->
     )
     candidates = (
         names.select(name)
-        .distinct()
         .where(F.endswith(F.col(name), F.lit(VIEW_SUFFIX)) & (F.size(parts) > 1))
         .select(name, F.explode(tails).alias(key))
     )
@@ -56,7 +56,6 @@ def names_containing(names: DataFrame, keys: DataFrame, name: str, key: str) ->
     places = (
         names.select(name)
         .where(F.col(name).isNotNull())
-        .distinct()
         .select(name, F.explode(seed_sizes).alias("_size"))
         .where(size >= F.col("_size"))
         .select(name, "_size", F.explode(starts).alias("_at"))
@@ -83,5 +82,5 @@ def names_listing(names: DataFrame, keys: DataFrame, name: str, key: str) -> Dat
     parts = F.transform(F.split(name, "/"), lambda one: F.split(F.trim(one), r"\."))
     whole = F.filter(parts, lambda p: F.size(p) > 1)
     listed = F.array_distinct(F.transform(whole, lambda p: F.array_join(F.slice(p, -2, 2), ".")))
-    candidates = names.select(name).distinct().select(name, F.explode(listed).alias(key))
+    candidates = names.select(name, F.explode(listed).alias(key))
     return inner_lookup(candidates, keys, key)

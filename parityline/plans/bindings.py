@@ -173,6 +173,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the views above, on the tables in ``sf_dir``."""
     query = f"{with_clause(name)} SELECT * FROM {name}"
     for t in TABLES:
-        if re.search(rf"(FROM|JOIN) {t}\b", query):
-            table(spark, sf_dir, t).createOrReplaceTempView(t)
+        # Views of a name of their own: the caller's session may have an orders view.
+        query, uses = re.subn(rf"(FROM|JOIN) {t}\b", rf"\1 _parityline_{t}", query)
+        if uses:
+            table(spark, sf_dir, t).createOrReplaceTempView(f"_parityline_{t}")
     return spark.sql(query)

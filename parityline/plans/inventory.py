@@ -29,20 +29,18 @@ def run_inventory(
     view_keys: DataFrame,
     output: str,
     source_prefix: str,
-    scratch: str | None = None,
     *,
     lines: bool = False,
 ) -> dict[str, DataFrame]:
     """Write the manifests and return the one-row reports.
 
     The merged frame feeds several reports and the manifests, so it is written
-    once to the shared folder; nothing is joined twice. ``lines`` is for large
+    once to the shared folder, until ``discard_written``; nothing is joined twice. ``lines`` is for large
     inventories, where one file per batch would be too many.
     """
     merged = written(
         attach_keys(named_targets(tickets, source_prefix), ingestion_keys, view_keys),
         "merged",
-        scratch,
     )
     (write_manifest_lines if lines else write_manifest)(validation_manifest(merged), output)
     return {

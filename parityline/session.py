@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_WRITTEN: list[str] = []
 
 
 def local_session(app: str, cores: str | int = "*", **conf: str) -> SparkSession:
@@ -23,25 +24,30 @@ def local_session(app: str, cores: str | int = "*", **conf: str) -> SparkSession
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Folder every executor can reach, as named by the cluster.
-
-    ``fallback`` is for tests only: a machine-local folder would lose its files
-    together with the executor that wrote them.
-    """
-    path = spark.conf.get(CHECKPOINT_DIR, None) or fallback
+def shared_dir(spark: SparkSession) -> str:
+    """Folder every executor can reach, as named by the cluster in its settings."""
+    path = spark.conf.get(CHECKPOINT_DIR, None)
     if not path:
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
     return path.rstrip("/")
 
 
-def written(df: DataFrame, name: str, fallback: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several actions need the same frame. Unlike a cache, the files
-    outlive any executor, and the lineage ends here.
+    outlive any executor, and the lineage ends here. ``discard_written`` removes them.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark, fallback)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_written(spark: SparkSession) -> None:
+    """Remove what ``written`` has written in this process, once no frame needs it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    while _WRITTEN:
+        path = hadoop(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 COLUMN_ROWS = "table_name string, column_name string, ordinal int, type string, type_id string"
@@ -13,7 +12,11 @@ COLUMN_ROWS = "table_name string, column_name string, ordinal int, type string,
 def resolve(
     spark: SparkSession, name: str | None, known: Mapping[str, DataFrame] | None = None
 ) -> DataFrame | None:
-    """The named table, from ``known`` or the catalog; None if it cannot be read."""
+    """The named table, from ``known`` or the catalog; None if it cannot be read.
+
+    Whatever keeps a table from being read, a missing name or a failing store, makes
+    that one table unreadable and does not end the others' check.
+    """
     if known and name in known:
         return known[name]
     if not name:
@@ -22,7 +25,7 @@ def resolve(
         table = spark.table(name)
         table.schema  # resolves the name now also under a lazy client
         return table
-    except AnalysisException:
+    except Exception:  # noqa: BLE001
         return None
 
 
@@ -51,3 +54,21 @@ def column_rows(
                 for i, f in enumerate(table.schema.fields, 1)
             ]
     return spark.createDataFrame(rows, COLUMN_ROWS)
+
+
+def batch_columns(
+    batch: DataFrame,
+    known: Mapping[str, DataFrame] | None = None,
+    tables: tuple[str, ...] = ("edw_table", "eds_equivalent_table", "eds_base_table"),
+    size: int = 20,
+) -> DataFrame:
+    """``column_rows`` of the tables that one batch of the manifest names.
+
+    A batch has at most ``size`` rows by its making; a larger frame is an error, so
+    that no more than a batch's names reach the driver.
+    """
+    rows = batch.select(*tables).take(size + 1)
+    if len(rows) > size:
+        raise ValueError(f"a batch has at most {size} rows; filter the manifest by schema and batch_id")
+    names = [r[t] for r in rows for t in tables if r[t]]
+    return column_rows(batch.sparkSession, names, known)

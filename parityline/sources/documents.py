@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -19,21 +20,34 @@ def _plain_path(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "/")
 
 
+def literal_path(path: str) -> str:
+    """A path meant as it is: what a glob would read is escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def read_documents(
-    spark: SparkSession, paths: str | list[str], only: DataFrame | None = None
+    spark: SparkSession,
+    paths: str | list[str] | None = None,
+    only: DataFrame | None = None,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Whole files as ``(path, content)``.
 
-    ``paths`` may be files, folders or globs. ``only`` restricts them to the
-    paths in its ``path`` column, as a join and not as a list on the driver.
+    ``paths`` may be files, folders or globs, of which ``pattern`` (a glob over file
+    names) keeps some. ``only`` names the files in its ``path`` column instead; these
+    alone are opened, and one that is missing is an error. A list is a few bytes a
+    file and is read by the driver, which has to list files in any case.
     """
-    found = spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+    options = {"pathGlobFilter": pattern} if pattern else {}
+    if only is not None:
+        listed = [r["path"] for r in only.select("path").distinct().collect()]
+        paths = [literal_path(p) for p in listed]
+        if not paths:
+            return spark.createDataFrame([], "path string, content string")
+    found = spark.read.text(paths, wholetext=True, recursiveFileLookup=True, **options)
     # Spark reports paths as URIs, in which a plus sign stands for itself.
     path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
-    docs = found.select(_plain_path(path).alias("path"), F.col("value").alias("content"))
-    if only is not None:
-        docs = docs.join(only.select("path").distinct(), "path", "left_semi")
-    return docs
+    return found.select(_plain_path(path).alias("path"), F.col("value").alias("content"))
 
 
 def listed_paths(spark: SparkSession, list_files: str | list[str], base: str = "") -> DataFrame:
@@ -61,14 +75,19 @@ def _yaml_as_json(content: str) -> Column:
     return F.pandas_udf(convert, StringType())(content)
 
 
+_FAIL = {"mode": "FAILFAST"}
+
+
 def _key_list(raw: Column) -> Column:
-    """Keys given as a list, as a mapping with ``snapshots``, or not at all."""
+    """Keys given as a list, as a mapping with ``snapshots``, or not at all.
+
+    A mapping without ``snapshots`` is an error, as is a list of anything but values.
+    """
+    snapshots = F.from_json(raw, "struct<snapshots: array<string>>", _FAIL)["snapshots"]
+    lost = F.raise_error(F.concat(F.lit("key_columns without snapshots: "), raw))
     return (
-        F.when(F.startswith(raw, F.lit("[")), F.from_json(raw, "array<string>"))
-        .when(
-            F.startswith(raw, F.lit("{")),
-            F.from_json(raw, "struct<snapshots: array<string>>")["snapshots"],
-        )
+        F.when(F.startswith(raw, F.lit("[")), F.from_json(raw, "array<string>", _FAIL))
+        .when(F.startswith(raw, F.lit("{")), F.coalesce(snapshots, lost.cast("array<string>")))
         .otherwise(F.array().cast("array<string>"))
     )
 
@@ -76,11 +95,12 @@ def _key_list(raw: Column) -> Column:
 def ingestion_keys(docs: DataFrame) -> DataFrame:
     """``(table, key_cols)`` of every config entry but the first of each file.
 
-    A missing key list gives an empty array: configured, but without a key.
+    A missing key list gives an empty array: configured, but without a key. A file
+    whose entries are not all mappings is an error, not a file without entries.
     """
     parsed = docs.select(
         F.from_json(
-            _yaml_as_json("content"), "struct<configurations: array<map<string, string>>>"
+            _yaml_as_json("content"), "struct<configurations: array<map<string, string>>>", _FAIL
         )["configurations"].alias("_entries")
     )
     entries = parsed.select(F.explode(F.filter("_entries", lambda _, i: i > 0)).alias("_entry"))
@@ -127,12 +147,14 @@ def load_view_keys(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def view_models(docs: DataFrame) -> DataFrame:
     """``(path, schema, table, description, columns)`` of each view model file.
 
-    Schema and table are the third-last and last path segments up to a dot.
+    Schema and table are the third-last and last path segments up to a dot. Columns
+    that are not mappings with a name are an error.
     """
     model = F.get(
         F.from_json(
             _yaml_as_json("content"),
             "struct<models: array<struct<description: string, columns: array<struct<name: string>>>>>",
+            _FAIL,
         )["models"],
         F.lit(0),
     )
@@ -150,3 +172,9 @@ def view_models(docs: DataFrame) -> DataFrame:
         F.coalesce("_model.description", F.lit("")).alias("description"),
         F.col("_model.columns.name").alias("columns"),
     )
+
+
+def view_texts(spark: SparkSession, list_files: str | list[str], base: str = "") -> DataFrame:
+    """``(path, sql_text)`` of the view definitions that the files list, for ``view_complexity``."""
+    docs = read_documents(spark, only=listed_paths(spark, list_files, base))
+    return docs.withColumnRenamed("content", "sql_text")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parityline.functions.names import schema_part
+from parityline.sources.documents import literal_path
 
 # Export headers and the names used here.
 EXPORT_COLUMNS = {
@@ -34,13 +38,19 @@ def load_tickets(
     Types are not inferred, which would read everything twice. Quoted line
     breaks are kept whole, so the unit of parallel reading is a file; with
     ``multi_line=False`` large files are split, which is safe only when no field
-    has a line break.
+    has a line break. Each file is read by its own header, whatever the order of its
+    columns; files with equal headers are read together. Exports are few, large
+    files, so one short look at each header is little.
     """
     reader = spark.read.options(header=True, multiLine=multi_line, escape='"', **options)
     try:
-        export = reader.csv(path)
+        files = spark.read.text(path).inputFiles()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(str(path)) from error
         raise
-    return project_tickets(export)
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(literal_path(unquote(f)) for f in files):  # they come as addresses
+        alike.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    parts = [project_tickets(reader.csv(group)) for group in alike.values()]
+    return reduce(DataFrame.unionAll, parts)

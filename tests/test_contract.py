@@ -2,6 +2,7 @@
 
 import json
 import math
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from parityline.plans.bindings import view
 from parityline.plans.inventory import run_inventory
-from parityline.session import CHECKPOINT_DIR, shared_dir
+from parityline.session import CHECKPOINT_DIR, discard_written, shared_dir, written
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -60,14 +61,13 @@ def test_whole_run(spark, tmp_path):
         contract._ingestion_keys(spark, SF),
         contract._view_keys(spark, SF),
     )
-    scratch = str(tmp_path / "scratch")
-    reports = run_inventory(*inputs, str(tmp_path / "out"), "legacy.src_", scratch)
-    run_inventory(*inputs, str(tmp_path / "lines"), "legacy.src_", scratch, lines=True)
+    reports = run_inventory(*inputs, str(tmp_path / "out"), "legacy.src_")
+    run_inventory(*inputs, str(tmp_path / "lines"), "legacy.src_", lines=True)
     funnel, coverage = reports["funnel"].first(), reports["coverage"].first()
     assert funnel.total == view(spark, SF, "tickets").count()
     assert coverage.total >= funnel.target > 0
     skipped = reports["skipped"].first()
-    written = [
+    manifest = [
         r for f in (tmp_path / "out").rglob("part-*") for r in json.loads(f.read_text())
     ]
     keyed = contract._merged(spark, SF).where(
@@ -75,15 +75,15 @@ def test_whole_run(spark, tmp_path):
         & F.col("eds_schema").isNotNull()
         & ~F.contains("eds_schema", F.lit("/"))
     )
-    assert len(written) == keyed.count()
+    assert len(manifest) == keyed.count()
     lines = [
         json.loads(line)
         for f in (tmp_path / "lines").rglob("part-*")
         for line in f.read_text().splitlines()
     ]
-    assert sorted(map(str, lines)) == sorted(map(str, written))
+    assert sorted(map(str, lines)) == sorted(map(str, manifest))
     assert skipped.mixed_schema > 0
-    assert set(written[0]) == {
+    assert set(manifest[0]) == {
         "edw_table", "eds_equivalent_table", "status", "is_table_replaced", "issue_key",
         "eds_schema", "eds_base_table", "table", "view_table", "primary_keys", "batch_id",
     }
@@ -101,7 +101,21 @@ class Settings:
 
 def test_shared_dir_is_the_clusters():
     named = Settings(**{CHECKPOINT_DIR: "hdfs://shared/checkpoints/"})
-    assert shared_dir(named, "/own") == "hdfs://shared/checkpoints"
-    assert shared_dir(Settings(), "/own/") == "/own"
+    assert shared_dir(named) == "hdfs://shared/checkpoints"
     with pytest.raises(ValueError, match=CHECKPOINT_DIR):
         shared_dir(Settings())
+
+
+def test_written_frames_can_be_discarded(spark):
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    frame = written(spark.range(3).toDF("v"), "kept")
+    assert frame.count() == 3 and list(folder.glob("kept-*"))
+    discard_written(spark)
+    assert not list(folder.glob("kept-*"))
+
+
+def test_views_leave_the_callers_alone(spark):
+    spark.range(1).createOrReplaceTempView("orders")
+    assert view(spark, SF, "tickets").count() > 1
+    assert spark.table("orders").count() == 1
+    spark.catalog.dropTempView("orders")

@@ -10,6 +10,7 @@ from parityline.sources.documents import (
     read_documents,
     view_keys,
     view_models,
+    view_texts,
 )
 
 CONFIG = """
@@ -94,3 +95,48 @@ def test_view_models(spark, tmp_path):
         ("gold", "items", "Primary Key: id", ["id", "2"]),
         ("gold", "none", "", None),
     ]
+
+
+def test_malformed_entries_are_errors(spark, tmp_path):
+    for i, text in enumerate(
+        (
+            "configurations:\n- target_table: header\n- plain\n- target_table: good\n  key_columns: [a]\n",
+            "configurations:\n- {}\n- target_table: t\n  key_columns: {other: [x]}\n",
+        )
+    ):
+        put(tmp_path / f"c{i}/bad.yml", text)
+        with pytest.raises(Exception, match="MALFORMED|malformed|without snapshots"):
+            ingestion_keys(read_documents(spark, str(tmp_path / f"c{i}"))).collect()
+    put(tmp_path / "m/s.x/models/t.v1.yml", "models:\n- columns: [id, x]\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        view_models(read_documents(spark, str(tmp_path / "m"))).collect()
+
+
+def test_listed_files_alone_are_opened(spark, tmp_path):
+    put(tmp_path / "repo/a.sql", "select 1")
+    put(tmp_path / "repo/odd [x] {y} *.sql", "select 2")
+    put(tmp_path / "repo/secret.sql", "never read").encode()
+    (tmp_path / "repo/secret.sql").chmod(0)
+    lists = put(tmp_path / "list.txt", "repo/a.sql\nrepo/odd [x] {y} *.sql\n")
+    got = view_texts(spark, lists, f"{tmp_path}/")
+    assert rows(got, "sql_text") == [("select 1",), ("select 2",)]
+    assert len(got.inputFiles()) == 2
+    missing = put(tmp_path / "list2.txt", "repo/a.sql\nrepo/gone.sql\n")
+    with pytest.raises(Exception, match="gone.sql"):
+        view_texts(spark, missing, f"{tmp_path}/").collect()
+    assert view_texts(spark, put(tmp_path / "none.txt", "\n"), f"{tmp_path}/").count() == 0
+
+
+def test_listed_views_are_classified(spark, tmp_path):
+    from parityline.operators.views import view_complexity
+
+    put(tmp_path / "v/one.sql", "SELECT a FROM t")
+    put(tmp_path / "v/two.sql", "SELECT a FROM t JOIN u ON t.a = u.a GROUP BY a")
+    lists = put(tmp_path / "list.txt", "v/one.sql\nv/two.sql")
+    assert view_complexity(view_texts(spark, lists, f"{tmp_path}/"), "sql_text").count() == 2
+
+
+def test_a_pattern_keeps_stray_files_out(spark, tmp_path):
+    put(tmp_path / "c/one.yml", CONFIG)
+    put(tmp_path / "c/notes.txt", "a: [")
+    assert ingestion_keys(read_documents(spark, str(tmp_path / "c"), pattern="*.yml")).count() == 6

@@ -20,7 +20,7 @@ def test_names_containing_equal_brute_force(spark):
     names = [word(0, 30) for _ in range(150)] + [None, "", "é€𝄞.ab", "prod.silver.table_one_vw"]
     keys = [word(0, 14) for _ in range(80)] + [None, "", "€𝄞.a", "silver.table_on", "silver.table_one_vw"]
     got = names_containing(
-        spark.createDataFrame([(n,) for n in names * 2], "n string"),
+        spark.createDataFrame([(n,) for n in names * 2], "n string").distinct(),
         spark.createDataFrame([(k,) for k in keys], "k string"),
         "n",
         "k",
@@ -38,7 +38,7 @@ def test_names_ending_with_equal_brute_force(spark):
     names = [word(6) + "." + word(4) + "_vw" for _ in range(200)] + [None, "", "_vw", "._vw", "x.a_vw "]
     keys = [word(5) for _ in range(150)] + [None, "", "a"]
     got = names_ending_with(
-        spark.createDataFrame([(n,) for n in names], "n string"),
+        spark.createDataFrame([(n,) for n in names], "n string").distinct(),
         spark.createDataFrame([(k,) for k in keys], "k string"),
         "n",
         "k",
@@ -54,7 +54,7 @@ def test_names_listing_whole_names(spark):
     names = ["p.s.a_vw", " p.s.a_vw / q.t.b ", "s.a_vw/p.s.a_vw", "a_vw", "/", "", None, "x.p.s.a"]
     keys = ["s.a_vw", "t.b", "s.a", "p.s", None, ""]
     got = names_listing(
-        spark.createDataFrame([(n,) for n in names], "n string"),
+        spark.createDataFrame([(n,) for n in names], "n string").distinct(),
         spark.createDataFrame([(k,) for k in keys], "k string"),
         "n",
         "k",

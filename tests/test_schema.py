@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -88,3 +89,32 @@ def test_catalog_tables_resolve_by_name(spark):
         ("id", "bigint"),
         ("v", "string"),
     ]
+
+
+class Denied:
+    """A table whose store refuses."""
+
+    @property
+    def schema(self):
+        raise PermissionError("denied")
+
+
+def test_batch_of_the_manifest(spark, monkeypatch):
+    from parityline.sources.catalog import batch_columns
+
+    spark.range(3).toDF("k").createOrReplaceTempView("good_table")
+    table = spark.table
+    monkeypatch.setattr(type(spark), "table", lambda self, n: Denied() if n == "denied" else table(n))
+    schema = "edw_table string, eds_equivalent_table string, eds_base_table string, primary_keys array<string>"
+    batch = spark.createDataFrame(
+        [("good_table", "good_table", "good_table", ["k"]), ("good_table", "denied", None, ["k"])], schema
+    )
+    columns = batch_columns(batch)
+    assert rows(columns, "table_name", "column_name") == [("good_table", "k")]
+    got = key_presence(batch, columns)
+    assert rows(got, "eds_equivalent_table", "keys_present", "broken") == [
+        ("denied", False, True), ("good_table", True, False)
+    ]
+    with pytest.raises(ValueError, match="at most 1"):
+        batch_columns(batch, size=1)
+    spark.catalog.dropTempView("good_table")

@@ -117,3 +117,17 @@ def test_name_rules(spark):
     for bad in ("s.t", "", None):
         with pytest.raises(ValueError):
             staging_table(bad)
+
+
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    from parityline.sources.tickets import EXPORT_COLUMNS, load_tickets
+
+    headers = list(EXPORT_COLUMNS)
+    for name, order in (("a", headers), ("b", headers[::-1]), ("c", ["Labels", *headers, "Labels"])):
+        values = [f"{name}-{h}" for h in order]
+        (tmp_path / f"{name} 1+.csv").write_text(",".join(order) + "\n" + ",".join(values) + "\n")
+    got = load_tickets(spark, str(tmp_path / "*.csv"))
+    assert rows(got, "issue_key", "status") == [(f"{n}-Issue key", f"{n}-Status") for n in "abc"]
+    (tmp_path / "d.csv").write_text("Status,Issue key\n1,2\n")
+    with pytest.raises(Exception, match="EDW table"):
+        load_tickets(spark, str(tmp_path / "*.csv")).collect()
