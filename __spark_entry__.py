@@ -458,7 +458,7 @@ _ORDER_DIGEST = f"md5(concat_ws('|', {', '.join(_ORDER_COLUMNS)}))"
 def _budget_cte(size_mb: float) -> str:
     size = " + ".join(f"strlen(CAST({c} AS VARCHAR))" for c in _ORDER_COLUMNS)
     return f"""
-        WITH slices AS (SELECT left({_ORDER_DIGEST}, 4) AS s, count(*) AS r, sum({size}) AS b
+        WITH slices AS (SELECT left({_ORDER_DIGEST}, {sampling.SLICE_DIGITS}) AS s, count(*) AS r, sum({size}) AS b
                         FROM orders GROUP BY s),
         budget AS (
           SELECT sum(r)::BIGINT AS probed_rows, sum(b)::DOUBLE / sum(r)::DOUBLE AS avg_row_bytes,

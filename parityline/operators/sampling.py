@@ -9,6 +9,8 @@ from parityline.functions.hashing import digest
 from parityline.operators.ranges import expand_ranges
 
 PROBE_ROWS = 100
+#: Hex digits of a slice: 16 ** 5 slices.
+SLICE_DIGITS = 5
 _MIB = 1024 * 1024
 
 
@@ -28,22 +30,18 @@ def _sliced(df: DataFrame, keys: list[str] | None) -> DataFrame:
     first = keys or []
     ordered = [*first, *(c for c in df.columns if c not in first)]
     tagged = df.withColumn("_digest", digest(*[F.col(f"`{c}`") for c in ordered]))
-    return tagged.withColumns(
-        {"_slice": F.left("_digest", F.lit(4)), "_part": F.substring("_digest", 5, 4)}
-    )
+    return tagged.withColumn("_slice", F.left("_digest", F.lit(SLICE_DIGITS)))
 
 
 def _histogram(df: DataFrame, keys: list[str] | None, columns: list[str]) -> DataFrame:
-    """Rows and bytes of each slice, and ``_start``: the rows of the slices before it."""
+    """Rows and bytes of each slice, and ``_start``: the rows of the slices before it.
+
+    There are at most a million slices, whatever the table, so one task may sum them up.
+    """
     counted = _sliced(df, keys).groupBy("_slice").agg(
         F.count("*").alias("_rows"), F.sum(row_bytes(columns)).alias("_bytes")
     )
-    return _with_starts(counted, "_slice")
-
-
-def _with_starts(counted: DataFrame, by: str) -> DataFrame:
-    """``counted`` with ``_start``: at most 65,536 rows, so one task may sum them up."""
-    before = F.sum("_rows").over(Window.orderBy(by)) - F.col("_rows")
+    before = F.sum("_rows").over(Window.orderBy("_slice")) - F.col("_rows")
     return counted.withColumn("_start", before)
 
 
@@ -80,9 +78,10 @@ def sample_rows(df: DataFrame, n: int | Column, keys: list[str] | None = None) -
     Rows are taken in the order of an MD5 over ``keys`` and all other columns. A
     limit would send ``n`` rows of every partition through one task; here a
     histogram over the leading digits tells which slices are in, only the rows of
-    those, about ``n``, are shuffled, and the last slice is cut by a second
-    histogram over its next digits. Equal rows are counted, not listed, until the
-    end. ``n`` may be a scalar subquery such as the row budget.
+    those, about ``n``, are shuffled, and only the last slice is cut inside. A slice
+    has a millionth of the rows, hot keys or not, so that is a small task even for a
+    trillion rows. Equal rows are counted, not listed, until the end. ``n`` may be a
+    scalar subquery such as the row budget.
     """
     return _sample(df, _histogram(df, keys, []), n, keys)
 
@@ -92,30 +91,23 @@ def _sample(
 ) -> DataFrame:
     n = F.lit(n) if isinstance(n, int) else n
     columns = [F.col(f"`{c}`") for c in df.columns]
-    inside = slices.where(F.col("_start") < n)
-    last = inside.agg(F.max("_slice")).scalar()
-    before = inside.agg(F.max("_start")).scalar()
+    found = slices.where(F.col("_start") < n).agg(F.max(F.struct("_slice", "_start"))).scalar()
+    last, before = found["_slice"], found["_start"]
     packed = (
         _sliced(df, keys)
         .where(F.col("_slice") <= last)
-        .groupBy("_slice", "_part", "_digest", *columns)
+        .groupBy("_slice", "_digest", *columns)
         .agg(F.count("*").alias("_copies"))
     )
-    # Parts of the last slice: 65,536 at most, each with a 2 ** -32 share of all rows.
-    parts = packed.where(F.col("_slice") == last).groupBy("_part").agg(F.sum("_copies").alias("_rows"))
-    parts = _with_starts(parts, "_part").where(before + F.col("_start") < n)
-    last_part = parts.agg(F.max("_part")).scalar()
-    before_part = parts.agg(F.max("_start")).scalar()
-    taken = packed.where((F.col("_slice") < last) | (F.col("_part") <= last_part))
-    cut = (F.col("_slice") == last) & (F.col("_part") == last_part)
-    in_part = (
-        Window.partitionBy("_slice", "_part")
+    in_slice = (
+        Window.partitionBy("_slice")
         .orderBy("_digest", *columns)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    room = n - before - before_part - (F.sum("_copies").over(in_part) - F.col("_copies"))
-    taken = taken.withColumn(
-        "_taken", F.when(cut, F.least(F.col("_copies"), room)).otherwise(F.col("_copies"))
+    room = n - before - (F.sum("_copies").over(in_slice) - F.col("_copies"))
+    taken = packed.withColumn(
+        "_taken",
+        F.when(F.col("_slice") < last, F.col("_copies")).otherwise(F.least(F.col("_copies"), room)),
     ).where(F.col("_taken") > 0)
     return expand_ranges(taken, F.lit(1).cast("bigint"), F.col("_taken"), "_copy", by=["_digest"]).select(
         *columns

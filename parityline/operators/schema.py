@@ -77,22 +77,22 @@ def key_presence(
     """
     # A table's column list is as long as the table is wide, never longer.
     known = columns.groupBy("table_name").agg(F.collect_set("column_name").alias("_columns"))
-    asked = [keys, *tables]
-    # Rows that ask the same are judged once, and all their tables in one lookup.
-    names = F.explode(F.array_distinct(F.array(*tables))).alias("_table")
-    cases = manifest.select(*asked).distinct().select(*asked, names)
-    cases = left_lookup(cases, known.withColumnRenamed("table_name", "_table"), "_table")
-    complete = F.size(F.array_except(keys, F.coalesce("_columns", F.array().cast("array<string>")))) == 0
-    judged = cases.groupBy(*asked).agg(
-        F.bool_and(complete).alias("_complete"), F.bool_or(F.col("_columns").isNull()).alias("_missing")
-    )
-    judged = judged.withColumnsRenamed({c: f"_{i}" for i, c in enumerate(asked)})
-    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(asked)]
+    checked = manifest
+    for i, table in enumerate(tables):
+        side = known.select(F.col("table_name").alias(table), F.col("_columns").alias(f"_c{i}"))
+        checked = left_lookup(checked, side, table)
+    found = [F.col(f"_c{i}") for i in range(len(tables))]
     no_keys = F.size(keys) == 0
-    broken = F.col(keys).isNull() | (~no_keys & F.col("_missing"))
-    present = F.when(broken, False).when(no_keys, True).otherwise(F.col("_complete"))
-    return manifest.join(judged, same, "left").select(
-        *manifest.columns, present.alias("keys_present"), broken.alias("broken")
+    missing = F.lit(False)
+    complete = F.lit(True)
+    for cols in found:
+        missing = missing | cols.isNull()
+        complete = complete & (F.size(F.array_except(keys, cols)) == 0)
+    broken = F.col(keys).isNull() | (~no_keys & missing)
+    return checked.select(
+        *manifest.columns,
+        F.when(broken, False).when(no_keys, True).otherwise(complete).alias("keys_present"),
+        broken.alias("broken"),
     )
 
 

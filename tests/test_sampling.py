@@ -1,5 +1,4 @@
 import hashlib
-import re
 from collections import Counter
 
 import pytest
@@ -32,13 +31,6 @@ def test_a_hot_key_gets_its_share(spark):
     assert sum(got.values()) == 900 and 220 <= got[hot] <= 380
 
 
-def test_last_slice_is_cut_by_parts(spark):
-    """No window runs over a whole slice: its partitions are the parts of the last one."""
-    plan = sample_rows(spark.range(100).toDF("v"), 50)._jdf.queryExecution().optimizedPlan().toString()
-    assert re.search(r"windowspecdefinition\(_slice#\d+, _part#\d+, _digest", plan)
-    assert not re.search(r"windowspecdefinition\(_slice#\d+, _digest", plan)
-
-
 def test_copies_are_counted_not_merged(spark):
     df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("v"))
     got = Counter(r[0] for r in sample_rows(df, 8000).collect())
