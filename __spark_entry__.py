@@ -497,7 +497,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT m::DOUBLE / n AS ratio, n AS left_rows, m AS matched_rows
             FROM (SELECT count(*) AS n, count_if(EXISTS (
                     SELECT 1 FROM lineitem r WHERE (r.l_returnflag <> 'R' OR r.l_linenumber > 3)
-                      AND r.l_orderkey = l.l_orderkey AND r.l_returnflag = l.l_returnflag)) AS m
+                      AND r.l_orderkey = l.l_orderkey AND r.l_returnflag = l.l_returnflag))::BIGINT AS m
                   FROM lineitem l)""",
         "match_ratio_null_safe": _ratio_sql(
             """WITH l_ AS (SELECT o_orderkey AS pk, o_orderpriority AS a, NULL::VARCHAR AS b FROM orders),
