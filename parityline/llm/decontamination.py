@@ -14,9 +14,11 @@ shuffled: what is shuffled are hits.
 Defined results: words are runs of letters and digits in lower case; a null text counts as
 empty; an item with fewer words than a shingle has all its words as its one shingle, and
 so has a document, so such items are found only where they are the whole text; items
-without words are found nowhere; items that repeat are reported each; rows with the same
-id count as one document, their shingles together; an empty table on either side gives an
-empty result; further columns are ignored, whatever their names.
+without words are found nowhere; items that repeat in id and text count as one, texts that
+share an id or have none are judged and reported each; rows with the same doc_id count as
+one document, their shingles together, and rows without one are in no pair (dropping judges
+them each); an empty table on either side gives an empty result; further columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from parityline.llm.common import broadcast_if_small, fresh_name, row_key, writt
 
 WIDTH = 5
 SHARE = 0.8
-#: Index rows up to this count are sent to all executors, at 24 bytes each.
+#: Rows of two longs up to this count are sent to all executors: indexed or wanted hashes.
 BROADCAST_ROWS = 200_000
 
 
@@ -55,17 +57,22 @@ def _shingles(form: str) -> Column:
 
 
 def _index(items: DataFrame, share: float) -> tuple[DataFrame, DataFrame]:
-    """(item, n, shingle) for all shingles; (item, h) for the indexed MinHash values."""
-    rows = items.select("item", _words(F.col("t")).alias("words"))
+    """(no, item, n, shingle) for all shingles; (no, h) for the indexed MinHash values.
+
+    ``no`` numbers the distinct rows of ``items``, whose ids may be null or repeat.
+    """
+    rows = items.distinct().select("item", _words(F.col("t")).alias("words"))
     rows = rows.select("item", _shingles("text").alias("s"), _shingles("hash").alias("h"))
     rows = rows.select("item", F.array_distinct("s").alias("s"), F.array_distinct("h").alias("h"))
-    rows = written(rows.where("size(s) > 0").withColumn("n", F.size("s")), "items")
+    rows = rows.where("size(s) > 0").withColumn("n", F.size("s"))
+    # Written at once: the numbers stay the same from then on.
+    rows = written(rows.withColumn("no", F.monotonically_increasing_id()), "items")
     # Partition c holds items of 2 ** c up to 2 ** (c + 1) - 1 shingles.
     most = F.pow(F.lit(2.0), F.floor(F.log2("n")) + 1) - 1
     keep = (F.floor((1 - share) * most + 1e-9) + 1).cast("int")
     smallest = F.slice(F.array_sort("h"), 1, F.least(keep, F.size("h")))
-    hashes = rows.select("item", F.explode(smallest).alias("h"))
-    return rows.select("item", "n", F.explode("s").alias("shingle")), hashes
+    hashes = rows.select("no", F.explode(smallest).alias("h"))
+    return rows.select("no", "item", "n", F.explode("s").alias("shingle")), hashes
 
 
 def contaminated(
@@ -83,26 +90,25 @@ def contaminated(
     docs = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col("text").alias("t"))
     items = items.select(F.col(f"`{item_col}`").alias("item"), F.col("text").alias("t"))
     texts, hashes = _index(items, share)
-    hashes = written(hashes.groupBy("h").agg(F.collect_set("item").alias("items")), "minhash")
+    hashes = written(hashes, "minhash")
     count, top = hashes.agg(F.count("*"), F.max("h")).first()
 
     rows = docs.select("doc", _words(F.col("t")).alias("words"))
     hits = rows.select("doc", F.explode(_shingles("hash")).alias("h"))
     hits = hits.where(F.col("h") <= F.lit(top if count else 0))
     hits = hits.join(broadcast_if_small(hashes, count, BROADCAST_ROWS), "h")
-    hits = hits.select("doc", F.explode("items").alias("item")).distinct()
-    candidates = written(hits, "candidates")
-
-    doc_ids = candidates.select("doc").distinct()
-    item_ids = candidates.select("item").distinct()
-    texts = written(texts.join(item_ids, "item", "left_semi"), "wanted")
-    wanted = texts.select("shingle").distinct()
-    held = rows.join(doc_ids, "doc", "left_semi")
-    held = held.select("doc", F.explode(_shingles("text")).alias("shingle"))
-    held = held.join(broadcast_if_small(wanted, count, BROADCAST_ROWS), "shingle", "left_semi")
-    held = written(held.distinct(), "held")
-    found = candidates.join(texts, "item").join(held, ["doc", "shingle"])
-    found = found.groupBy("doc", "item", "n").agg(F.count("*").alias("shared"))
+    candidates = written(hits.select("doc", "no").distinct(), "candidates")
+
+    texts = written(texts.join(candidates.select("no").distinct(), "no", "left_semi"), "wanted")
+    code = F.xxhash64("shingle").alias("code")
+    wanted = written(texts.select(code).distinct(), "codes")
+    held = rows.join(candidates.select("doc").distinct(), "doc", "left_semi")
+    held = held.select("doc", F.explode(_shingles("text")).alias("shingle")).withColumn("code", code)
+    # The hash only lets fewer through; what counts is the shingle's text.
+    held = held.join(broadcast_if_small(wanted, wanted.count(), BROADCAST_ROWS), "code", "left_semi")
+    held = written(held.select("doc", "shingle").distinct(), "held")
+    found = candidates.join(texts, "no").join(held, ["doc", "shingle"])
+    found = found.groupBy("doc", "no", "item", "n").agg(F.count("*").alias("shared"))
     found = found.where(F.col("shared") >= F.ceil(share * F.col("n") - 1e-9))
     return found.select(
         F.col("doc").alias(id_col),
@@ -132,8 +138,9 @@ def oracle(share: float = SHARE) -> str:
                     '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {table})"""
 
     return f"""WITH d AS ({shingled("documents", "doc_id")}),
-        i AS ({shingled("benchmark", "item_id")}),
-        n AS (SELECT item_id, count(*) AS shingles FROM i GROUP BY item_id)
+        b AS MATERIALIZED (SELECT row_number() OVER () AS no, * FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        i AS ({shingled("b", "no, item_id")}),
+        n AS (SELECT no, count(*) AS shingles FROM i GROUP BY no)
         SELECT doc_id, item_id, count(*) AS shared, any_value(shingles) AS shingles
-        FROM d JOIN i USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id
+        FROM d JOIN i USING (s) JOIN n USING (no) GROUP BY doc_id, no, item_id
         HAVING count(*) >= ceil({share} * any_value(shingles) - 1e-9)"""

@@ -21,7 +21,7 @@ def brute(docs, items):
         held.setdefault(d, set()).update(shingles(t))
     out = []
     for d, own in held.items():
-        for i, t in items:
+        for i, t in dict.fromkeys(items):
             want = shingles(t)
             shared = len(want & own)
             if want and shared >= 0.8 * len(want) - 1e-9:
@@ -42,6 +42,7 @@ def fixture():
             docs.append((len(docs) + 200, f"{text(40)} {' '.join(words[: int(len(words) * cut)])} {text(40)}"))
         changed = [w if rng.random() < 0.97 else "other" for w in words]
         docs.append((len(docs) + 200, f"{text(40)} {' '.join(changed)}"))
+    items += [(2, items[2][1]), (3, items[4][1]), (None, items[5][1]), (None, items[6][1])]
     items += [(50, None), (51, ""), (52, "two words"), (53, items[4][1]), (54, "?! ...")]
     docs += [(900, None), (901, ""), (902, "Two -- words"), (903, "here are two words too"), (904, items[5][1] * 2)]
     docs += [(905, items[6][1]), (905, items[6][1]), (None, items[7][1]), (906, text(30_000))]
