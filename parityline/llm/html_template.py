@@ -16,7 +16,7 @@ side, so one host with a third of all pages is no heavier than many.
 
 Defined results: a null page counts as empty and has an empty text; pages without a host
 form a group of their own; rows that repeat are extracted each; a page that has nothing in
-its host's article is read by its own elements; unclosed elements end with their parents,
+its host's article is read by its own elements; a page with nothing but fixed text keeps it; unclosed elements end with their parents,
 an unfinished tag at the end is dropped; an empty table gives an empty result; further
 columns are ignored, whatever their names.
 """
@@ -54,10 +54,14 @@ APART_WORDS = frozenset(
     "breadcrumb breadcrumbs sidebar footer header masthead comment comments respond disqus share "
     "sharing social related recommended widget toolbar pagination search".split()
 )
+#: Elements whose own classes say how they look or what the page has, not what they are.
+UNMARKED = frozenset("html body main h1 h2 h3 h4 h5 h6 th thead".split())
 PARAGRAPHS = frozenset(("p", "li", "dt", "dd", "tr", "td", "th", "option"))
 #: Pages on which a text must be to count as fixed.
 FIXED_PAGES = 10
 SHARE = 0.8
+#: Hosts and fixed texts together that are sent to all executors.
+BROADCAST_ITEMS = 10_000
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)", re.S)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -117,7 +121,8 @@ def parse(page: str | None) -> tuple[list[Segment], Counter]:
                     break
         found = {k.lower(): (a or b or c).lower() for k, a, b, c in _NAMES.findall(tag[3])}
         marks = {w for v in found.values() for w in _SPLIT.split(v)}
-        apart = stack[-1][2] or name in APART or bool(marks & APART_WORDS)
+        named = name not in UNMARKED and bool(marks & APART_WORDS)
+        apart = stack[-1][2] or name in APART or named
         path = stack[-1][1]
         if name not in PARAGRAPHS:
             mark = found.get("class") or found.get("id") or ""
@@ -143,8 +148,9 @@ def extract(page: str | None, container: str | None, fixed: frozenset[int]) -> s
     if not chosen:
         chosen = [b for b in blocks if {"article", "main"} & {x.split(".")[0] for x in b.path.split("/")}]
     chosen = chosen or blocks
-    kept = [b.text for b in chosen if not fixed or _hash(b.path, b.text) not in fixed]
-    return "\n".join(kept)
+    kept = [b for b in chosen if not fixed or _hash(b.path, b.text) not in fixed]
+    # Where all pages of a host are copies, everything is fixed: then it is the article.
+    return "\n".join(b.text for b in kept or chosen)
 
 
 def _hash(path: str, text: str = "") -> int:
@@ -241,7 +247,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     rows = rows.withColumn("host", _host())
     uid = F.xxhash64("url", "page_id", "page").alias("uid")
     known = written(templates(rows.select("host", uid, "page")), "hosts")
-    rows = rows.join(broadcast_if_small(known, known.count(), 10_000), "host", "left")
+    # A host counts as one and its fixed texts, of eight bytes each, as one each.
+    count = known.agg(F.coalesce(F.sum(1 + F.greatest(F.size("fixed"), F.lit(0))), F.lit(0))).first()[0]
+    rows = rows.join(broadcast_if_small(known, count, BROADCAST_ITEMS), "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -65,3 +65,18 @@ def test_template_of_a_host(spark):
     assert found["a"].container == "/html/body/div.c17"
     assert len(found["a"].fixed) == 2
     assert found["b"].container == "/main" and len(found["b"].fixed) == 1
+
+
+def test_copies_on_a_whole_host_keep_their_text(spark):
+    page = "<html><body><main><h1>Title</h1><p>One</p><p>Two</p></main></body></html>"
+    data = [(i, f"https://copies.example/{i}", page) for i in range(14)]
+    data += [(20 + i, f"https://tracked.example/{i}", f"{page}<script>{i}</script>") for i in range(14)]
+    found = H.main_text(spark.createDataFrame(data, "page_id long, url string, html string"))
+    assert {r.text for r in found.collect()} == {"Title\nOne\nTwo"}
+
+
+def test_classes_of_the_page_and_of_headings_do_not_set_apart():
+    page = """<html class="no-ads"><body class="has-sidebar nav-open"><div class="sidebar">no</div>
+    <main class="no-sidebar"><h2 class="section-header">Yes</h2><table><tr><th class="header">a<td>b</table>
+    <p class="notice">no</p></main></body></html>"""
+    assert H.extract(page, None, frozenset()) == "Yes\na\nb"
