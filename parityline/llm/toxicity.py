@@ -121,7 +121,8 @@ def fit(
         return Model(math.log(share / (1 - share)), {})
     kept = _telling(texts, y, vocabulary, least)
     at = {w: i for i, w in enumerate(kept)}
-    cols = [np.fromiter((at[w] for w in t if w in at), np.int64) for t in texts]
+    # Sorted, so that sums, and by that the model, are the same at every run.
+    cols = [np.sort(np.fromiter((at[w] for w in t if w in at), np.int64)) for t in texts]
     rows = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
     cols = np.concatenate(cols) if len(rows) else np.zeros(0, np.int64)
     pairs = [(at.get(a, -1), at.get(b, -1), n) for (a, b), n in swaps.items()]
@@ -184,7 +185,7 @@ def train(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            found = [" ".join(words(t)) for t in texts]
+            found = [" ".join(sorted(words(t))) for t in texts]
             swaps = [[(a, b, n) for (a, b), n in swap_counts(t).items()] for t in texts]
             kind = pa.list_(pa.struct([("a", pa.string()), ("b", pa.string()), ("n", pa.int32())]))
             swaps = [[{"a": a, "b": b, "n": n} for a, b, n in s] for s in swaps]
@@ -194,8 +195,9 @@ def train(
 
     schema = "id long, y double, words string, swaps array<struct<a: string, b: string, n: int>>"
     rows = rows.join(chosen, "id").select("id", "y", "t").mapInArrow(run, schema)
-    found = {r["id"]: r for r in rows.collect()}
-    ordered = [found.pop(k) for k in sorted(found)]
+    # A document that repeats under its id counts once.
+    found = {r["id"]: r for r in sorted(rows.collect(), key=lambda r: (r["id"], r["words"]))}
+    ordered = list(found.values())
     swaps: Counter = Counter()
     for r in ordered:
         for s in r["swaps"]:

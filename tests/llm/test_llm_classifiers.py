@@ -102,3 +102,15 @@ def test_nulls_repeats_and_missing_labels(spark, module, label):
     if module is quality:
         assert quality.drop_rejected(docs, model).columns == docs.columns
         assert quality.drop_rejected(docs, model).count() == 6
+
+
+def test_toxicity_model_does_not_depend_on_the_order_of_rows(spark):
+    texts = [f"people said w{i % 7} today" + (" awful vile women" if i % 3 == 0 else " nice") for i in range(60)]
+    data = [(i, t) for i, t in enumerate(texts)] + [(i, "another text under the id") for i in range(9)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    models = []
+    for order in (data, data[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").coalesce(2)
+        models.append(toxicity.train(docs, labels, F.lit(True)))
+    assert models[0].weights and models[0].weights == models[1].weights
+    assert models[0].intercept == models[1].intercept
