@@ -141,16 +141,21 @@ def _within(path: str, container: str) -> bool:
     return path == container or path.startswith(container + "/")
 
 
+def _size(blocks: list[Segment]) -> int:
+    return sum(len(b.text) for b in blocks)
+
+
 def extract(page: str | None, container: str | None, fixed: frozenset[int]) -> str:
     """The main text of a page, given its host's container and fixed text."""
     blocks = [b for b in parse(page)[0] if not b.apart]
     chosen = [b for b in blocks if container is not None and _within(b.path, container)]
     if not chosen:
         chosen = [b for b in blocks if {"article", "main"} & {x.split(".")[0] for x in b.path.split("/")}]
-    chosen = chosen or blocks
-    kept = [b for b in chosen if not fixed or _hash(b.path, b.text) not in fixed]
-    # Where all pages of a host are copies, everything is fixed: then it is the article.
-    return "\n".join(b.text for b in kept or chosen)
+    blocks = chosen or blocks
+    slots = [b for b in blocks if not fixed or _hash(b.path, b.text) not in fixed]
+    if _size(slots) < (1 - SHARE) * _size(blocks):
+        slots = blocks
+    return "\n".join(b.text for b in slots)
 
 
 def _hash(path: str, text: str = "") -> int:
@@ -161,27 +166,34 @@ def _host() -> Column:
     return F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-_TOKENS = "token long, path string, is_text boolean, apart boolean, n int, chars long"
+_TOKENS = "token long, path string, is_text boolean, n int, chars long, around long"
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """(host, uid, token, path, is_text, apart, n, chars): each page's tokens with counts."""
+    """(host, uid, token, path, is_text, n, chars, around): each page's tokens with counts.
+
+    ``around`` is the length of all the page's text that is not apart. A page that has any
+    token is itself one, at the empty path.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.int32(), pa.int64()]
-        names = ["host", "uid", "token", "path", "is_text", "apart", "n", "chars"]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.int64(), pa.int64()]
+        names = ["host", "uid", "token", "path", "is_text", "n", "chars", "around"]
         for batch in batches:
             out = []
             for host, uid, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 blocks, elements = parse(page)
-                out += [(host, uid, _hash(p), p, False, False, n, 0) for p, n in elements.items()]
+                if blocks or elements:
+                    elements[""] = 1
+                out += [(host, uid, _hash(p), p, False, n, 0, 0) for p, n in elements.items()]
+                blocks = [b for b in blocks if not b.apart]
                 seen: dict[int, list] = {}
                 for b in blocks:
-                    if not b.apart:
-                        row = seen.setdefault(_hash(b.path, b.text), [b.path, 0, 0])
-                        row[1] += 1
-                        row[2] += len(b.text)
-                out += [(host, uid, h, p, True, False, n, c) for h, (p, n, c) in seen.items()]
+                    row = seen.setdefault(_hash(b.path, b.text), [b.path, 0, 0])
+                    row[1] += 1
+                    row[2] += len(b.text)
+                around = _size(blocks)
+                out += [(host, uid, h, p, True, n, c, around) for h, (p, n, c) in seen.items()]
             columns = zip(*out, strict=True) if out else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
@@ -190,42 +202,54 @@ def tokens(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(run, "host string, uid long, " + _TOKENS)
 
 
+def _fixed(vectors: DataFrame, elements: DataFrame) -> DataFrame:
+    """(host, token, path, chars): the text of classes that are part of the template."""
+    texts = vectors.where(f"is_text and pages >= {FIXED_PAGES} and times = pages")
+    total = elements.where("path = ''").select("host", "total")
+    texts = texts.join(total, "host").where("pages = total")
+    # Pages of one class are the same, and so is the text around it.
+    key = ["host", "vector", "pages"]
+    classes = texts.groupBy(*key).agg(F.sum("chars").alias("own"), F.max("around").alias("around"))
+    classes = classes.where(f"own < {SHARE} * around").select(*key)
+    return texts.join(classes, key).select("host", "token", "path", "chars")
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, container, fixed) for each host of ``pages`` (host, uid, html)."""
-    vector = F.expr("bit_xor(xxhash64(uid, n))")
+    # Rows that repeat cancel out in the one part of the vector, but not in the other.
+    vector = F.expr("struct(bit_xor(xxhash64(uid, n)), sum(shiftrightunsigned(xxhash64(n, uid), 33)))")
     vectors = tokens(pages).groupBy("host", "token").agg(
         F.min("path").alias("path"),
         F.min("is_text").alias("is_text"),
         F.count("*").alias("pages"),
-        F.max("n").alias("most"),
+        F.sum(F.col("n").cast("double")).alias("times"),
+        F.sum(F.col("n").cast("double") * F.col("n")).alias("squares"),
         vector.alias("vector"),
         F.sum("chars").alias("chars"),
+        F.sum("around").alias("around"),
     )
     vectors = written(vectors, "vectors")
+    elements = vectors.where("not is_text").select("host", "path", F.col("pages").alias("held"))
     total = pages.groupBy("host").agg(F.count("*").alias("total"))
-    # Elements on at least half of the pages; the classes they form, by equal vectors.
-    often = vectors.join(total, "host").where("pages * 2 >= total")
-    classes = often.where("not is_text").groupBy("host", "vector").agg(
-        F.max("pages").alias("pages"), F.max("most").alias("most"), F.count("*").alias("size")
-    )
-    often = often.join(classes.select("host", "vector", "size"), ["host", "vector"])
-    # Fixed text shares the vector of elements that every page has once.
-    fixed = often.where(f"is_text and pages = total and most = 1 and pages >= {FIXED_PAGES}")
-    fixed = fixed.groupBy("host").agg(F.collect_set("token").alias("fixed"))
+    elements = elements.join(total, "host")
+    fixed = written(_fixed(vectors, elements), "fixed")
     # Slots: the text that is left, by every container around it.
     slots = vectors.where("is_text").groupBy("host", "path").agg(F.sum("chars").alias("chars"))
+    lost = fixed.groupBy("host", "path").agg(F.sum("chars").alias("lost"))
+    slots = slots.join(lost, ["host", "path"], "left").withColumn("chars", F.expr("chars - coalesce(lost, 0)"))
     around = F.explode(
         F.expr("transform(sequence(1, size(split(path, '/'))), i -> array_join(slice(split(path, '/'), 1, i), '/'))")
     )
     slots = slots.select("host", around.alias("path"), "chars")
     slots = slots.groupBy("host", "path").agg(F.sum("chars").alias("chars"))
     whole = slots.where("path = ''").select("host", F.col("chars").alias("whole"))
-    elements = often.where("not is_text").select("host", "path").distinct()
-    # A valid class lies within elements of the template: their paths lead to its own.
+    # Elements on at least half of the pages.
+    often = elements.where("held * 2 >= total and path <> ''").select("host", "path")
     depth = F.size(F.split("path", "/"))
     name = F.split(F.element_at(F.split("path", "/"), -1), r"\.")[0]
     best = (
-        slots.join(elements, ["host", "path"])
+        slots.where("chars > 0")
+        .join(often, ["host", "path"])
         .join(whole, "host")
         .select(
             "host",
@@ -238,6 +262,7 @@ def templates(pages: DataFrame) -> DataFrame:
         .groupBy("host")
         .agg(F.max_by("path", F.struct("merit", "path")).alias("container"))
     )
+    fixed = fixed.groupBy("host").agg(F.collect_set("token").alias("fixed"))
     return best.join(fixed, "host", "full")
 
 

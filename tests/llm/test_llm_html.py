@@ -80,3 +80,17 @@ def test_classes_of_the_page_and_of_headings_do_not_set_apart():
     <main class="no-sidebar"><h2 class="section-header">Yes</h2><table><tr><th class="header">a<td>b</table>
     <p class="notice">no</p></main></body></html>"""
     assert H.extract(page, None, frozenset()) == "Yes\na\nb"
+
+
+def texts(spark, pages):
+    data = [(i, f"https://one.example/{i}", p) for i, p in enumerate(pages)]
+    found = H.main_text(spark.createDataFrame(data, "page_id long, url string, html string"))
+    return {r.page_id: r.text for r in found.collect()}
+
+
+def test_copies_of_an_article_are_no_template(spark):
+    body = "".join(f"<p>Paragraph {k} of the copied story, of some length</p>" for k in range(9))
+    pages = [f"<article>{body}<p>version {i}</p></article>" for i in range(12)]
+    assert texts(spark, pages)[1].count("copied story") == 9
+    pages = [f"<article>{body.replace(f'Paragraph {i % 9} ', f'Changed {i} ')}</article>" for i in range(36)]
+    assert texts(spark, pages)[1].count("copied story") == 9
