@@ -57,6 +57,8 @@ APART_WORDS = frozenset(
 #: Elements whose own classes say how they look or what the page has, not what they are.
 UNMARKED = frozenset("html body main h1 h2 h3 h4 h5 h6 th thead".split())
 PARAGRAPHS = frozenset(("p", "li", "dt", "dd", "tr", "td", "th", "option"))
+#: Elements that only a whole class sets apart, not a part of it as in "comments-open".
+WHOLE_WORDS = PARAGRAPHS | {"article"}
 #: Pages on which a text must be to count as fixed.
 FIXED_PAGES = 10
 SHARE = 0.8
@@ -70,17 +72,25 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 
 @dataclass
 class Segment:
-    """A block's text, the path of its containers, and whether it lies apart from articles."""
+    """A block's text, the path of its containers, and whether it lies beside articles.
+
+    ``hints`` are the elements around it, as (place, path), whose words say that they do.
+    """
 
     path: str
     text: str
-    apart: bool
+    beside: bool
+    hints: tuple[tuple[int, str], ...] = ()
+
+    @property
+    def apart(self) -> bool:
+        return self.beside or bool(self.hints)
 
 
 def parse(page: str | None) -> tuple[list[Segment], Counter]:
     """The page's blocks of text in order, and its elements by path."""
     page = page or ""
-    stack: list[tuple[str, str, bool]] = [("", "", False)]  # name, path, apart
+    stack: list[tuple] = [("", "", False, ())]  # name, path, beside, hints
     blocks: list[Segment] = []
     elements: Counter = Counter()
     words: list[str] = []
@@ -90,7 +100,7 @@ def parse(page: str | None) -> tuple[list[Segment], Counter]:
         text = " ".join("".join(words).split())
         words.clear()
         if text:
-            blocks.append(Segment(stack[-1][1], text, stack[-1][2]))
+            blocks.append(Segment(stack[-1][1], text, *stack[-1][2:]))
 
     while at < len(page):
         tag = _TAG.search(page, at)
@@ -120,19 +130,22 @@ def parse(page: str | None) -> tuple[list[Segment], Counter]:
                 if stack[i][0] not in PARAGRAPHS:
                     break
         found = {k.lower(): (a or b or c).lower() for k, a, b, c in _NAMES.findall(tag[3])}
-        marks = {w for v in found.values() for w in _SPLIT.split(v)}
+        marks = {w for v in found.values() for w in (v.split() if name in WHOLE_WORDS else _SPLIT.split(v))}
         named = name not in UNMARKED and bool(marks & APART_WORDS)
-        apart = stack[-1][2] or name in APART or named
-        path = stack[-1][1]
+        beside = stack[-1][2] or name in APART
+        path, hints = stack[-1][1], stack[-1][3]
         if name not in PARAGRAPHS:
             mark = found.get("class") or found.get("id") or ""
             path += "/" + name + ("." + ".".join(mark.split()) if mark else "")
-        elements[path if name not in PARAGRAPHS else f"{path}/{name}"] += 1
+        own = path if name not in PARAGRAPHS else f"{path}/{name}"
+        elements[own] += 1
+        if named:
+            hints = (*hints, (at, own))
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|$)", re.I).search(page, at)
             at = end.end() if end else len(page)
         elif name not in VOID and not tag[3].endswith("/"):
-            stack.append((name, path, apart))
+            stack.append((name, path, beside, hints))
     block()
     return blocks, elements
 
@@ -147,7 +160,7 @@ def _size(blocks: list[Segment]) -> int:
 
 def extract(page: str | None, container: str | None, fixed: frozenset[int]) -> str:
     """The main text of a page, given its host's container and fixed text."""
-    blocks = [b for b in parse(page)[0] if not b.apart]
+    blocks = [b for b in parse(page)[0] if not b.beside]
     chosen = [b for b in blocks if container is not None and _within(b.path, container)]
     if not chosen:
         chosen = [b for b in blocks if {"article", "main"} & {x.split(".")[0] for x in b.path.split("/")}]
@@ -155,7 +168,14 @@ def extract(page: str | None, container: str | None, fixed: frozenset[int]) -> s
     slots = [b for b in blocks if not fixed or _hash(b.path, b.text) not in fixed]
     if _size(slots) < (1 - SHARE) * _size(blocks):
         slots = blocks
-    return "\n".join(b.text for b in slots)
+    held: Counter = Counter()
+    for b in slots:
+        held.update(dict.fromkeys(b.hints, len(b.text)))
+    most = {h for h, n in held.items() if 2 * n >= _size(slots)}
+    if container is not None:
+        most |= {h for h in held if _within(container, h[1])}
+    kept = [b for b in slots if most.issuperset(b.hints)]
+    return "\n".join(b.text for b in kept or slots)
 
 
 def _hash(path: str, text: str = "") -> int:
@@ -172,7 +192,7 @@ _TOKENS = "token long, path string, is_text boolean, n int, chars long, around l
 def tokens(pages: DataFrame) -> DataFrame:
     """(host, uid, token, path, is_text, n, chars, around): each page's tokens with counts.
 
-    ``around`` is the length of all the page's text that is not apart. A page that has any
+    ``around`` is the length of all the page's text but that beside articles. A page that has any
     token is itself one, at the empty path.
     """
 
@@ -186,7 +206,7 @@ def tokens(pages: DataFrame) -> DataFrame:
                 if blocks or elements:
                     elements[""] = 1
                 out += [(host, uid, _hash(p), p, False, n, 0, 0) for p, n in elements.items()]
-                blocks = [b for b in blocks if not b.apart]
+                blocks = [b for b in blocks if not b.beside]
                 seen: dict[int, list] = {}
                 for b in blocks:
                     row = seen.setdefault(_hash(b.path, b.text), [b.path, 0, 0])

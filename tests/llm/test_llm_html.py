@@ -94,3 +94,20 @@ def test_copies_of_an_article_are_no_template(spark):
     assert texts(spark, pages)[1].count("copied story") == 9
     pages = [f"<article>{body.replace(f'Paragraph {i % 9} ', f'Changed {i} ')}</article>" for i in range(36)]
     assert texts(spark, pages)[1].count("copied story") == 9
+
+
+def test_words_of_classes_are_a_hint_only():
+    for open_, close in (
+        ("<div class='content-sidebar-wrap'>", "</div>"),
+        ("<div id='page' class='has-sidebar'><article>", "</article></div>"),
+        ("<article class='post comments-open'>", "</article>"),
+        ("<section class='social-policy'>", "</section>"),
+    ):
+        page = f"<body>{open_}<p>A story of some length</p><div class='sidebar'>not this</div>{close}</body>"
+        assert H.extract(page, None, frozenset()) == "A story of some length"
+    page = "<body><h1>A head of some length</h1><p>And a story</p><p class='notice-of-death'>He died</p></body>"
+    assert H.extract(page, None, frozenset()).endswith("He died")
+    page = "<body><div class='wrap-social'><main><p>short</p></main></div><p>a longer text beside it</p></body>"
+    assert H.extract(page, "/body/div.wrap-social/main", frozenset()).startswith("short")
+    page = "<body>" + "<div class='promo'>one of three</div>" * 3 + "</body>"
+    assert H.extract(page, None, frozenset()).count("one of three") == 3
