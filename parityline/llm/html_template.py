@@ -59,8 +59,10 @@ UNMARKED = frozenset("html body main h1 h2 h3 h4 h5 h6 th thead".split())
 PARAGRAPHS = frozenset(("p", "li", "dt", "dd", "tr", "td", "th", "option"))
 #: Elements that only a whole class sets apart, not a part of it as in "comments-open".
 WHOLE_WORDS = PARAGRAPHS | {"article"}
-#: Pages on which a text must be to count as fixed.
+#: Pages of a container from which half of them are enough for a text to count as fixed.
 FIXED_PAGES = 10
+#: The least share of a host's pages that a container of fixed text is on.
+LAYOUT_SHARE = 0.05
 SHARE = 0.8
 #: Hosts and fixed texts together that are sent to all executors.
 BROADCAST_ITEMS = 10_000
@@ -224,13 +226,16 @@ def tokens(pages: DataFrame) -> DataFrame:
 
 def _fixed(vectors: DataFrame, elements: DataFrame) -> DataFrame:
     """(host, token, path, chars): the text of classes that are part of the template."""
-    texts = vectors.where(f"is_text and pages >= {FIXED_PAGES} and times = pages")
-    total = elements.where("path = ''").select("host", "total")
-    texts = texts.join(total, "host").where("pages = total")
+    few = f"held < {FIXED_PAGES}"
+    # Of one container, where the text is, and as often on every page but for a few.
+    texts = vectors.where("is_text and pages >= 2 and 8 * squares * pages <= 9 * times * times")
+    held = elements.where(f"held >= {LAYOUT_SHARE} * total").select("host", "path", "held")
+    texts = texts.join(held, ["host", "path"]).withColumn("few", F.expr(few))
+    texts = texts.where(f"pages >= if(few, {SHARE}, 0.5) * held")
     # Pages of one class are the same, and so is the text around it.
-    key = ["host", "vector", "pages"]
+    key = ["host", "vector", "pages", "few"]
     classes = texts.groupBy(*key).agg(F.sum("chars").alias("own"), F.max("around").alias("around"))
-    classes = classes.where(f"own < {SHARE} * around").select(*key)
+    classes = classes.where(f"own < if(few, 0.5, {SHARE}) * around").select(*key)
     return texts.join(classes, key).select("host", "token", "path", "chars")
 
 
@@ -250,7 +255,8 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     vectors = written(vectors, "vectors")
     elements = vectors.where("not is_text").select("host", "path", F.col("pages").alias("held"))
-    total = pages.groupBy("host").agg(F.count("*").alias("total"))
+    # Pages that are empty hold no container and do not count.
+    total = elements.where("path = ''").select("host", F.col("held").alias("total"))
     elements = elements.join(total, "host")
     fixed = written(_fixed(vectors, elements), "fixed")
     # Slots: the text that is left, by every container around it.

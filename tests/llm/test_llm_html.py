@@ -111,3 +111,20 @@ def test_words_of_classes_are_a_hint_only():
     assert H.extract(page, "/body/div.wrap-social/main", frozenset()).startswith("short")
     page = "<body>" + "<div class='promo'>one of three</div>" * 3 + "</body>"
     assert H.extract(page, None, frozenset()).count("one of three") == 3
+
+
+def test_fixed_text_is_judged_by_the_pages_of_its_container(spark):
+    word = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    page = lambda i, more="": f"<body><div class=box><p>{word(i)}</p><p>Call us now</p>{more}</div></body>"
+    for n in (4, 40):
+        # Pages that are null, empty or built otherwise, and one that prints the text twice.
+        pages = [page(i, "<p>Call us now</p>" if i == 1 else "") for i in range(n)]
+        odd = [None, "", f"<body><div class=other>{word(n)}</div></body>"]
+        got = texts(spark, [*pages, *odd])
+        assert [got[i] for i in range(n)] == [word(i) for i in range(n)]
+        assert [got[n + k] for k in range(3)] == ["", "", word(n)]
+    # Repeated rows cancel out in no class; values of a table differ in number and stay.
+    same = texts(spark, [page(i) for i in range(12)] * 2)
+    assert same[3] == word(3)
+    tables = [f"<table><tr><td>{word(i)}{'<tr><td>yes' * (1 + i % 9)}</table>" for i in range(18)]
+    assert texts(spark, tables)[4].count("yes") == 5
