@@ -1,24 +1,29 @@
 """Main text of web pages by deducing the template that pages of a host share.
 
 A page is read as tokens: its elements, each with the path of containers that leads to it,
-and its whole text segments. Tokens of one host that occur equally often on every page,
-i.e. share an occurrence vector, form an equivalence class. A class is valid if it occurs
-on at least half of the host's pages and its elements lie within elements that do so too;
-valid classes nest by their paths and make up the host's template. Text segments of a
-class that every page has are fixed text of the template; what else lies between the
-template's elements are slots. The main text are the slots inside the template's article,
-or, where no element says so, inside the innermost element that holds most of the slots'
-text.
+and its whole text segments. Text segments of one host that occur equally often on the same
+pages, i.e. share an occurrence vector, form an equivalence class. A class nests in its
+container, the element at its path: a segment has support if it is on at least half of the
+pages that hold the container (on fewer than ten pages: on four fifths), and a container if
+it is on a twentieth of the host's pages that are not empty. A class with support whose
+text is a minor part of its pages is fixed text of the template; one that makes up most of
+its pages is a copied article. What is left are slots, and all slots are text.
+
+Elements that HTML itself puts beside an article (menus, forms, asides) are no slots. Words
+of a class, id or role are a hint only: such an element is left out unless it holds most of
+its page's slots' text, or the host's container: its article, or, where no element says so,
+the innermost element that holds most of the slots' text.
 
 Occurrence vectors are never collected: a token's vector is its number of pages and the
 exclusive or of the hashes of (page, count), a grouped sum with partial sums on the map
 side, so one host with a third of all pages is no heavier than many.
 
 Defined results: a null page counts as empty and has an empty text; pages without a host
-form a group of their own; rows that repeat are extracted each; a page that has nothing in
-its host's article is read by its own elements; a page with nothing but fixed text keeps it; unclosed elements end with their parents,
-an unfinished tag at the end is dropped; an empty table gives an empty result; further
-columns are ignored, whatever their names.
+form a group of their own; rows that repeat are extracted each; a page of which less than a
+fifth would be left by fixed text is a copy and keeps it; one with nothing but hinted
+elements keeps those; unclosed elements end with their parents, an unfinished tag at the end
+is dropped; an empty table gives an empty result; further columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -163,10 +168,6 @@ def _size(blocks: list[Segment]) -> int:
 def extract(page: str | None, container: str | None, fixed: frozenset[int]) -> str:
     """The main text of a page, given its host's container and fixed text."""
     blocks = [b for b in parse(page)[0] if not b.beside]
-    chosen = [b for b in blocks if container is not None and _within(b.path, container)]
-    if not chosen:
-        chosen = [b for b in blocks if {"article", "main"} & {x.split(".")[0] for x in b.path.split("/")}]
-    blocks = chosen or blocks
     slots = [b for b in blocks if not fixed or _hash(b.path, b.text) not in fixed]
     if _size(slots) < (1 - SHARE) * _size(blocks):
         slots = blocks

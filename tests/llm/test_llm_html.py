@@ -128,3 +128,17 @@ def test_fixed_text_is_judged_by_the_pages_of_its_container(spark):
     assert same[3] == word(3)
     tables = [f"<table><tr><td>{word(i)}{'<tr><td>yes' * (1 + i % 9)}</table>" for i in range(18)]
     assert texts(spark, tables)[4].count("yes") == 5
+
+
+def test_all_slots_are_text(spark):
+    word = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    both = [
+        f"<body><article class=featured>{word(i)} more</article><article class=regular>{word(100 + i)}</article></body>"
+        for i in range(12)
+    ]
+    got = texts(spark, both)
+    assert got == {i: f"{word(i)} more\n{word(100 + i)}" for i in range(12)}
+    # A second layout: a teaser in the host's container, the story elsewhere.
+    pages = [f"<body><main><p>{word(i)}</p></main></body>" for i in range(12)]
+    pages += [f"<body><main>teaser {i}</main><div class=story>{word(50 + i)}</div></body>" for i in range(3)]
+    assert texts(spark, pages)[13] == f"teaser 1\n{word(51)}"
