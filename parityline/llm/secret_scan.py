@@ -4,18 +4,20 @@ Base findings are regex matches of three kinds: assignments, access identifiers
 hexadecimal runs. Weak candidates are parts that mean little alone:
 
 - ``id``: an upper-case identifier of 16 to 19 characters, with letters and digits,
-- ``key``: 32 or more characters of the Base64 alphabet in both cases,
+- ``key``: 32 or more characters of the Base64 alphabet in both cases, with a digit or with
+  as many capitals as no words have, not in the host or path of a web address,
 - ``endpoint``: a web address, or a host with a port.
 
 A weak candidate is reported only if a complementary part lies in the same scope: an
 identifier needs a secret, a secret an identifier or an endpoint, an endpoint a secret.
 Access identifiers are identifiers; assignments and hexadecimal runs are secrets. Two
-parts share a scope if at most ``SCOPE`` code points of one document lie between them.
+parts share a scope if at least one and at most ``SCOPE`` code points of one document lie
+between them; parts that overlap or touch do not complement each other.
 
 Only DataFrame functions are used. Texts are scanned where they lie, not shuffled. Spans
-are cut into cells as long as a scope and joined on (document, cell); of the parts in a
-cell, the first start and the last end of each role decide, so a cell full of parts costs
-no more than one with a few.
+are looked up by (document, cell), with cells as long as a scope; of the parts that start,
+or stop, in a cell, the first and the last of each role decide, so a cell full of parts
+costs no more than one with a few.
 
 Defined results: a null text counts as empty; spans count code points, ends are
 exclusive; rows that repeat are reported each; rows with a null id are scanned too; an
@@ -38,6 +40,9 @@ ASSIGN_VALUE, ACCESS_LENGTH = 6, 20
 # The weak parts: what to match, and what a match must hold besides.
 ID, ID_LENGTH = r"[A-Z0-9]{16,}", 19
 KEY = r"[A-Za-z0-9+/]{32,}={0,2}"
+# A web address up to the values of its query, where keys may stand; one that names a user
+# may hold a key anywhere.
+URL = r"""https?://(?![^\s/?#:"'<>@]+(?::[^\s"'<>@]*)?@)[A-Za-z0-9._~%:/#+-]*(?:\?[^\s"'<>=&]*)?"""
 # No address or host begins inside a run of such characters.
 ENDPOINT = r"https?://[A-Za-z0-9.-]+|(?<![a-z0-9.-])[a-z0-9.-]+:[0-9]+"
 IS_ENDPOINT = r"^https?://|[a-z0-9]\.[a-z0-9-]+:[0-9]{2,5}$"
@@ -75,12 +80,28 @@ def _matches(pattern: str, kind: str, keep) -> Column:
     return F.aggregate(both, nothing, add, lambda state: state["found"])
 
 
-def _found(pattern: str, kind: str, keep=lambda m: F.lit(True), word: str = "") -> Column:
-    """The matches, looked for in detail only in texts that have one."""
+def _found(pattern: str, kind: str, keep=lambda m: F.lit(True), word: str = "", over: str = "") -> Column:
+    """The matches, looked for in detail only in texts that have one.
+
+    Where ``over`` matches first, it is passed over.
+    """
     may = F.col("t").contains(word) if word else F.col("t").rlike(pattern)
+    if over:
+        skip, one = f"^(?:{over})$", keep
+        pattern, keep = f"{over}|{pattern}", lambda m: ~m.rlike(skip) & one(m)
     return F.when(may, _matches(pattern, kind, keep)).otherwise(F.array().cast(_SPANS))
 
 
+def _count(m: Column, characters: str) -> Column:
+    return F.length(F.regexp_replace(m, f"[^{characters}]", ""))
+
+
+def _is_key(m: Column) -> Column:
+    """Whether a run is no name or path made of words, which have few capitals and no digits."""
+    mixed = (_count(m, "A-Z") * 4 >= F.length(m)) & (_count(m, "a-z") * 4 >= F.length(m))
+    return m.rlike("[a-z]") & m.rlike("[A-Z]") & (m.rlike("[0-9]") | mixed)
+
+
 def scan(docs: DataFrame, keep: Column, text_col: str = "text") -> DataFrame:
     """(kept, uid, base, weak) per row, written: spans as (start, kind number, stop)."""
     rows = docs.select(keep.alias("kept"), F.coalesce(f"`{text_col}`", F.lit("")).alias("t"))
@@ -100,7 +121,7 @@ def scan(docs: DataFrame, keep: Column, text_col: str = "text") -> DataFrame:
             "id",
             lambda m: (F.length(m) <= ID_LENGTH) & m.rlike("[A-Z]") & m.rlike("[0-9]"),
         ),
-        _found(KEY, "key", lambda m: m.rlike("[a-z]") & m.rlike("[A-Z]")),
+        _found(KEY, "key", _is_key, over=URL),
         _found(ENDPOINT, "endpoint", lambda m: m.rlike(IS_ENDPOINT)),
     ]
     rows = rows.select("kept", F.concat(*base).alias("base"), F.concat(*weak).alias("weak"))
@@ -113,19 +134,24 @@ def linked(scanned: DataFrame, scope: int = SCOPE) -> DataFrame:
     rows = scanned.where("size(weak) > 0")
     parts = rows.select("uid", F.explode(F.concat("base", "weak")).alias("s"))
     role = F.element_at(F.array(*map(F.lit, ROLES)), F.col("s.kind") + 1)
-    cells = F.expr(f"sequence(int(s.start / {scope}), int(s.stop / {scope}))")
-    parts = parts.select("uid", role.alias("role"), "s", F.explode(cells).alias("cell"))
-    parts = parts.groupBy("uid", "cell", "role").agg(
-        F.min("s.start").alias("first"), F.max("s.stop").alias("last")
+    # The points where parts stop and start; a scope before or after a span is as long as a
+    # cell, so it holds the begin or the end of each cell that it meets, or all of it.
+    points = F.explode(F.array(*[F.struct(F.lit(x).alias("side"), F.col(f"s.{x}").alias("at")) for x in ("stop", "start")]))
+    parts = parts.select("uid", role.alias("role"), points.alias("p"))
+    parts = parts.groupBy("uid", "role", "p.side", F.expr(f"int(p.at / {scope})").alias("cell")).agg(
+        F.min("p.at").alias("first"), F.max("p.at").alias("last")
     )
     weak = rows.select("uid", F.explode("weak").alias("s"))
     needs = F.array(*[F.array(*map(F.lit, NEEDS.get(k, ()))) .cast("array<string>") for k in KINDS])
     weak = weak.withColumn("role", F.explode(F.element_at(needs, F.col("s.kind") + 1)))
-    cells = F.expr(f"sequence(int(greatest(s.start - {scope}, 0) / {scope}), int((s.stop + {scope}) / {scope}))")
-    weak = weak.withColumn("cell", F.explode(cells))
-    # A widened span is longer than a cell: it holds the cell's begin, its end, or both.
-    near = (F.col("first") <= F.col("s.stop") + scope) & (F.col("last") >= F.col("s.start") - scope)
-    found = weak.join(parts, ["uid", "cell", "role"]).where(near).select("uid", "s").distinct()
+    sides = F.expr(
+        f"""array(struct('stop' AS side, greatest(s.start - {scope}, 0) AS low, s.start - 1 AS high),
+                  struct('start' AS side, s.stop + 1 AS low, s.stop + {scope} AS high))"""
+    )
+    weak = weak.withColumn("x", F.explode(sides)).select("uid", "s", "role", "x.*").where("low <= high")
+    weak = weak.withColumn("cell", F.explode(F.expr(f"sequence(int(low / {scope}), int(high / {scope}))")))
+    near = F.col("first").between(F.col("low"), F.col("high")) | F.col("last").between(F.col("low"), F.col("high"))
+    found = weak.join(parts, ["uid", "role", "side", "cell"]).where(near).select("uid", "s").distinct()
     return found.groupBy("uid").agg(F.collect_list("s").alias("added"))
 
 

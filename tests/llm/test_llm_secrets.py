@@ -105,3 +105,40 @@ def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert S.secrets(none, F.col("doc_id")).count() == 0
     assert S.redact(none).count() == 0
+
+
+def reported(spark, *texts):
+    data = [(i, t) for i, t in enumerate(texts)]
+    found = S.secrets(spark.createDataFrame(data, "doc_id long, text string"), F.col("doc_id"))
+    out = {}
+    for r in found.collect():
+        out[r.kept] = [(S.KINDS[s.kind], texts[r.kept][s.start : s.stop]) for s in r.spans]
+    return [out[i] for i in range(len(texts))]
+
+
+def test_addresses_and_words_are_no_keys(spark):
+    assert reported(
+        spark,
+        "see https://en.wikipedia.org/wiki/InternationalBusinessMachinesCorporation for more",
+        "see https://files.example.org/Archive2019/InternationalBusinessMachines12 for more",
+        "InternationalBusinessMachinesCorporation has https://api.example.com now",
+        f"https://api.example.com/{KEY}",
+    ) == [[], [], [], []]
+    url, letters = "https://api.example.com", "aBcDeFgHiJkLmNoP" * 2
+    assert reported(spark, f"{url} {KEY}", f"{url}, {letters}", f"{url}?key={KEY}", f"https://me:{KEY}@host.example") == [
+        [("endpoint", url), ("key", KEY)],
+        [("endpoint", url), ("key", letters)],
+        [("endpoint", url), ("key", KEY)],
+        [("endpoint", "https://me"), ("key", KEY)],
+    ]
+
+
+def test_scope_on_both_sides_without_touching(spark):
+    name, secret = "ABCD1234EFGH5678", "0123456789abcdef0123456789"
+    both = [("hex", secret), ("id", name)]
+    for n in (1, 2, 199, 200, 201, 399):
+        gap, want = " " * n, both if n <= S.SCOPE else both[:1]
+        # At several places of a cell.
+        texts = [f"{'_' * k}{x}" for k in (0, 7, 150, 199) for x in (secret + gap + name, name + gap + secret)]
+        assert all(sorted(found) == want for found in reported(spark, *texts))
+    assert reported(spark, f"password:{name}") == [[("assign", f"password:{name}")]]
