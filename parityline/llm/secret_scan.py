@@ -3,9 +3,11 @@
 Base findings are regex matches of three kinds: assignments, access identifiers and long
 hexadecimal runs. Weak candidates are parts that mean little alone:
 
-- ``id``: an upper-case identifier of 16 to 19 characters, with letters and digits,
-- ``key``: 32 or more characters of the Base64 alphabet in both cases, with a digit or with
-  as many capitals as no words have, not in the host or path of a web address,
+- ``id``: an upper-case identifier of 16 characters or more, with letters and digits, that
+  is no access identifier; from 129 on, more than any has, it counts as a key only,
+- ``key``: 32 or more characters of the Base64 alphabets in both cases, with a digit or with
+  as many capitals as no words have, or in capitals with digits, not in the host or path of
+  a web address; with points and dashes only if its capitals are not those of a title,
 - ``endpoint``: a web address, or a host with a port.
 
 A weak candidate is reported only if a complementary part lies in the same scope: an
@@ -38,8 +40,12 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # a match is as long as its run, so a shorter run has none
 ASSIGN_VALUE, ACCESS_LENGTH = 6, 20
 # The weak parts: what to match, and what a match must hold besides.
-ID, ID_LENGTH = r"[A-Z0-9]{16,}", 19
+ID, ID_LONGEST = r"[A-Z0-9]{16,}", 128
+KEYS = r"[A-Za-z0-9+/_-][A-Za-z0-9+/_.-]{30,}[A-Za-z0-9+/_-]={0,2}"
+#: The SQL knows these only: short identifiers, and keys of one alphabet.
+ID_LENGTH = 19
 KEY = r"[A-Za-z0-9+/]{32,}={0,2}"
+IS_ACCESS = f"^{ACCESS}$"
 # A web address up to the values of its query, where keys may stand; one that names a user
 # may hold a key anywhere.
 URL = r"""https?://(?![^\s/?#:"'<>@]+(?::[^\s"'<>@]*)?@)[A-Za-z0-9._~%:/#+-]*(?:\?[^\s"'<>=&]*)?"""
@@ -96,10 +102,19 @@ def _count(m: Column, characters: str) -> Column:
     return F.length(F.regexp_replace(m, f"[^{characters}]", ""))
 
 
+def _is_id(m: Column) -> Column:
+    access = m.rlike(IS_ACCESS) & (F.length(m) >= ACCESS_LENGTH)
+    return (F.length(m) <= ID_LONGEST) & m.rlike("[A-Z]") & m.rlike("[0-9]") & ~access
+
+
 def _is_key(m: Column) -> Column:
     """Whether a run is no name or path made of words, which have few capitals and no digits."""
-    mixed = (_count(m, "A-Z") * 4 >= F.length(m)) & (_count(m, "a-z") * 4 >= F.length(m))
-    return m.rlike("[a-z]") & m.rlike("[A-Z]") & (m.rlike("[0-9]") | mixed)
+    capitals, digits = _count(m, "A-Z"), m.rlike("[0-9]")
+    mixed = (capitals * 4 >= F.length(m)) & (_count(m, "a-z") * 4 >= F.length(m))
+    whole = m.rlike(KEY) | (capitals * 8 >= F.length(m))
+    both = m.rlike("[a-z]") & m.rlike("[A-Z]") & (digits | mixed) & whole
+    upper = m.rlike("^[A-Z0-9]+=*$") & m.rlike("[A-Z]") & digits & ~m.rlike(IS_ACCESS)
+    return both | upper
 
 
 def scan(docs: DataFrame, keep: Column, text_col: str = "text") -> DataFrame:
@@ -116,12 +131,8 @@ def scan(docs: DataFrame, keep: Column, text_col: str = "text") -> DataFrame:
         _found(HEX, "hex"),
     ]
     weak = [
-        _found(
-            ID,
-            "id",
-            lambda m: (F.length(m) <= ID_LENGTH) & m.rlike("[A-Z]") & m.rlike("[0-9]"),
-        ),
-        _found(KEY, "key", _is_key, over=URL),
+        _found(ID, "id", _is_id),
+        _found(KEYS, "key", _is_key, over=URL),
         _found(ENDPOINT, "endpoint", lambda m: m.rlike(IS_ENDPOINT)),
     ]
     rows = rows.select("kept", F.concat(*base).alias("base"), F.concat(*weak).alias("weak"))

@@ -142,3 +142,23 @@ def test_scope_on_both_sides_without_touching(spark):
         texts = [f"{'_' * k}{x}" for k in (0, 7, 150, 199) for x in (secret + gap + name, name + gap + secret)]
         assert all(sorted(found) == want for found in reported(spark, *texts))
     assert reported(spark, f"password:{name}") == [[("assign", f"password:{name}")]]
+
+
+def test_parts_of_credentials_of_other_forms(spark):
+    name, secret, url = "ASIA" + "ABCDEFGH23456789", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "https://api.example.com"
+    live, base = "sk_live_" + "4eC39HqLyjWDarjtT1zdp7dc", "aB3-dE6_" * 4 + "x"
+    upper, dotted = "0123456789ABCDEF" * 2, "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeK"
+    long = "A1" * 100
+    assert reported(spark, f"{name} {secret}", *(f"{url} {k}." for k in (live, base, upper, dotted)), f"{name}: {long}") == [
+        [("id", name), ("key", secret)],
+        *([("endpoint", url), ("key", k)] for k in (live, base)),
+        # Capitals and digits may be the one or the other, and none completes itself.
+        [("endpoint", url), ("key", upper)],
+        [("endpoint", url), ("key", dotted)],
+        [("id", name), ("key", long)],
+    ]
+    assert reported(spark, upper, f"{url} Report-2023-Final-version-of-the-long-document.pdf", f"{A} {A}") == [
+        [],
+        [],
+        [("access", A), ("access", A)],
+    ]
