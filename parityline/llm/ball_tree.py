@@ -1,7 +1,7 @@
 """Exact top-k inner products by branch and bound over ball trees, one tree per shard.
 
 Vectors are quantised to integers and dealt to shards of a bounded size by a hash of
-their id; the trees cover every vector. A task holds one shard, builds its tree, and
+their id, themselves and a row number; the trees cover every vector. A task holds one shard, builds its tree, and
 searches it for a bounded number of blocks of queries. A block goes down the tree best
 bound first: no vector in a ball has a larger inner
 product with q than q.c + |q| r. Nodes whose bound is below a query's current kth score
@@ -150,15 +150,19 @@ def nearest(
     ``is_query`` is SQL over the column id. A query that repeats an id is asked once, with
     the smallest of its vectors.
     """
-    vectors = written(quantised(rows, id_col, vector_col), "vectors")
+    # Written at once: the numbers stay the same from then on.
+    vectors = quantised(rows, id_col, vector_col).withColumn("no", F.monotonically_increasing_id())
+    vectors = written(vectors, "vectors")
     total = vectors.count()
     shards = max(1, -(-total // shard_rows))
     home = F.expr(f"pmod(xxhash64(id), {shards})").cast("int")
-    vectors = vectors.select("id", "v", F.size("v").alias("d"), home.alias("shard"))
+    # Rows that repeat an id go to all shards.
+    dealt = F.expr(f"pmod(xxhash64(id, v, no), {shards})").cast("int")
+    vectors = vectors.select("id", "v", F.size("v").alias("d"), dealt.alias("shard"))
     schema = "query long, id long, score long"
 
-    queries = vectors.where(is_query).groupBy("id").agg(F.min(F.struct("v", "d", "shard")).alias("q"))
-    queries = queries.select("id", "q.*")
+    queries = vectors.select("id", "v", "d").where(is_query).groupBy("id").agg(F.min(F.struct("v", "d")).alias("q"))
+    queries = queries.select("id", "q.*", home.alias("shard"))
     # Queries of one shard fill blocks in a hash order; blocks are split by a second hash,
     # so that their sizes vary around half the limit and none grows with the table.
     per = max(1, -(-2 * shard_rows // block_rows))

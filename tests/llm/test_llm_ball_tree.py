@@ -60,3 +60,22 @@ def test_branches_are_left_out_and_nothing_is_lost():
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ball_tree.nearest(frame, "id % 50 = 0").count() == 0
+
+
+def test_rows_of_one_id_go_to_all_shards(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    data = [(7, rng.standard_normal(4).tolist()) for _ in range(200)] + [(7, [1.0] * 4)] * 200
+    data += [(10 * i, rng.standard_normal(4).tolist()) for i in range(20)]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = ball_tree.nearest(frame, "id % 10 = 0 or id = 7", k=5, shard_rows=40, block_rows=4)
+    assert rows(got) == brute(data, lambda i: i % 10 == 0 or i == 7, 5)
+
+    def sizes(k):
+        def run(shard, blocks):
+            return blocks.iloc[:0, :0].reindex([0]).assign(query=len(shard), id=0, score=0)
+
+        return run
+
+    monkeypatch.setattr(ball_tree, "_search", sizes)
+    found = ball_tree.nearest(frame, "id % 10 = 0", k=5, shard_rows=40, block_rows=4)
+    assert max(r.query for r in found.collect()) < 120
