@@ -15,6 +15,7 @@ from parityline.llm import (
     quality,
     secret_scan,
     simhash,
+    spelling,
     token_counts,
     toxicity,
     warc,
@@ -116,6 +117,12 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.contaminated(docs, items)
 
 
+def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    words = spelling.word_counts(docs, change=spelling.drop_letter(199))
+    return spelling.variants(words)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc,
@@ -128,6 +135,7 @@ def queries() -> dict[str, Query]:
         "op8_token_counts": op8_token_counts,
         "op9_html_template": op9_html_template,
         "op10_quality": op10_quality,
+        "op11_spelling": op11_spelling,
     }
 
 
@@ -137,4 +145,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_secret_scan": secret_scan.oracle(),
         "op5_ball_tree": ball_tree.oracle(),
         "op6_decontamination": decontamination.oracle(),
+        "op11_spelling": spelling.oracle(),
     }
