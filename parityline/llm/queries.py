@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from parityline.llm import (
     ball_tree,
     decontamination,
+    divergence,
     html_template,
     packing,
     quality,
@@ -123,6 +124,10 @@ def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.variants(words)
 
 
+def op12_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc,
@@ -136,6 +141,7 @@ def queries() -> dict[str, Query]:
         "op9_html_template": op9_html_template,
         "op10_quality": op10_quality,
         "op11_spelling": op11_spelling,
+        "op12_divergence": op12_divergence,
     }
 
 
@@ -146,4 +152,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_ball_tree": ball_tree.oracle(),
         "op6_decontamination": decontamination.oracle(),
         "op11_spelling": spelling.oracle(),
+        "op12_divergence": divergence.oracle(),
     }
