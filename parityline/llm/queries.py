@@ -14,6 +14,7 @@ from parityline.llm import (
     html_template,
     packing,
     quality,
+    repair,
     secret_scan,
     simhash,
     spelling,
@@ -128,6 +129,13 @@ def op12_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.divergence(table(spark, sf, "documents"))
 
 
+def op13_repair(spark: SparkSession, sf: str) -> DataFrame:
+    files = repair.write(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return repair.read(files).select(
+        F.col("doc").alias("doc_id"), "start", F.col("n").alias("n_tokens"), "ids_crc32"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc,
@@ -142,6 +150,7 @@ def queries() -> dict[str, Query]:
         "op10_quality": op10_quality,
         "op11_spelling": op11_spelling,
         "op12_divergence": op12_divergence,
+        "op13_repair": op13_repair,
     }
 
 
