@@ -28,7 +28,6 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +39,7 @@ _LETTERS = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 0xC0 else 32 for c in range(256)
 )
 #: Distinct words and letters that a task counts before it passes its counts on.
-HELD_WORDS, HELD_LETTERS = 200_000, 16 << 20
+HELD_WORDS, HELD_LETTERS = 100_000, 8 << 20
 #: Letters of a range of words, the least and largest number of ranges, and a cut's length.
 RANGE_LETTERS, LEAST_RANGES, MOST_RANGES, CUT = 1 << 20, 16, 4096, 256
 #: How a word meets a pair of nodes: without a letter equal to the one before it, without
@@ -90,7 +89,7 @@ def word_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, letters = Counter(), 0
-        for batch in batches:
+        for batch in slices(batches):
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 runs = text.encode("latin-1", "replace").translate(_LETTERS).split()
                 own = Counter([r for r in runs if len(r) >= least_length])
@@ -164,11 +163,16 @@ def _in_ranges(words: DataFrame, key: str, cuts: Cuts) -> DataFrame:
     """``words`` with the range of each, a range in one task and in order."""
     held = words.sparkSession.sparkContext.broadcast(cuts)
 
-    @F.pandas_udf("int")
-    def part(keys: pd.Series) -> pd.Series:
-        return keys.map(held.value.range_of).astype("int32")
+    names, at = words.columns, words.columns.index(key)
 
-    placed = words.withColumn("part", part(key)).repartition(len(cuts.cuts) + 1, "part")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            part = [held.value.range_of(w) for w in batch.column(at).to_pylist()]
+            columns = [pa.array(part, pa.int32()), *batch.columns]
+            yield pa.RecordBatch.from_arrays(columns, ["part", *names])
+
+    kinds = ", ".join(["part int", *[f"{name} {kind}" for name, kind in words.dtypes]])
+    placed = words.mapInArrow(run, kinds).repartition(len(cuts.cuts) + 1, "part")
     return placed.sortWithinPartitions("part", key)
 
 
@@ -192,12 +196,19 @@ def _numbered(cuts: Cuts, rows: Iterator[tuple]) -> Iterator[tuple]:
         at += 1
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches, so that few rows at a time become Python objects."""
     for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in slices(batches):
         yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
-def _batches(rows: Iterator[list], kinds: dict[str, pa.DataType], size: int = 100_000) -> Iterator[pa.RecordBatch]:
+def _batches(rows: Iterator[list], kinds: dict[str, pa.DataType], size: int = 20_000) -> Iterator[pa.RecordBatch]:
     """Record batches of about ``size`` values; each item is a list of rows."""
     held, values = [], 0
 
