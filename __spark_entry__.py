@@ -25,8 +25,11 @@ from parityline.operators import (
 )
 from parityline.plans.bindings import table, view, with_clause
 from parityline.plans.inventory import named_targets
-from parityline.sources import documents
-from parityline.sources.tickets import EXPORT_COLUMNS, project_tickets
+from parityline.session import shared_path
+from parityline.sinks import manifest as manifest_files
+from parityline.sinks import staging
+from parityline.sources import catalog, documents
+from parityline.sources.tickets import EXPORT_COLUMNS, load_tickets, project_tickets
 
 try:  # the folder of these operators may be left out
     import corpus_pipeline
@@ -199,6 +202,69 @@ def _key_presence(spark: SparkSession, sf: str) -> DataFrame:
     return schema.key_presence(_merged(spark, sf), view(spark, sf, "column_rows"))
 
 
+def _key_presence_listed(spark: SparkSession, sf: str) -> DataFrame:
+    """The check of the whole manifest, by a listing kept in folders of schemas."""
+    merged, listing = _merged(spark, sf), shared_path(spark, "columns")
+    catalog.write_columns(view(spark, sf, "column_rows"), listing)
+    columns = catalog.read_columns(spark, listing, catalog.manifest_schemas(merged))
+    return schema.key_presence(merged, columns)
+
+
+def _presence_columns(checked: DataFrame) -> DataFrame:
+    return checked.select(
+        "issue_key", "table", "view_table", _text("primary_keys"), "keys_present", "broken"
+    )
+
+
+def _ticket_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Tickets written as an export and read from its files."""
+    path = shared_path(spark, "export")
+    _export(spark, sf).write.csv(path, header=True, escape='"', ignoreTrailingWhiteSpace=False)
+    return load_tickets(spark, path)
+
+
+def _view_scripts(spark: SparkSession, sf: str) -> DataFrame:
+    """Definitions written as scripts of a hundred parts each, listed, read and classified."""
+    parts = view(spark, sf, "view_texts").where("view_name like 'part/%'")
+    number = F.substring_index("view_name", "/", -1).cast("long")
+    lines = F.transform(F.array_sort(F.collect_list(F.struct(number.alias("k"), "sql_text"))), lambda x: x["sql_text"])
+    scripts = parts.groupBy(F.expr("cast(substring_index(view_name, '/', -1) as long) div 100").alias("script"))
+    path, listing = shared_path(spark, "scripts"), shared_path(spark, "listing")
+    scripts.agg(F.array_join(lines, "\n").alias("value")).write.partitionBy("script").text(path)
+    files = documents.read_documents(spark, path).select("path")
+    files.select(F.substring_index("path", "/", -2)).write.text(listing)
+    texts = documents.view_texts(spark, listing, base=path.removeprefix("file://") + "/")
+    script = F.regexp_extract("path", "/script=([0-9]+)/", 1).cast("long").alias("script")
+    return views.view_complexity(texts.select(script, "sql_text"), "sql_text")
+
+
+def _manifest_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The manifest in its files, of which one schema's are written once more."""
+    found, path = manifest.validation_manifest(_merged(spark, sf)), shared_path(spark, "manifest")
+    manifest_files.write_manifest(found, path, whole=True)
+    manifest_files.write_manifest(found.where("eds_schema = 'silver'"), path)
+    schema_ = ", ".join(f"`{c}` {kind}" for c, kind in found.dtypes)
+    return manifest_files.read_manifest(spark, path, schema_)
+
+
+def _view_key_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_path(spark, "view-keys")
+    manifest_files.write_view_keys(_view_keys(spark, sf), path)
+    return manifest_files.read_view_keys(spark, path)
+
+
+def _staged_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as a table of the catalog, staged twice and read from the staging table."""
+    folder = shared_path(spark, "stage")
+    database = "parityline_" + folder[-12:]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    table(spark, sf, "orders").write.saveAsTable(f"{database}.orders")
+    name = f"{catalog.SESSION_CATALOG}.{database}.orders"
+    for columns in (["o_orderkey"], _ORDER_COLUMNS):
+        staged = staging.stage_sample(spark, name, columns, 0.01, keys=["o_orderkey"], namespace=database)
+    return spark.table(staged)
+
+
 def _extracted(spark: SparkSession, sf: str) -> DataFrame:
     return views.keys_from_descriptions(_models(spark, sf))
 
@@ -234,12 +300,12 @@ def queries() -> dict[str, Query]:
         # Schemas
         "shared_schema": lambda s, d: schema.shared_schema(_schema_rows(s, d)),
         "schema_compare": lambda s, d: schema.compare_schemas(_schema_rows(s, d)).drop("left_ordinal"),
-        "key_presence": lambda s, d: _key_presence(s, d).select(
-            "issue_key", "table", "view_table", _text("primary_keys"), "keys_present", "broken"
-        ),
+        "key_presence": lambda s, d: _presence_columns(_key_presence(s, d)),
+        "key_presence_listed": lambda s, d: _presence_columns(_key_presence_listed(s, d)),
         "broken_tables": lambda s, d: schema.broken_tables(_key_presence(s, d)),
         # Tickets
         "ticket_projection": lambda s, d: project_tickets(_export(s, d)),
+        "ticket_export": _ticket_export,
         "ticket_target_filter": lambda s, d: tickets.target_tickets(_tickets(s, d)),
         "ticket_nonstandard_names": lambda s, d: tickets.nonstandard_names(_tickets(s, d)),
         "ticket_status_counts": lambda s, d: tickets.status_counts(_tickets(s, d)),
@@ -294,7 +360,10 @@ def queries() -> dict[str, Query]:
             manifest.validation_manifest(_merged(s, d))
         ),
         "skipped_schemas": lambda s, d: manifest.skipped_schemas(_merged(s, d)),
+        "manifest_files": lambda s, d: _manifest_columns(_manifest_files(s, d)),
         # Views
+        "view_key_files": lambda s, d: _view_key_files(s, d).select("view_table", _text("view_key_cols")),
+        "view_scripts": _view_scripts,
         "view_models": lambda s, d: documents.view_models(view(s, d, "model_files")).select(
             "path", "schema", "table", "description", _text("columns")
         ),
@@ -315,7 +384,7 @@ def queries() -> dict[str, Query]:
         "view_complexity_counts": lambda s, d: views.complexity_counts(_complexity(s, d)),
         # Samples
         "sample_row_budget": lambda s, d: sampling.sample_row_budget(
-            table(s, d, "orders"), _ORDER_COLUMNS, 1, keys=["o_orderkey"]
+            table(s, d, "orders"), _ORDER_COLUMNS, 1
         ),
         "sample_rows": lambda s, d: sampling.sample_rows(
             table(s, d, "orders").select(*_ORDER_COLUMNS), 500, ["o_orderkey"]
@@ -326,6 +395,10 @@ def queries() -> dict[str, Query]:
         "sample_to_size": lambda s, d: sampling.sample_to_size(
             table(s, d, "orders"), _ORDER_COLUMNS, 0.01, keys=["o_orderkey"]
         ),
+        "sample_percent": lambda s, d: sampling.sample_percent(
+            table(s, d, "orders").select(*_ORDER_COLUMNS), 10, seed=7
+        ),
+        "staged_sample": _staged_sample,
     }
 
 
@@ -436,7 +509,13 @@ def _extraction_cte(whole_words: bool = False) -> str:
           FROM models)"""
 
 
-def _complexity_cte(loose: bool = False) -> str:
+_SCRIPTS = """scripts AS (
+        SELECT CAST(k // 100 AS VARCHAR) AS view_name, string_agg(sql_text, chr(10) ORDER BY k) AS sql_text
+        FROM (SELECT CAST(split_part(view_name, '/', 2) AS BIGINT) AS k, sql_text
+              FROM view_texts WHERE view_name LIKE 'part/%') GROUP BY k // 100)"""
+
+
+def _complexity_cte(loose: bool = False, source: str = "view_texts") -> str:
     words = sorted(SQL_KEYWORDS, key=lambda w: -w.count(" ")) if loose else SQL_KEYWORDS
     upper = "" if loose else " OR contains(code, ' {u} ')"
     cases = " ".join(
@@ -447,8 +526,8 @@ def _complexity_cte(loose: bool = False) -> str:
     if loose:
         code = rf"concat(' ', regexp_replace(lower({code}), '[\s(),;]+', ' ', 'g'), ' ')"
     return f"""
-        {with_clause("view_texts")},
-        stripped AS (SELECT view_name, {code} AS code FROM view_texts),
+        {with_clause("view_texts")}, {_SCRIPTS},
+        stripped AS (SELECT view_name, {code} AS code FROM {source}),
         classified AS (SELECT view_name, CASE {cases} END AS keyword FROM stripped)"""
 
 
@@ -456,15 +535,14 @@ _ORDER_DIGEST = f"md5(concat_ws('|', {', '.join(_ORDER_COLUMNS)}))"
 
 
 def _budget_cte(size_mb: float) -> str:
+    """The tables here have fewer files than a probe, so all rows are weighed."""
     size = " + ".join(f"strlen(CAST({c} AS VARCHAR))" for c in _ORDER_COLUMNS)
     return f"""
-        WITH slices AS (SELECT left({_ORDER_DIGEST}, {sampling.SLICE_DIGITS}) AS s, count(*) AS r, sum({size}) AS b
-                        FROM orders GROUP BY s),
-        budget AS (
-          SELECT sum(r)::BIGINT AS probed_rows, sum(b)::DOUBLE / sum(r)::DOUBLE AS avg_row_bytes,
-                 CAST(floor({size_mb * 1024 * 1024} / (sum(b)::DOUBLE / sum(r)::DOUBLE)) AS BIGINT)
-                   AS row_budget
-          FROM (SELECT *, sum(r) OVER (ORDER BY s) - r AS start FROM slices) WHERE start < 100)"""
+        WITH budget AS (
+          SELECT count(*) AS probed_rows, sum({size})::DOUBLE / count(*) AS avg_row_bytes,
+                 CAST(floor({size_mb * 1024 * 1024} / (sum({size})::DOUBLE / count(*))) AS BIGINT)
+                   AS row_budget, 0.0::DOUBLE AS relative_error
+          FROM orders)"""
 
 
 def _listed_cte() -> str:
@@ -490,6 +568,18 @@ def oracle_sql() -> dict[str, str]:
     order_columns = ", ".join(_ORDER_COLUMNS)
     tidy_part = r"""regexp_replace(regexp_replace(trim(x, ' '),
                       '\.(silver|gold|bronze)\.', '.\1_base.', 'g'), '_vw$', '')"""
+    to_size = f"""{_budget_cte(0.01)},
+            ordered AS (SELECT *, row_number() OVER (ORDER BY {_ORDER_DIGEST}) AS n
+                        FROM orders)
+            SELECT {order_columns} FROM ordered WHERE n <= (SELECT row_budget FROM budget)"""
+    presence = f"""{_presence_cte()}
+            SELECT issue_key, tbl AS "table", view_table, pks AS primary_keys, keys_present, broken
+            FROM checked"""
+    projection = f"{with_clause('tickets')} SELECT {ticket_columns}, {schema_of} FROM tickets"
+    manifest_rows = f"""{_batched_cte()}
+            SELECT {target_columns}, base AS eds_base_table, tbl AS "table", view_table,
+                   pks AS primary_keys, batch_id
+            FROM batched WHERE pks IS NOT NULL"""
     return more | {
         "match_ratio": _ratio_sql(b2, "legacy", "migrated", ["pk"], _HASHED),
         "match_ratio_reverse": _ratio_sql(b2, "migrated", "legacy", ["pk"], _HASHED),
@@ -540,12 +630,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT pair_id, name, left_type AS type, left_ordinal AS ordinal
             FROM classes WHERE class = 'same_types'""",
         "schema_compare": f"{_schema_cte()} SELECT * EXCLUDE (left_ordinal) FROM classes",
-        "key_presence": f"""{_presence_cte()}
-            SELECT issue_key, tbl AS "table", view_table, pks AS primary_keys, keys_present, broken
-            FROM checked""",
+        "key_presence": presence,
+        "key_presence_listed": presence,
         "broken_tables": f"""{_presence_cte()}
             SELECT DISTINCT eds AS eds_equivalent_table FROM checked WHERE broken""",
-        "ticket_projection": f"{with_clause('tickets')} SELECT {ticket_columns}, {schema_of} FROM tickets",
+        "ticket_projection": projection,
+        "ticket_export": projection,
         "ticket_target_filter": f"""{_done_cte()}
             SELECT {target_columns.replace("edw_table", "short_name AS edw_table", 1)} FROM target""",
         "ticket_nonstandard_names": f"""{with_clause("tickets")}
@@ -612,10 +702,8 @@ def oracle_sql() -> dict[str, str]:
         "schema_batches": f"""{_batched_cte()}
             SELECT eds_schema, batch_id, count(*) AS rows, count(pks) AS rows_with_key
             FROM batched GROUP BY eds_schema, batch_id""",
-        "validation_manifest": f"""{_batched_cte()}
-            SELECT {target_columns}, base AS eds_base_table, tbl AS "table", view_table,
-                   pks AS primary_keys, batch_id
-            FROM batched WHERE pks IS NOT NULL""",
+        "validation_manifest": manifest_rows,
+        "manifest_files": manifest_rows,
         "manifest_documents": f"""{_batched_cte()}
             SELECT eds_schema, batch_id, CAST(to_json(list(struct_pack(
                      edw_table := edw_table, eds_equivalent_table := eds, status := status,
@@ -656,8 +744,9 @@ def oracle_sql() -> dict[str, str]:
         "sample_rows_copies": """
             SELECT l_returnflag, l_linestatus FROM lineitem
             ORDER BY md5(concat_ws('|', l_returnflag, l_linestatus)) LIMIT 1234""",
-        "sample_to_size": f"""{_budget_cte(0.01)},
-            ordered AS (SELECT *, row_number() OVER (ORDER BY {_ORDER_DIGEST}) AS n
-                        FROM orders)
-            SELECT {order_columns} FROM ordered WHERE n <= (SELECT row_budget FROM budget)""",
+        "sample_to_size": to_size,
+        "staged_sample": to_size,
+        "view_key_files": f"{with_clause('view_keys')} SELECT * FROM view_keys",
+        "view_scripts": f"""{_complexity_cte(source="scripts")}
+            SELECT CAST(view_name AS BIGINT) AS script, keyword FROM classified""",
     }

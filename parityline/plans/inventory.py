@@ -31,18 +31,23 @@ def run_inventory(
     source_prefix: str,
     *,
     lines: bool = False,
+    schemas: list[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Write the manifests and return the one-row reports.
 
     The merged frame feeds several reports and the manifests, so it is written
     once to the shared folder, until ``discard_written``; nothing is joined twice. ``lines`` is for large
-    inventories, where one file per batch would be too many.
+    inventories, where one file per batch would be too many. With ``schemas`` only their
+    manifests are written, and those of other schemas stay.
     """
     merged = written(
         attach_keys(named_targets(tickets, source_prefix), ingestion_keys, view_keys),
         "merged",
     )
-    (write_manifest_lines if lines else write_manifest)(validation_manifest(merged), output)
+    manifest = validation_manifest(merged)
+    if schemas is not None:
+        manifest = manifest.where(F.col("eds_schema").isin(schemas))
+    (write_manifest_lines if lines else write_manifest)(manifest, output, whole=schemas is None)
     return {
         "funnel": ticket_funnel(tickets),
         "coverage": pk_coverage(merged),

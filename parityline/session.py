@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _WRITTEN: list[str] = []
+_OWN: dict[str, str] = {}
 
 
 def local_session(app: str, cores: str | int = "*", **conf: str) -> SparkSession:
@@ -25,11 +27,28 @@ def local_session(app: str, cores: str | int = "*", **conf: str) -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster in its settings."""
+    """Folder every executor can reach, as named by the cluster in its settings.
+
+    Where none is named, a local session, whose executors are its driver, gets one of its
+    own; on a cluster that is an error.
+    """
     path = spark.conf.get(CHECKPOINT_DIR, None)
-    if not path:
+    if path:
+        return path.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    return path.rstrip("/")
+    app = spark.conf.get("spark.app.id")
+    if app not in _OWN:
+        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="parityline-")
+    return _OWN[app]
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which ``discard_written`` removes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -39,14 +58,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     outlive any executor, and the lineage ends here. ``discard_written`` removes them.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _WRITTEN.append(path)
+    path = shared_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def discard_written(spark: SparkSession) -> None:
-    """Remove what ``written`` has written in this process, once no frame needs it."""
+    """Remove what was written to new shared paths in this process, once no frame needs it."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     while _WRITTEN:
         path = hadoop(_WRITTEN.pop())

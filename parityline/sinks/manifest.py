@@ -2,26 +2,59 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parityline.operators.manifest import batch_documents, not_replaced_first
 
 
-def write_manifest(manifest: DataFrame, path: str) -> None:
-    """One JSON array file per (schema, batch), all in one job."""
-    batch_documents(manifest).write.mode("overwrite").partitionBy("eds_schema", "batch_id").text(path)
+_DYNAMIC = ("partitionOverwriteMode", "dynamic")
+_PLACE = "eds_schema string, batch_id int, document string"
 
 
-def write_manifest_lines(manifest: DataFrame, path: str) -> None:
+def _gone(documents: DataFrame, path: str) -> DataFrame:
+    """Empty documents for the batches in ``path`` that their schema no longer has."""
+    spark = documents.sparkSession
+    try:
+        # Only the folders' names are read.
+        there = spark.read.schema("document string, eds_schema string, batch_id int").text(path)
+        there = there.select("eds_schema", "batch_id").distinct()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _PLACE)
+    mine = documents.select("eds_schema", "batch_id").distinct()
+    there = there.join(mine.select("eds_schema").distinct(), "eds_schema", "left_semi")
+    there = there.join(mine, ["eds_schema", "batch_id"], "left_anti")
+    return there.withColumn("document", F.lit("[]"))
+
+
+def write_manifest(manifest: DataFrame, path: str, *, whole: bool = False) -> None:
+    """One JSON array file per (schema, batch), all in one job.
+
+    The batches of the manifest's schemas are replaced and those of other schemas stay, so
+    one schema can be run again; a batch that its schema no longer has becomes an empty
+    list. With ``whole`` the manifest is all there is afterwards.
+    """
+    documents = batch_documents(manifest).select("eds_schema", "batch_id", "document")
+    if not whole:
+        documents = documents.unionByName(_gone(documents, path))
+    writer = documents.write.mode("overwrite").partitionBy("eds_schema", "batch_id")
+    (writer if whole else writer.option(*_DYNAMIC)).text(path)
+
+
+def write_manifest_lines(manifest: DataFrame, path: str, *, whole: bool = False) -> None:
     """One row per JSON line, a folder per schema: few files for many batches.
 
-    The schema is also kept inside each line; batches come in their order.
+    The schema is also kept inside each line; batches come in their order. The folders of
+    the manifest's schemas are replaced and others stay, unless ``whole`` is set.
     """
     rows = manifest.withColumn("schema", F.col("eds_schema")).sortWithinPartitions(
         "schema", "batch_id", not_replaced_first()
     )
-    rows.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("schema").json(path)
+    writer = rows.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("schema")
+    (writer if whole else writer.option(*_DYNAMIC)).json(path)
 
 
 def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+SESSION_CATALOG = "spark_catalog"
 COLUMN_ROWS = "table_name string, column_name string, ordinal int, type string, type_id string"
 
 
+def quoted(name: str) -> str:
+    """A dotted name with each of its parts quoted."""
+    return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+
+
 def resolve(
     spark: SparkSession, name: str | None, known: Mapping[str, DataFrame] | None = None
 ) -> DataFrame | None:
@@ -42,8 +50,8 @@ def column_rows(
 ) -> DataFrame:
     """Columns of the given tables; a table that cannot be read has no rows.
 
-    Meant for the tables of a batch or two, as every name is a catalog call. For
-    a whole catalog, read its own column listing into these columns instead.
+    Meant for the tables of a batch or two, as every name is a catalog call. For a whole
+    manifest see ``catalog_columns`` and ``read_columns``.
     """
     rows = []
     for name in dict.fromkeys(names):
@@ -72,3 +80,76 @@ def batch_columns(
         raise ValueError(f"a batch has at most {size} rows; filter the manifest by schema and batch_id")
     names = [r[t] for r in rows for t in tables if r[t]]
     return column_rows(batch.sparkSession, names, known)
+
+
+def schema_of(name: str | Column) -> Column:
+    """The schema of a table's full name: all but its last part."""
+    return F.regexp_extract(name, r"^(.*)\.[^.]*$", 1)
+
+
+def manifest_schemas(
+    manifest: DataFrame,
+    tables: tuple[str, ...] = ("edw_table", "eds_equivalent_table", "eds_base_table"),
+) -> DataFrame:
+    """(table_schema): the schemas of all tables that a manifest names."""
+    names = manifest.select(F.explode(F.array(*[F.col(f"`{t}`") for t in tables])).alias("_name"))
+    return names.select(schema_of("_name").alias("table_schema")).where("table_schema <> ''").distinct()
+
+
+def _names(schemas: DataFrame, limit: int) -> list[str]:
+    """The schemas' names, which the driver may hold up to ``limit`` of."""
+    names = [r[0] for r in schemas.select("table_schema").where("table_schema <> ''").distinct().take(limit + 1)]
+    if len(names) > limit:
+        raise ValueError(f"more than {limit} schemas; list them in parts")
+    return sorted(names)
+
+
+def catalog_columns(spark: SparkSession, schemas: DataFrame, limit: int = 10_000) -> DataFrame:
+    """(table_schema, table_name, column_name, ordinal, type) of all tables of the schemas.
+
+    One listing a schema, which the catalog answers at once, however many tables it has; a
+    schema that cannot be listed has no rows. Its texts are taken apart by the executors.
+    Types are given as far as the listing tells them. More than ``limit`` schemas are an
+    error.
+    """
+    found = spark.createDataFrame([], "table_schema string, name string, information string")
+    for name in _names(schemas, limit):
+        try:
+            listed = spark.sql(f"SHOW TABLE EXTENDED IN {quoted(name)} LIKE '*'")
+        except AnalysisException:
+            continue
+        listed = listed.where("not isTemporary").select(
+            F.lit(name).alias("table_schema"), F.col("tableName").alias("name"), "information"
+        )
+        found = found.unionAll(listed)
+    # The tree of a schema; what lies inside a column is further in.
+    tree = F.substring_index("information", "\nSchema: root\n", -1)
+    line = F.lit(r"(?m)^ \|-- (.*): [^:]* \(nullable = (?:true|false)\)$")
+    kind = F.lit(r"(?m)^ \|-- .*: ([^:]*) \(nullable = (?:true|false)\)$")
+    pairs = F.arrays_zip(F.regexp_extract_all(tree, line, F.lit(1)), F.regexp_extract_all(tree, kind, F.lit(1)))
+    columns = found.select("table_schema", "name", F.posexplode(pairs).alias("_at", "_column"))
+    return columns.select(
+        "table_schema",
+        F.concat_ws(".", "table_schema", "name").alias("table_name"),
+        F.col("_column")["0"].alias("column_name"),
+        (F.col("_at") + 1).alias("ordinal"),
+        F.col("_column")["1"].alias("type"),
+    )
+
+
+def write_columns(columns: DataFrame, path: str) -> None:
+    """Keep a column listing, a folder per schema; listings of other schemas stay.
+
+    ``columns`` has at least (table_name, column_name); the schema is that of the name.
+    """
+    rows = columns.withColumn("table_schema", schema_of("table_name")).repartition("table_schema", "table_name")
+    writer = rows.sortWithinPartitions("table_schema", "table_name").write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("table_schema").parquet(path)
+
+
+def read_columns(
+    spark: SparkSession, path: str, schemas: DataFrame | None = None, limit: int = 10_000
+) -> DataFrame:
+    """A kept column listing, of which only the folders of ``schemas`` are read."""
+    rows = spark.read.parquet(path)
+    return rows if schemas is None else rows.where(F.col("table_schema").isin(_names(schemas, limit)))

@@ -129,6 +129,35 @@ def test_manifest_files(spark, data, tmp_path):
     assert rows(back, *manifest.columns) == rows(manifest)
 
 
+def test_one_schema_is_written_again(spark, data, tmp_path):
+    """Its batches are replaced, those it has no more are empty, other schemas' files stay."""
+    path = str(tmp_path / "m")
+    manifest = validation_manifest(spark.createDataFrame(data, SCHEMA))
+    write_manifest(manifest, path)
+    kept = {f: f.stat().st_mtime_ns for f in (tmp_path / "m/eds_schema=gold").rglob("part-*")}
+    fewer = [r for r in data if r[0] == "silver"][:50] + [ticket("new", "X-1")]
+    again = validation_manifest(spark.createDataFrame(fewer, SCHEMA))
+    write_manifest(again, path)
+    assert kept == {f: f.stat().st_mtime_ns for f in (tmp_path / "m/eds_schema=gold").rglob("part-*")}
+    back = read_manifest(spark, path, SCHEMA + ", batch_id int")
+    gold = rows(manifest.where("eds_schema = 'gold'"), *manifest.columns)
+    assert rows(back, *manifest.columns) == sorted(gold + rows(again), key=repr)
+    empty = list((tmp_path / "m/eds_schema=silver/batch_id=7").glob("part-*"))
+    assert [json.loads(f.read_text()) for f in empty] == [[]]
+    write_manifest(again, path, whole=True)
+    assert not (tmp_path / "m/eds_schema=gold").exists()
+    assert rows(read_manifest(spark, path, SCHEMA + ", batch_id int"), *manifest.columns) == rows(again)
+
+
+def test_lines_of_one_schema_are_written_again(spark, data, tmp_path):
+    path = str(tmp_path / "l")
+    manifest = validation_manifest(spark.createDataFrame(data, SCHEMA))
+    write_manifest_lines(manifest, path)
+    write_manifest_lines(manifest.where("eds_schema = 'silver' and batch_id < 2"), path)
+    found = spark.read.json(path).groupBy("eds_schema").count()
+    assert rows(found) == [("gold", 54), ("silver", 39)]
+
+
 def test_manifest_lines(spark, data, tmp_path):
     manifest = validation_manifest(spark.createDataFrame(data, SCHEMA))
     write_manifest_lines(manifest, str(tmp_path / "l"))

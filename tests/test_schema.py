@@ -9,7 +9,15 @@ from parityline.operators.schema import (
     schema_rows,
     shared_schema,
 )
-from parityline.sources.catalog import column_rows, resolve, table_columns
+from parityline.sources.catalog import (
+    catalog_columns,
+    column_rows,
+    manifest_schemas,
+    read_columns,
+    resolve,
+    table_columns,
+    write_columns,
+)
 
 
 def test_classes_of_two_pairs_in_one_job(spark):
@@ -118,3 +126,63 @@ def test_batch_of_the_manifest(spark, monkeypatch):
     with pytest.raises(ValueError, match="at most 1"):
         batch_columns(batch, size=1)
     spark.catalog.dropTempView("good_table")
+
+
+def test_listing_of_the_catalog_by_schemas(spark):
+    """One listing a schema, for tables of any columns."""
+    for name in ("list_a", "list_b", "list_c"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    spark.range(2).selectExpr(
+        "id", "'x' as `a: b (nullable = true)`", "named_struct('p', id, 'q', array(1)) as s", "map(1, 'x') as m",
+        "cast(1 as decimal(9, 2)) as d",
+    ).write.mode("overwrite").saveAsTable("list_a.wide")
+    spark.range(2).write.mode("overwrite").saveAsTable("list_a.narrow")
+    spark.range(2).toDF("k").write.mode("overwrite").saveAsTable("list_b.t")
+    spark.range(2).toDF("k").write.mode("overwrite").saveAsTable("list_c.not_asked")
+    manifest = spark.createDataFrame(
+        [
+            ("list_a.wide", "list_b.t", "list_a.narrow", ["id"]),
+            ("list_a.wide", "list_a.narrow", "list_a.wide", ["id"]),
+            ("list_a.wide", "no_such.t", None, ["id"]),
+        ],
+        "edw_table string, eds_equivalent_table string, eds_base_table string, primary_keys array<string>",
+    )
+    schemas = manifest_schemas(manifest)
+    assert rows(schemas) == [("list_a",), ("list_b",), ("no_such",)]
+    columns = catalog_columns(spark, schemas)
+    assert rows(columns, "table_name", "column_name", "ordinal") == [
+        ("list_a.narrow", "id", 1), ("list_a.wide", "a: b (nullable = true)", 2), ("list_a.wide", "d", 5),
+        ("list_a.wide", "id", 1), ("list_a.wide", "m", 4), ("list_a.wide", "s", 3), ("list_b.t", "k", 1),
+    ]
+    one_by_one = column_rows(spark, ["list_a.wide", "list_a.narrow", "list_b.t"])
+    assert rows(columns, "table_name", "column_name", "ordinal") == rows(one_by_one, "table_name", "column_name", "ordinal")
+    got = key_presence(manifest, columns)
+    assert rows(got, "eds_equivalent_table", "keys_present", "broken") == [
+        ("list_a.narrow", True, False), ("list_b.t", False, False), ("no_such.t", False, True)
+    ]
+    with pytest.raises(ValueError, match="more than 2"):
+        catalog_columns(spark, schemas, limit=2)
+    for name in ("list_a", "list_b", "list_c"):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_kept_listing_is_read_by_schemas(spark, tmp_path):
+    path = str(tmp_path / "columns")
+    tables = [("p.gold.a", "id"), ("p.gold.a", "ts"), ("p.silver.b", "id"), ("q.gold.c", "k")]
+    write_columns(spark.createDataFrame(tables, "table_name string, column_name string"), path)
+    assert sorted(f.name for f in (tmp_path / "columns").glob("table_schema=*")) == [
+        "table_schema=p.gold", "table_schema=p.silver", "table_schema=q.gold"
+    ]
+    assert rows(read_columns(spark, path), "table_name", "column_name") == tables
+    gold = spark.createDataFrame([("p.gold",), ("p.gold",), (None,), ("none",)], "table_schema string")
+    found = read_columns(spark, path, gold)
+    assert rows(found, "table_name", "column_name") == tables[:2]
+    assert len(found.inputFiles()) >= 1
+    # Other folders are not opened.
+    for file in (tmp_path / "columns/table_schema=p.silver").glob("part-*"):
+        file.write_bytes(b"broken" * 100)
+    assert rows(found, "table_name", "column_name") == tables[:2]
+    # A schema that is listed again replaces its own folder only.
+    write_columns(spark.createDataFrame([("q.gold.d", "k")], "table_name string, column_name string"), path)
+    again = read_columns(spark, path, spark.createDataFrame([("p.gold",), ("q.gold",)], "table_schema string"))
+    assert rows(again, "table_name", "column_name") == [*tables[:2], ("q.gold.d", "k")]
