@@ -16,9 +16,10 @@ with its share in each; equal rows are counted, not repeated; rows that begin al
 path. A node is a source with a share, and its multiplicity the number of terms that pass
 it, so the correction of a node and one of its ancestors is worked out once for all those.
 
-The tree is never held: rows are sorted, a task sees a range of them, and a node is
-finished when the first row comes that does not pass it, so the path to the current row is
-all that lives. Where a range ends inside a shared path, both tasks count their part of it.
+The tree is never held as such: rows are sorted, and a task takes a batch of them at a time.
+A row begins a node at each depth beyond what it shares with the row before it, and the node
+ends with the first row that shares no more than its depth. Where a batch ends inside a
+shared path, both parts of it are corrected on their own; the sums are the same.
 
 Defined results: null texts, languages and sources count as empty texts; rows are the
 documents, so repeated rows count each; a language without kept terms gives pairs of value
@@ -29,7 +30,9 @@ has sources, the square of which is the length of the result.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +46,15 @@ SCALE = 1_000_000_000
 _TERM = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-#: Distinct (group, term) that a task counts before it passes its counts on, and their bytes.
-HELD_TERMS, HELD_BYTES = 200_000, 16 << 20
+#: A task's count of a term is one number: its occurrences and, above them, its documents.
+_SHIFT = 40
+_MOST, _DOCUMENT = (1 << _SHIFT) - 1, 1 << _SHIFT
+#: Distinct (group, term) that a task counts before it passes its counts on, and bytes of text.
+HELD_TERMS, HELD_BYTES = 300_000, 64 << 20
 #: Corrections of pairs that a task gathers before it sums them up.
 HELD_PAIRS = 1 << 20
+#: Node-ancestor pairs that are corrected in one go.
+BLOCK = 1 << 18
 #: Terms' rows in one range of the tree.
 RANGE_ROWS = 20_000
 LEAST_RANGES, MOST_RANGES = 8, 4096
@@ -62,7 +70,9 @@ def term_counts(
     names = ["lang", "source", "term", "n", "df"]
 
     def batch_of(groups: dict) -> pa.RecordBatch:
-        rows = [(*g, term, n, df) for g, terms in groups.items() for term, (n, df) in terms.items()]
+        rows = [
+            (*g, term, n & _MOST, n >> _SHIFT) for g, terms in groups.items() for term, n in terms.items()
+        ]
         columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
@@ -74,27 +84,30 @@ def term_counts(
         for batch in batches:
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 terms = groups.setdefault((lang, source), {})
-                own: dict[bytes, int] = {}
-                for term in text.translate(_TERM).split():
-                    own[term] = own.get(term, 0) + 1
-                for term, n in own.items():
-                    count = terms.get(term)
-                    if count is None:
-                        terms[term] = [n, 1]
-                        held, size = held + 1, size + len(term)
-                    else:
-                        count[0] += n
-                        count[1] += 1
+                before = len(terms)
+                for term, n in Counter(text.translate(_TERM).split()).items():
+                    terms[term] = terms.get(term, 0) + n + _DOCUMENT
+                held, size = held + len(terms) - before, size + len(text)
                 if held > HELD_TERMS or size > HELD_BYTES:
-                    yield batch_of(groups)
+                    for some in _pieces(groups):
+                        yield batch_of(some)
                     groups, held, size = {}, 0, 0
-        yield batch_of(groups)
+        for some in _pieces(groups):
+            yield batch_of(some)
 
     parts = rows.mapInArrow(run, "lang string, source string, term binary, n long, df long")
     counted = parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
     return counted.withColumn("term", F.col("term").cast("string"))
 
 
+def _pieces(groups: dict[tuple, dict], size: int = 20_000) -> Iterator[dict[tuple, dict]]:
+    """Counts in parts, so that few at a time become rows."""
+    for group, terms in groups.items():
+        left = iter(terms.items())
+        while part := dict(islice(left, size)):
+            yield {group: part}
+
+
 def _groups(docs: DataFrame, lang_col: str, source_col: str, *more: Column) -> DataFrame:
     plain = [
         F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name)
@@ -143,8 +156,58 @@ def cells(counts: DataFrame, groups: DataFrame, least_documents: int) -> tuple[D
     return written(found, "cells"), stats.select("lang", "source", "v", "p0"), rows
 
 
+class Rows:
+    """Sorted rows of the tree: all their items one after another, and where each row begins.
+
+    ``number`` stands for an item's group, ``n`` counts the terms of a row.
+    """
+
+    def __init__(self, number: np.ndarray, p: np.ndarray, p0: np.ndarray, begin: np.ndarray, n: np.ndarray):
+        self.number, self.p, self.p0 = number, p, p0
+        self.begin, self.length = begin[:-1], np.diff(begin)
+        self.before = np.concatenate([[0], np.cumsum(n)])
+
+    def shared(self) -> np.ndarray:
+        """Items with which each row begins like the row before it."""
+        found = np.zeros(len(self.length), np.int64)
+        alike = np.arange(1, len(found))
+        depth = 0
+        while len(alike):
+            alike = alike[np.minimum(self.length[alike], self.length[alike - 1]) > depth]
+            a, b = self.begin[alike] + depth, self.begin[alike - 1] + depth
+            alike = alike[(self.number[a] == self.number[b]) & (self.p[a] == self.p[b])]
+            depth += 1
+            found[alike] = depth
+        return found
+
+    def nodes(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(depth, rows, times): the rows that begin a node, and how many terms pass it."""
+        shared = self.shared()
+        changes = np.arange(len(shared))
+        for depth in range(int(self.length.max(initial=0))):
+            begins = changes[shared[changes] <= depth]
+            ends = np.append(begins[1:], len(shared))
+            held = self.length[begins] > depth
+            rows = begins[held]
+            yield depth, rows, self.before[ends[held]] - self.before[rows]
+
+    def corrections(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(pair, value) of every node with each of its ancestors, in blocks."""
+        for depth, rows, times in self.nodes():
+            if not depth:
+                continue
+            step = max(1, BLOCK // depth)
+            for low in range(0, len(rows), step):
+                row = self.begin[rows[low : low + step], None]
+                at, above = row + depth, row + np.arange(depth)
+                a, a0, b, b0 = self.p[at], self.p0[at], self.p[above], self.p0[above]
+                both = _apart(a, b) - _apart(a, b0) - _apart(a0, b) + _apart(a0, b0)
+                pairs = self.number[above] << 32 | self.number[at]
+                yield pairs.ravel(), (times[low : low + step, None] * both).ravel()
+
+
 class Pairs:
-    """Corrections of pairs of sources that one task has found."""
+    """Corrections of pairs of groups that one task has found."""
 
     def __init__(self):
         self.number: dict[tuple[str, str], int] = {}
@@ -153,92 +216,65 @@ class Pairs:
         self.values: list[np.ndarray] = []
         self.held = 0
 
-    def of(self, lang: str, source: str) -> int:
-        key = (lang, source)
-        if key not in self.number:
-            self.number[key] = len(self.names)
-            self.names.append(key)
-        return self.number[key]
+    def numbers(self, langs: list[str], sources: list[str]) -> np.ndarray:
+        found = []
+        for key in zip(langs, sources, strict=True):
+            if key not in self.number:
+                self.number[key] = len(self.names)
+                self.names.append(key)
+            found.append(self.number[key])
+        return np.array(found, np.int64)
 
     def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Sums are kept a pair each as soon as there are many."""
         self.keys.append(keys)
         self.values.append(values)
-        self.held += len(values)
+        self.held += len(keys)
+        if self.held > HELD_PAIRS:
+            self._sum()
 
-    def summed(self) -> pa.RecordBatch:
-        """One row a pair of what has been added, which goes."""
+    def _sum(self) -> None:
         keys = np.concatenate([np.zeros(0, np.int64), *self.keys])
         values = np.concatenate([np.zeros(0, np.int64), *self.values])
-        self.keys, self.values, self.held = [], [], 0
         order = np.argsort(keys, kind="stable")
         keys, values = keys[order], values[order]
         first = np.flatnonzero(np.diff(keys, prepend=-1))
         sums = np.add.reduceat(values, first) if len(first) else values
-        pairs = [(self.names[k >> 32], self.names[k & 0xFFFFFFFF]) for k in keys[first].tolist()]
+        self.keys, self.values, self.held = [keys[first]], [sums], len(first)
+
+    def many(self) -> bool:
+        """Whether what has just been summed up is still a lot."""
+        return len(self.keys) == 1 and self.held > HELD_PAIRS // 2
+
+    def summed(self) -> pa.RecordBatch:
+        """One row a pair of what has been added, which goes."""
+        self._sum()
+        pairs = [(self.names[k >> 32], self.names[k & 0xFFFFFFFF]) for k in self.keys[0].tolist()]
         columns = [[a[0] for a, _ in pairs], [a[1] for a, _ in pairs], [b[1] for _, b in pairs]]
-        return pa.RecordBatch.from_arrays(
-            [*[pa.array(c, pa.string()) for c in columns], pa.array(sums, pa.int64())],
+        batch = pa.RecordBatch.from_arrays(
+            [*[pa.array(c, pa.string()) for c in columns], pa.array(self.values[0], pa.int64())],
             ["lang", "source", "item", "value"],
         )
-
-
-class Path:
-    """The nodes from the tree's root to the current row: sources, shares and multiplicities."""
-
-    def __init__(self):
-        self.items: list[tuple] = []
-        self.number, self.p, self.p0, self.times = (np.zeros(64, np.int64) for _ in range(4))
-
-    def __len__(self) -> int:
-        return len(self.items)
-
-    def push(self, number: int, item: tuple) -> None:
-        at = len(self.items)
-        if at == len(self.p):
-            grown = (np.concatenate([x, np.zeros(at, np.int64)]) for x in (self.number, self.p, self.p0, self.times))
-            self.number, self.p, self.p0, self.times = grown
-        self.items.append(item)
-        self.number[at], self.p[at], self.p0[at], self.times[at] = number, item[1], item[2], 0
-
-    def close(self, to: int, pairs: Pairs) -> None:
-        """End the nodes from depth ``to`` on, and correct their pairs with their ancestors."""
-        depth = len(self.items)
-        if depth <= to:
-            return
-        # What has passed a node has passed those above it.
-        self.times[to:depth] = np.cumsum(self.times[to:depth][::-1])[::-1]
-        if to:
-            self.times[to - 1] += self.times[to]
-        step = max(1, (1 << 18) // depth)
-        for low in range(max(to, 1), depth, step):
-            nodes = np.arange(low, min(low + step, depth))[:, None]
-            at, above = np.nonzero(np.arange(nodes[-1, 0]) < nodes)
-            at += low
-            a, a0, b, b0 = self.p[at], self.p0[at], self.p[above], self.p0[above]
-            both = _apart(a, b) - _apart(a, b0) - _apart(a0, b) + _apart(a0, b0)
-            pairs.add(self.number[above] << 32 | self.number[at], self.times[at] * both)
-        del self.items[to:]
+        self.keys, self.values, self.held = [], [], 0
+        return batch
 
 
 def _tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Corrections (lang, source, item, value) of the node-ancestor pairs of sorted rows."""
-    pairs, path, lang = Pairs(), Path(), None
+    pairs = Pairs()
     for batch in batches:
-        for own, row, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            items = [tuple(i.values()) for i in row]
-            shared = 0
-            if own == lang:
-                most = min(len(items), len(path))
-                while shared < most and items[shared] == path.items[shared]:
-                    shared += 1
-            path.close(shared, pairs)
-            lang = own
-            for item in items[shared:]:
-                path.push(pairs.of(lang, item[0]), item)
-            path.times[len(path) - 1] += n
-            if pairs.held > HELD_PAIRS:
+        items = batch.column(1)
+        begin = items.offsets.to_numpy().astype(np.int64)
+        flat, langs = items.flatten(), batch.column(0)
+        begin = begin - begin[0]
+        lang_of = langs.take(pa.array(np.repeat(np.arange(batch.num_rows), np.diff(begin))))
+        source, p, p0 = (flat.field(i) for i in range(3))
+        number = pairs.numbers(lang_of.to_pylist(), source.to_pylist())
+        rows = Rows(number, p.to_numpy(), p0.to_numpy(), begin, batch.column(2).to_numpy())
+        for keys, values in rows.corrections():
+            pairs.add(keys, values)
+            if pairs.many():
                 yield pairs.summed()
-    path.close(0, pairs)
     yield pairs.summed()
 
 

@@ -82,31 +82,41 @@ def test_equals_brute_force(docs, texts, least, top):
 def test_parts_that_tasks_pass_on(docs, texts, monkeypatch):
     monkeypatch.setattr(divergence, "HELD_TERMS", 20)
     monkeypatch.setattr(divergence, "HELD_PAIRS", 5)
+    monkeypatch.setattr(divergence, "BLOCK", 7)
     assert rows(divergence.divergence(docs)) == brute(texts, 10, 10)
 
 
 def test_nodes_are_corrected_once_for_all_their_terms():
     """Ten terms with equal rows are one path, whose pairs are corrected once, tenfold."""
-    items = [("a", 50, 3), ("b", 70, 4), ("c", 20, 5)]
-    pairs, path = divergence.Pairs(), divergence.Path()
-    for item in items:
-        path.push(pairs.of("en", item[0]), item)
-    path.times[2] += 10
-    path.close(1, pairs)
-    assert pairs.held == 3 and path.times[0] == 10
-    path.push(pairs.of("en", "d"), ("d", 9, 1))
-    path.times[1] += 2
-    path.close(0, pairs)
-    got = {(a, b): v for _, a, b, v in (tuple(r.values()) for r in pairs.summed().to_pylist())}
-
-    def one(x, y):
-        (_, p, p0), (_, q, q0) = x, y
-        f = lambda a, b: (a - b) ** 2 // (a + b)
-        return f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0)
-
-    assert got[("a", "b")] == 10 * one(items[0], items[1])
-    assert got[("b", "c")] == 10 * one(items[1], items[2])
-    assert got[("a", "d")] == 2 * one(items[0], ("d", 9, 1))
+    paths = [
+        ([(0, 50, 3), (1, 70, 4)], 3),
+        ([(0, 50, 3), (1, 70, 4), (2, 20, 5)], 10),
+        ([(0, 50, 3), (1, 70, 4), (3, 9, 1)], 1),
+        ([(0, 50, 3), (3, 9, 1)], 2),
+        ([(0, 51, 3), (3, 9, 1)], 4),
+    ]
+    flat = [item for items, _ in paths for item in items]
+    number, p, p0 = (np.array(c) for c in zip(*flat, strict=True))
+    begin = np.cumsum([0, *[len(items) for items, _ in paths]])
+    tree = divergence.Rows(number, p, p0, begin, np.array([n for _, n in paths]))
+    assert tree.shared().tolist() == [0, 2, 2, 1, 0]
+    assert [(d, r.tolist(), t.tolist()) for d, r, t in tree.nodes()] == [
+        (0, [0, 4], [16, 4]), (1, [0, 3, 4], [14, 2, 4]), (2, [1, 2], [10, 1])
+    ]
+    found = Counter()
+    corrected = 0
+    for keys, values in tree.corrections():
+        corrected += len(keys)
+        for k, v in zip(keys.tolist(), values.tolist(), strict=True):
+            found[k >> 32, k & 0xFFFFFFFF] += v
+    assert corrected == 3 + 2 * 2
+    want = Counter()
+    for items, n in paths:
+        for i, (b, q, q0) in enumerate(items):
+            for a, p, p0 in items[:i]:
+                f = lambda x, y: (x - y) ** 2 // (x + y)
+                want[a, b] += n * (f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0))
+    assert found == want
 
 
 def test_values_are_exact_at_the_limits():
