@@ -32,6 +32,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -52,12 +53,13 @@ SHARD_IDS, FILE_CHARACTERS = 1 << 20, 32 << 20
 SYMBOLS = 1 << 16
 #: A round replaces up to so many pairs, each with so many places; rounds end when one
 #: takes away less than this share of the symbols.
-ROUND_PAIRS, LEAST_PLACES, LEAST_GAIN = 4096, 4, 0.01
+ROUND_PAIRS, LEAST_PLACES, LEAST_GAIN = 4096, 6, 0.04
 ROUNDS = 24
 #: Chunks of text whose ids a worker remembers, in each of two generations, and their bytes.
-CHUNKS, CHUNK_BYTES = 200_000, 32 << 20
+CHUNKS, CHUNK_BYTES = 300_000, 32 << 20
 _END = struct.Struct("<QQQ8s")
 _CONTROL = tuple("\x1c\x1d\x1e\x1f")
+_MARKS = frozenset(b".,;:!?")
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -65,6 +67,30 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}H", *ids)
 
 
+class Chunks(dict):
+    """Ids of chunks of text between white space, made when first asked for.
+
+    ``old`` is the generation before this one, of which what is still in use returns.
+    """
+
+    def __init__(self, encoder: Encoder, old: dict[bytes, bytes]):
+        self.encoder, self.old, self.bytes = encoder, old, 0
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        found = self.old.get(chunk)
+        if found is None:
+            # A word and one mark after it are pre-tokens of their own.
+            if chunk[-1] in _MARKS and chunk[-2:-1].isalpha():
+                found = self[chunk[:-1]] + self[chunk[-1:]]
+            else:
+                text = chunk.decode("latin-1")
+                pieces = [text] if text.isalpha() else self.encoder.pieces(text)
+                found = _packed([i for piece in pieces for i in self.encoder.piece(piece)])
+        self[chunk] = found
+        self.bytes += len(chunk) + len(found)
+        return found
+
+
 class Ids:
     """Ids of whole texts as 16-bit numbers: each chunk between white space is encoded once.
 
@@ -77,49 +103,38 @@ class Ids:
         if self.terminals > SYMBOLS - 1024:
             raise ValueError("the vocabulary leaves no numbers for nonterminals")
         self.end = _packed([end_id])
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.bytes = 0
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        found = self.old.get(chunk)
-        if found is None:
-            pieces = self.encoder.pieces(chunk.decode("latin-1"))
-            found = b"".join(self.encoder.cached(pieces, _packed))
-        return found
+        self.chunks = Chunks(self.encoder, {})
 
     def of(self, text: str) -> bytes:
         """The ids of a text and the end id, little-endian."""
         if not self.encoder.plain(text) or any(c in text for c in _CONTROL):
             return _packed(self.encoder.whole(text)) + self.end
-        chunks = text.lower().encode("latin-1").split()
-        found = list(map(self.young.get, chunks))
-        if None in found:
-            young = self.young
-            for k, chunk in enumerate(chunks):
-                if found[k] is None:
-                    value = young.get(chunk)
-                    if value is None:
-                        young[chunk] = value = self._chunk(chunk)
-                        self.bytes += len(chunk) + len(value)
-                    found[k] = value
-            if len(young) > CHUNKS or self.bytes > CHUNK_BYTES:
-                self.old, self.young, self.bytes = young, {}, 0
-        found.append(self.end)
-        return b"".join(found)
+        found = b"".join(map(self.chunks.__getitem__, text.lower().encode("latin-1").split()))
+        if len(self.chunks) > CHUNKS or self.chunks.bytes > CHUNK_BYTES:
+            self.chunks.old = {}
+            self.chunks = Chunks(self.encoder, dict(self.chunks))
+        return found + self.end
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    """A place among 2^16 for each pair, by which it is looked up."""
+    return (keys * np.uint32(0x9E3779B1)) >> np.uint32(16)
 
 
 def _choose(keys: np.ndarray, counts: np.ndarray, room: int) -> tuple[list[int], list[int]]:
     """The most frequent pairs of which no symbol ends one and begins another.
 
     Of the two lists the first has pairs of two symbols, the second of one symbol twice.
+    Of pairs that share a slot the most frequent one is taken; others wait for a next round.
     """
     most = min(ROUND_PAIRS, room)
     if len(keys) > 2 * most:
         some = np.argpartition(counts, -2 * most)[-2 * most :]
         keys, counts = keys[some], counts[some]
     begins, ends, pairs, twice = set(), set(), [], []
-    for key in keys[np.lexsort((keys, -counts))].tolist():
+    keys = keys[np.lexsort((keys, -counts))]
+    _, best = np.unique(_slots(keys), return_index=True)
+    for key in keys[np.sort(best)].tolist():
         a, b = key >> 16, key & 0xFFFF
         if a == b:
             if a not in begins and a not in ends:
@@ -151,13 +166,11 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
         if not pairs and not twice:
             break
         chosen = np.array(pairs + twice, np.uint32)
-        begins, ends = np.zeros(SYMBOLS, bool), np.zeros(SYMBOLS, bool)
-        begins[chosen >> 16], ends[chosen & 0xFFFF] = True, True
-        at = np.flatnonzero(begins[symbols[:-1]] & ends[symbols[1:]])
-        order = np.argsort(chosen)
-        found = np.minimum(np.searchsorted(chosen[order], places[at]), len(chosen) - 1)
-        hit = chosen[order][found] == places[at]
-        at, number = at[hit], order[found[hit]]
+        slots = np.zeros(SYMBOLS, np.uint16)
+        slots[_slots(chosen)] = np.arange(len(chosen), dtype=np.uint16)
+        number = slots[_slots(places)]
+        at = np.flatnonzero(chosen[number] == places)
+        number = number[at].astype(np.int64)
         # In a run of one symbol every second place, counted from its start.
         if twice and len(at):
             start = np.concatenate(([True], (np.diff(at) > 1) | (number[1:] != number[:-1])))
@@ -184,14 +197,24 @@ def lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
     return np.array(found[terminals:], "<u4")
 
 
+@cache
+def _terminals(count: int) -> tuple[bytes, ...]:
+    """Every terminal as a little-endian 32-bit number."""
+    return tuple(struct.pack("<I", i) for i in range(count))
+
+
 class Shard:
-    """A shard as it is read: expands any span of its ids."""
+    """A shard as it is read: expands any span of its ids.
+
+    For a short span only its own symbols are expanded, for a long one all rules once.
+    """
 
     def __init__(self, rules: np.ndarray, long: np.ndarray, symbols: np.ndarray, terminals: int):
         self.rules, self.symbols, self.terminals = rules.tolist(), symbols, terminals
         every = np.concatenate([np.ones(terminals, np.int64), long.astype(np.int64)])
         self.ends = np.cumsum(every[symbols])
         self.known: dict[int, bytes] = {}
+        self.every: list[bytes] | None = None
 
     def _expand(self, symbol: int) -> None:
         """Note the ids of one symbol, as 32-bit numbers; rules name earlier ones only."""
@@ -216,10 +239,17 @@ class Shard:
         low = int(np.searchsorted(self.ends, start, "right"))
         high = int(np.searchsorted(self.ends, start + length, "left")) + 1
         symbols = self.symbols[low:high].tolist()
-        for symbol in set(symbols).difference(self.known):
-            self._expand(symbol)
+        if self.every is None and len(symbols) > len(self.rules):
+            self.every = list(_terminals(self.terminals))
+            for a, b in self.rules:
+                self.every.append(self.every[a] + self.every[b])
+        known = self.every
+        if known is None:
+            known = self.known
+            for symbol in set(symbols).difference(known):
+                self._expand(symbol)
         skip = 4 * (start - (int(self.ends[low - 1]) if low else 0))
-        return b"".join(map(self.known.__getitem__, symbols))[skip : skip + 4 * length]
+        return b"".join(map(known.__getitem__, symbols))[skip : skip + 4 * length]
 
 
 class Writer:

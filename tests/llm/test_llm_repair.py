@@ -132,7 +132,7 @@ def test_chunks_that_the_caches_forget(monkeypatch):
     for text in ["a b c d e f g", "a b c, c, d", "h i j k l m", "a h"] * 2:
         want = [*library.encode(text, add_special_tokens=False).ids, 2]
         assert np.frombuffer(ids.of(text), "<u2").tolist() == want
-        assert len(ids.young) <= 3 + 7
+        assert len(ids.chunks) <= 3 + 7
 
 
 def test_no_rows(spark):
