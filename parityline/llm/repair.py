@@ -56,10 +56,12 @@ SYMBOLS = 1 << 16
 ROUND_PAIRS, LEAST_PLACES, LEAST_GAIN = 4096, 6, 0.04
 ROUNDS = 24
 #: Chunks of text whose ids a worker remembers, in each of two generations, and their bytes.
-CHUNKS, CHUNK_BYTES = 300_000, 32 << 20
+CHUNKS, CHUNK_BYTES = 500_000, 32 << 20
 _END = struct.Struct("<QQQ8s")
 _CONTROL = tuple("\x1c\x1d\x1e\x1f")
 _MARKS = frozenset(b".,;:!?")
+#: Small letters of Latin-1.
+_SMALL = bytes(range(256)).decode("latin-1").lower().encode("latin-1")
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -109,7 +111,7 @@ class Ids:
         """The ids of a text and the end id, little-endian."""
         if not self.encoder.plain(text) or any(c in text for c in _CONTROL):
             return _packed(self.encoder.whole(text)) + self.end
-        found = b"".join(map(self.chunks.__getitem__, text.lower().encode("latin-1").split()))
+        found = b"".join(map(self.chunks.__getitem__, text.encode("latin-1").translate(_SMALL).split()))
         if len(self.chunks) > CHUNKS or self.chunks.bytes > CHUNK_BYTES:
             self.chunks.old = {}
             self.chunks = Chunks(self.encoder, dict(self.chunks))
@@ -206,7 +208,7 @@ def _terminals(count: int) -> tuple[bytes, ...]:
 class Shard:
     """A shard as it is read: expands any span of its ids.
 
-    For a short span only its own symbols are expanded, for a long one all rules once.
+    For short spans only their own symbols are expanded; once many are asked for, all rules.
     """
 
     def __init__(self, rules: np.ndarray, long: np.ndarray, symbols: np.ndarray, terminals: int):
@@ -215,6 +217,7 @@ class Shard:
         self.ends = np.cumsum(every[symbols])
         self.known: dict[int, bytes] = {}
         self.every: list[bytes] | None = None
+        self.asked = 0
 
     def _expand(self, symbol: int) -> None:
         """Note the ids of one symbol, as 32-bit numbers; rules name earlier ones only."""
@@ -239,7 +242,8 @@ class Shard:
         low = int(np.searchsorted(self.ends, start, "right"))
         high = int(np.searchsorted(self.ends, start + length, "left")) + 1
         symbols = self.symbols[low:high].tolist()
-        if self.every is None and len(symbols) > len(self.rules):
+        self.asked += len(symbols)
+        if self.every is None and self.asked > len(self.rules):
             self.every = list(_terminals(self.terminals))
             for a, b in self.rules:
                 self.every.append(self.every[a] + self.every[b])
@@ -347,6 +351,28 @@ class Reader:
             yield self._open(number).span(start - int(firsts[number]), part)
             start, length = start + part, length - part
 
+    def sums(self) -> list[int]:
+        """The crc32 of every document's ids, shard after shard."""
+        found, at, first = [0] * len(self.starts), 0, 0
+        ends = (self.starts + self.lengths).tolist()
+        for data in self.shards():
+            stop = first + len(data) // 4
+            part, start = memoryview(data), first
+            while at < len(ends):
+                end = min(ends[at], stop)
+                found[at] = zlib.crc32(part[4 * (start - first) : 4 * (end - first)], found[at])
+                if ends[at] > stop:
+                    break  # it goes on in the next shard
+                at, start = at + 1, end
+            first = stop
+        return found
+
+    def shards(self) -> Iterator[bytes]:
+        """The ids of each shard as a whole."""
+        ends = [*self.directory[1:, 1].tolist(), self.total]
+        for number, (first, end) in enumerate(zip(self.directory[:, 1].tolist(), ends, strict=False)):
+            yield self._open(number).span(0, end - first)
+
     def close(self) -> None:
         self.source.close()
 
@@ -407,12 +433,8 @@ def read(files: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, size, terminals, before in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                reader, sums = Reader(path, size, terminals), []
-                for start, n in zip(reader.starts.tolist(), reader.lengths.tolist(), strict=True):
-                    found = 0
-                    for part in reader.spans(start, n):
-                        found = zlib.crc32(part, found)
-                    sums.append(found)
+                reader = Reader(path, size, terminals)
+                sums = reader.sums()
                 reader.close()
                 doc = pa.array(reader.ids, pa.int64(), mask=~reader.has_id)
                 columns = [pa.array(reader.starts + before), pa.array(reader.lengths), pa.array(sums, pa.int64())]
