@@ -1,29 +1,35 @@
 """Main text of web pages by deducing the template that pages of a host share.
 
-A page is read as tokens: its elements, each with the path of containers that leads to it,
-and its whole text segments. Text segments of one host that occur equally often on the same
-pages, i.e. share an occurrence vector, form an equivalence class. A class nests in its
-container, the element at its path: a segment has support if it is on at least half of the
-pages that hold the container (on fewer than ten pages: on four fifths), and a container if
-it is on a twentieth of the host's pages that are not empty. A class with support whose
-text is a minor part of its pages is fixed text of the template; one that makes up most of
-its pages is a copied article. What is left are slots, and all slots are text.
-
-Elements that HTML itself puts beside an article (menus, forms, asides) are no slots. Words
-of a class, id or role are a hint only: such an element is left out unless it holds most of
-its page's slots' text, or the host's container: its article, or, where no element says so,
-the innermost element that holds most of the slots' text.
-
-Occurrence vectors are never collected: a token's vector is its number of pages and the
-exclusive or of the hashes of (page, count), a grouped sum with partial sums on the map
-side, so one host with a third of all pages is no heavier than many.
+A page is read as a sequence of tokens: its elements, each with the path of containers that
+leads to it, and its whole text segments at their path. The template of a host is deduced
+from its pages in three steps:
+
+1. Tokens that occur on the same pages of a host share an occurrence vector and form an
+   equivalence class. A vector is kept as the number of pages and two sums of their hashes,
+   a grouped sum with partial sums on the map side, so a host with a third of all pages is
+   no heavier than many. Pages of equal text count once.
+2. Tokens with support are candidates: those on a twentieth of the host's pages, at least on
+   two, about equally often on each. A text must be on half of the pages that hold its
+   container, and in a class with another token, or else on nine tenths of them.
+3. Candidates are placed into a tree. On every page a token lies in the slot behind the
+   closest token before it that has more support, and follows the token of its own class
+   before it in that slot. A token that has one such place on four fifths of its pages is
+   valid: its class is ordered, and nests in one slot of a larger class. Those of a class
+   that lie in different slots are placed apart.
+
+Valid texts are the template's; the text of all other segments fills its slots and is kept,
+whatever share of the page it is, but for what HTML itself or the name of an element puts
+beside an article. Names are words of a class, id or role: an element is apart if one of its
+names says so as a whole ("comment-list", "cookie-notice", not "has-sidebar" or
+"comments-open"). A name of layout ("sidebar") counts for nothing where the element holds a
+``main`` or an ``h1``; adverts, notices and reader comments are never text.
 
 Defined results: a null page counts as empty and has an empty text; pages without a host
-form a group of their own; rows that repeat are extracted each; a page of which less than a
-fifth would be left by fixed text is a copy and keeps it; one with nothing but hinted
-elements keeps those; unclosed elements end with their parents, an unfinished tag at the end
-is dropped; an empty table gives an empty result; further columns are ignored, whatever
-their names.
+form a group of their own; rows that repeat are extracted each; a host whose pages all have
+the same text has no template; a page of nothing but template, or of nothing but notices,
+has an empty text; unclosed elements end with their parents, a quote that no other closes
+is a character like others, an unfinished tag at the end is dropped; an empty table gives
+an empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,11 +38,11 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parityline.llm.common import broadcast_if_small, written
@@ -52,266 +58,402 @@ APART = frozenset(
     "head nav header footer aside form script style noscript iframe template svg button select "
     "textarea title menu dialog".split()
 )
-#: Words of a class, id or role that name what is no part of an article.
-APART_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent "
-    "notice notices alert popup modal newsletter subscribe signup login menu nav navigation navbar "
-    "breadcrumb breadcrumbs sidebar footer header masthead comment comments respond disqus share "
-    "sharing social related recommended widget toolbar pagination search".split()
+#: Words that name adverts and notices, and readers' comments, which are never part of an article.
+FOREIGN_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo cookie "
+    "cookies consent notice notices alert alerts popup modal newsletter subscribe signup login".split()
+)
+COMMENT_WORDS = frozenset("comment comments commentary respond reply replies disqus".split())
+#: Words that name the layout around an article.
+LAYOUT_WORDS = frozenset(
+    "banner menu nav navigation navbar breadcrumb breadcrumbs sidebar footer header masthead share "
+    "sharing social related recommended widget widgets toolbar pagination pager search complementary "
+    "contentinfo".split()
+)
+#: Words that may stand before and behind these in a name.
+BEFORE = frozenset(
+    "post page site main left right top bottom primary secondary user reader blog article entry story "
+    "global mobile desktop sticky fixed inline our the js".split()
+)
+BEHIND = frozenset(
+    "list lists box bar area block section container wrapper wrap inner outer panel item items body text "
+    "content title head heading author form link links button buttons icon icons left right top bottom "
+    "main primary secondary post posts articles stories news slot unit module group row column thread "
+    "message template".split()
 )
 #: Elements whose own classes say how they look or what the page has, not what they are.
 UNMARKED = frozenset("html body main h1 h2 h3 h4 h5 h6 th thead".split())
 PARAGRAPHS = frozenset(("p", "li", "dt", "dd", "tr", "td", "th", "option"))
-#: Elements that only a whole class sets apart, not a part of it as in "comments-open".
-WHOLE_WORDS = PARAGRAPHS | {"article"}
-#: Pages of a container from which half of them are enough for a text to count as fixed.
-FIXED_PAGES = 10
-#: The least share of a host's pages that a container of fixed text is on.
-LAYOUT_SHARE = 0.05
-SHARE = 0.8
-#: Hosts and fixed texts together that are sent to all executors.
-BROADCAST_ITEMS = 10_000
-
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)", re.S)
+#: Shares: of a host's pages that a token is on, of its container's pages that a text is on,
+#: of those that a text without another token of its class is on, and of a token's pages
+#: that it has one place on.
+SUPPORT, TEXT_SUPPORT, ALONE, PLACED = 0.05, 0.5, 0.9, 0.8
+#: Hosts and template tokens together that are sent to all executors.
+BROADCAST_ITEMS = 100_000
+#: Distinct places that a task counts before it passes its counts on.
+HELD_PLACES = 100_000
+
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_PLAIN = re.compile(r"[^>\"']*")
+_MARKUP = re.compile(r"[^<]*>[^<]*<(?:/?[a-zA-Z][a-zA-Z0-9]*[\s/>]|!--)")
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
+_CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
-@dataclass
-class Segment:
-    """A block's text, the path of its containers, and whether it lies beside articles.
+@lru_cache(maxsize=10_000)
+def named_apart(name: str) -> str | None:
+    """What a name of an element says that it is as a whole: foreign, comment, layout or None."""
+    words = [w for w in _SPLIT.split(_CAMEL.sub("-", name).lower()) if w]
+    kinds = set()
+    for word in words:
+        if word in FOREIGN_WORDS:
+            kinds.add("foreign")
+        elif word in COMMENT_WORDS:
+            kinds.add("comment")
+        elif word in LAYOUT_WORDS:
+            kinds.add("layout")
+        elif not word.isdigit() and word not in (BEHIND if kinds else BEFORE):
+            return None
+    return min(kinds, key=("foreign", "comment", "layout").index, default=None)
 
-    ``hints`` are the elements around it, as (place, path), whose words say that they do.
-    """
 
-    path: str
-    text: str
-    beside: bool
-    hints: tuple[tuple[int, str], ...] = ()
+class Hint:
+    """An element of layout by its name, within another; void if it holds an article."""
 
-    @property
-    def apart(self) -> bool:
-        return self.beside or bool(self.hints)
+    def __init__(self, around: Hint | None):
+        self.around, self.void, self.apart = around, False, False
+
+
+class Open:
+    """An open element, the hash of its path, and what lies around its content."""
+
+    __slots__ = ("name", "path", "beside", "hint", "inline")
+
+    def __init__(self, name: str, path: int, beside: bool, hint: Hint | None, inline: bool = False):
+        self.name, self.path, self.beside, self.hint, self.inline = name, path, beside, hint, inline
 
 
-def parse(page: str | None) -> tuple[list[Segment], Counter]:
-    """The page's blocks of text in order, and its elements by path."""
-    page = page or ""
-    stack: list[tuple] = [("", "", False, ())]  # name, path, beside, hints
-    blocks: list[Segment] = []
-    elements: Counter = Counter()
-    words: list[str] = []
-    at = 0
+class Token:
+    """An element (without text) or a text segment; ``within`` is the path of its container."""
 
-    def block() -> None:
-        text = " ".join("".join(words).split())
-        words.clear()
+    __slots__ = ("hash", "within", "text", "beside", "hint")
+
+    def __init__(self, hash_: int, within: int, text: str | None, beside: bool, hint: Hint | None):
+        self.hash, self.within, self.text, self.beside, self.hint = hash_, within, text, beside, hint
+
+    @property
+    def apart(self) -> bool:
+        return self.beside or (self.hint is not None and self.hint.apart)
+
+
+def _hash(within: int, text: str) -> int:
+    return xxhash.xxh64_intdigest(f"{within}\0{text}".encode("utf-8", "surrogatepass")) - 2**63
+
+
+class Scanner:
+    """One pass over a page; every character is looked at a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {q: page.rfind(q) for q in "\"'"}
+        self.stack = [Open("", 0, False, None)]
+        self.places: dict[str, list[int]] = {}  # of open elements on the stack, by name
+        self.blocks = [0]  # places of those that are not inline
+        self.hints: list[Hint] = []
+        self.tokens: list[Token] = []
+        self.words: list[str] = []
+
+    def tag_end(self, at: int) -> int:
+        """Where the tag that goes on at ``at`` ends: behind its ``>``, or the page's end."""
+        page = self.page
+        while True:
+            at = _PLAIN.match(page, at).end()
+            if at == len(page):
+                return at
+            if page[at] == ">":
+                return at + 1
+            # A quote counts behind an equals sign, and if another closes it before markup.
+            before = at - 1
+            while page[before].isspace():
+                before -= 1
+            if page[before] == "=" and at < self.last[page[at]]:
+                end = page.find(page[at], at + 1)
+                if not _MARKUP.match(page, at + 1, end):
+                    at = end
+            at += 1
+
+    def block(self) -> None:
+        """End the block of text so far."""
+        text = " ".join("".join(self.words).split())
+        self.words.clear()
+        top = self.stack[-1]
         if text:
-            blocks.append(Segment(stack[-1][1], text, *stack[-1][2:]))
-
-    while at < len(page):
-        tag = _TAG.search(page, at)
-        words.append(html.unescape(page[at : tag.start() if tag else len(page)]))
-        if not tag:
-            break
-        at = tag.end()
-        name = (tag[2] or "").lower()
-        if not name:
-            continue
+            self.tokens.append(Token(_hash(top.path, text), top.path, text, top.beside, top.hint))
+
+    def push(self, element: Open) -> None:
+        self.places.setdefault(element.name, []).append(len(self.stack))
+        if not element.inline:
+            self.blocks.append(len(self.stack))
+        self.stack.append(element)
+
+    def pop_to(self, size: int) -> None:
+        while len(self.stack) > size:
+            element = self.stack.pop()
+            self.places[element.name].pop()
+            if not element.inline:
+                self.blocks.pop()
+
+    def close(self, name: str) -> None:
+        """End the innermost open element of a name; an inline one only within its block."""
+        places = self.places.get(name)
+        if places and (name not in INLINE or places[-1] > self.blocks[-1]):
+            self.pop_to(places[-1])
+
+    def start(self, name: str, attributes: str) -> None:
+        """Open an element."""
+        found = {k.lower(): a or b or c for k, a, b, c in _NAMES.findall(attributes)} if "=" in attributes else {}
+        kinds = set() if name in UNMARKED else {named_apart(n) for v in found.values() for n in v.split()}
+        top = self.stack[-1]
         if name in INLINE:
-            if name == "br":
-                words.append(" ")
-            continue
-        block()
-        if tag[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-            continue
+            # Kept open only where it is an advert or a notice, or lies within one of its name.
+            if name not in VOID and ("foreign" in kinds or self.places.get(name)):
+                foreign = "foreign" in kinds or (top.inline and top.beside)
+                self.push(Open(name, top.path, top.beside or foreign, top.hint, True))
+            return
         if name in PARAGRAPHS:  # a new one ends an open one of the same container
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
+            for i in range(len(self.stack) - 1, 0, -1):
+                if self.stack[i].name == name:
+                    self.pop_to(i)
                     break
-                if stack[i][0] not in PARAGRAPHS:
+                if self.stack[i].name not in PARAGRAPHS and not self.stack[i].inline:
                     break
-        found = {k.lower(): (a or b or c).lower() for k, a, b, c in _NAMES.findall(tag[3])}
-        marks = {w for v in found.values() for w in (v.split() if name in WHOLE_WORDS else _SPLIT.split(v))}
-        named = name not in UNMARKED and bool(marks & APART_WORDS)
-        beside = stack[-1][2] or name in APART
-        path, hints = stack[-1][1], stack[-1][3]
-        if name not in PARAGRAPHS:
-            mark = found.get("class") or found.get("id") or ""
-            path += "/" + name + ("." + ".".join(mark.split()) if mark else "")
-        own = path if name not in PARAGRAPHS else f"{path}/{name}"
-        elements[own] += 1
-        if named:
-            hints = (*hints, (at, own))
-        if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|$)", re.I).search(page, at)
-            at = end.end() if end else len(page)
-        elif name not in VOID and not tag[3].endswith("/"):
-            stack.append((name, path, beside, hints))
-    block()
-    return blocks, elements
-
-
-def _within(path: str, container: str) -> bool:
-    return path == container or path.startswith(container + "/")
-
-
-def _size(blocks: list[Segment]) -> int:
-    return sum(len(b.text) for b in blocks)
-
-
-def extract(page: str | None, container: str | None, fixed: frozenset[int]) -> str:
-    """The main text of a page, given its host's container and fixed text."""
-    blocks = [b for b in parse(page)[0] if not b.beside]
-    slots = [b for b in blocks if not fixed or _hash(b.path, b.text) not in fixed]
-    if _size(slots) < (1 - SHARE) * _size(blocks):
-        slots = blocks
-    held: Counter = Counter()
-    for b in slots:
-        held.update(dict.fromkeys(b.hints, len(b.text)))
-    most = {h for h, n in held.items() if 2 * n >= _size(slots)}
-    if container is not None:
-        most |= {h for h in held if _within(container, h[1])}
-    kept = [b for b in slots if most.issuperset(b.hints)]
-    return "\n".join(b.text for b in kept or slots)
-
-
-def _hash(path: str, text: str = "") -> int:
-    return xxhash.xxh64_intdigest(f"{path}\0{text}".encode("utf-8", "surrogatepass")) - 2**63
+            top = self.stack[-1]
+        if name in ("main", "h1"):
+            around = top.hint
+            while around is not None and not around.void:
+                around.void, around = True, around.around
+        beside = top.beside or name in APART or "foreign" in kinds or "comment" in kinds
+        hint = top.hint
+        if "layout" in kinds and not beside:
+            hint = Hint(hint)
+            self.hints.append(hint)
+        mark = "" if name in PARAGRAPHS else " ".join((found.get("class") or found.get("id") or "").lower().split())
+        path = _hash(top.path, f"<{name} {mark}")
+        self.tokens.append(Token(path, top.path, None, beside, hint))
+        if name not in VOID and not attributes.endswith("/"):
+            # Paragraphs of a container are alike, so what they hold lies in the container.
+            self.push(Open(name, top.path if name in PARAGRAPHS else path, beside, hint))
+
+    def run(self) -> list[Token]:
+        """The page's tokens in order."""
+        page, at = self.page, 0
+        while at < len(page):
+            tag = page.find("<", at)
+            text = page[at : tag if tag >= 0 else len(page)]
+            if text and not (self.stack[-1].inline and self.stack[-1].beside):
+                self.words.append(html.unescape(text))
+            if tag < 0:
+                break
+            name = _NAME.match(page, tag)
+            if name is None:
+                at = self.other(tag)
+                continue
+            at = self.tag_end(name.end())
+            if page[at - 1] != ">":
+                break  # an unfinished tag
+            kind = name[1].lower()
+            if kind == "br":
+                self.words.append(" ")
+                continue
+            if kind not in INLINE:
+                self.block()
+            if page[tag + 1] == "/":
+                self.close(kind)
+            elif kind in RAW:
+                self.start(kind, "/")
+                end = re.compile(rf"</{re.escape(kind)}\b[^>]*(?:>|$)", re.I).search(page, at)
+                at = end.end() if end else len(page)
+            else:
+                self.start(kind, page[name.end() : at - 1])
+        self.block()
+        for hint in self.hints:  # those around come first
+            hint.apart = not hint.void or (hint.around is not None and hint.around.apart)
+        return self.tokens
+
+    def other(self, at: int) -> int:
+        """Pass a comment or declaration, or take a ``<`` as it is."""
+        page = self.page
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            return end + 3 if end >= 0 else len(page)
+        if page.startswith(("<!", "<?", "</"), at):
+            end = page.find(">", at)
+            return end + 1 if end >= 0 else len(page)
+        self.words.append("<")
+        return at + 1
+
+
+def parse(page: str | None) -> list[Token]:
+    """The page's tokens that may be part of an article, in order."""
+    return [t for t in Scanner(page or "").run() if not t.apart]
+
+
+def extract(page: str | None, template: frozenset[int] = frozenset()) -> str:
+    """The main text of a page, given the texts of its host's template."""
+    return "\n".join(t.text for t in parse(page) if t.text is not None and t.hash not in template)
 
 
 def _host() -> Column:
     return F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-_TOKENS = "token long, path string, is_text boolean, n int, chars long, around long"
-
+def skeletons(pages: DataFrame) -> DataFrame:
+    """(host, key, tokens) per page that has text, of pages (host, page).
 
-def tokens(pages: DataFrame) -> DataFrame:
-    """(host, uid, token, path, is_text, n, chars, around): each page's tokens with counts.
-
-    ``around`` is the length of all the page's text but that beside articles. A page that has any
-    token is itself one, at the empty path.
+    ``tokens`` are (hash, within, is_text, n): the page's distinct tokens in the order of
+    their first places; ``key`` is the hash of its texts.
     """
+    token = pa.struct([("hash", pa.int64()), ("within", pa.int64()), ("is_text", pa.bool_()), ("n", pa.int32())])
+    kinds = [pa.string(), pa.int64(), pa.list_(token)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.int64(), pa.int64()]
-        names = ["host", "uid", "token", "path", "is_text", "n", "chars", "around"]
         for batch in batches:
-            out = []
-            for host, uid, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                blocks, elements = parse(page)
-                if blocks or elements:
-                    elements[""] = 1
-                out += [(host, uid, _hash(p), p, False, n, 0, 0) for p, n in elements.items()]
-                blocks = [b for b in blocks if not b.beside]
-                seen: dict[int, list] = {}
-                for b in blocks:
-                    row = seen.setdefault(_hash(b.path, b.text), [b.path, 0, 0])
-                    row[1] += 1
-                    row[2] += len(b.text)
-                around = _size(blocks)
-                out += [(host, uid, h, p, True, n, c, around) for h, (p, n, c) in seen.items()]
-            columns = zip(*out, strict=True) if out else [[]] * len(kinds)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
-            )
-
-    return pages.mapInArrow(run, "host string, uid long, " + _TOKENS)
-
-
-def _fixed(vectors: DataFrame, elements: DataFrame) -> DataFrame:
-    """(host, token, path, chars): the text of classes that are part of the template."""
-    few = f"held < {FIXED_PAGES}"
-    # Of one container, where the text is, and as often on every page but for a few.
-    texts = vectors.where("is_text and pages >= 2 and 8 * squares * pages <= 9 * times * times")
-    held = elements.where(f"held >= {LAYOUT_SHARE} * total").select("host", "path", "held")
-    texts = texts.join(held, ["host", "path"]).withColumn("few", F.expr(few))
-    texts = texts.where(f"pages >= if(few, {SHARE}, 0.5) * held")
-    # Pages of one class are the same, and so is the text around it.
-    key = ["host", "vector", "pages", "few"]
-    classes = texts.groupBy(*key).agg(F.sum("chars").alias("own"), F.max("around").alias("around"))
-    classes = classes.where(f"own < if(few, 0.5, {SHARE}) * around").select(*key)
-    return texts.join(classes, key).select("host", "token", "path", "chars")
+            for low in range(0, batch.num_rows, 500):
+                out = []
+                for host, page in zip(*(c.to_pylist() for c in batch.slice(low, 500).columns), strict=True):
+                    found, texts = {}, xxhash.xxh64()
+                    for t in parse(page):
+                        if t.text is not None:
+                            texts.update(t.hash.to_bytes(8, "little", signed=True))
+                        entry = found.setdefault(t.hash, [t.hash, t.within, t.text is not None, 0])
+                        entry[3] += 1
+                    if any(e[2] for e in found.values()):
+                        rows = [dict(zip(("hash", "within", "is_text", "n"), e, strict=True)) for e in found.values()]
+                        out.append((host, texts.intdigest() - 2**63, rows))
+                columns = zip(*out, strict=True) if out else [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "key", "tokens"]
+                )
+
+    return pages.mapInArrow(
+        run, "host string, key long, tokens array<struct<hash: long, within: long, is_text: boolean, n: int>>"
+    )
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, container, fixed) for each host of ``pages`` (host, uid, html)."""
-    # Rows that repeat cancel out in the one part of the vector, but not in the other.
-    vector = F.expr("struct(bit_xor(xxhash64(uid, n)), sum(shiftrightunsigned(xxhash64(n, uid), 33)))")
-    vectors = tokens(pages).groupBy("host", "token").agg(
-        F.min("path").alias("path"),
+def candidates(pages: DataFrame) -> DataFrame:
+    """(host, token, class, pages, is_text): tokens with support, of distinct skeletons."""
+    tokens = pages.select("host", "key", F.explode("tokens").alias("t")).select("host", "key", "t.*")
+    vector = F.expr("struct(bit_xor(xxhash64(key)), sum(shiftrightunsigned(xxhash64(key, 1), 33)))")
+    vectors = tokens.groupBy("host", F.col("hash").alias("token")).agg(
+        F.min("within").alias("within"),
         F.min("is_text").alias("is_text"),
         F.count("*").alias("pages"),
         F.sum(F.col("n").cast("double")).alias("times"),
         F.sum(F.col("n").cast("double") * F.col("n")).alias("squares"),
         vector.alias("vector"),
-        F.sum("chars").alias("chars"),
-        F.sum("around").alias("around"),
     )
     vectors = written(vectors, "vectors")
-    elements = vectors.where("not is_text").select("host", "path", F.col("pages").alias("held"))
-    # Pages that are empty hold no container and do not count.
-    total = elements.where("path = ''").select("host", F.col("held").alias("total"))
-    elements = elements.join(total, "host")
-    fixed = written(_fixed(vectors, elements), "fixed")
-    # Slots: the text that is left, by every container around it.
-    slots = vectors.where("is_text").groupBy("host", "path").agg(F.sum("chars").alias("chars"))
-    lost = fixed.groupBy("host", "path").agg(F.sum("chars").alias("lost"))
-    slots = slots.join(lost, ["host", "path"], "left").withColumn("chars", F.expr("chars - coalesce(lost, 0)"))
-    around = F.explode(
-        F.expr("transform(sequence(1, size(split(path, '/'))), i -> array_join(slice(split(path, '/'), 1, i), '/'))")
-    )
-    slots = slots.select("host", around.alias("path"), "chars")
-    slots = slots.groupBy("host", "path").agg(F.sum("chars").alias("chars"))
-    whole = slots.where("path = ''").select("host", F.col("chars").alias("whole"))
-    # Elements on at least half of the pages.
-    often = elements.where("held * 2 >= total and path <> ''").select("host", "path")
-    depth = F.size(F.split("path", "/"))
-    name = F.split(F.element_at(F.split("path", "/"), -1), r"\.")[0]
-    best = (
-        slots.where("chars > 0")
-        .join(often, ["host", "path"])
-        .join(whole, "host")
-        .select(
-            "host",
-            "path",
-            F.when(name.isin("article", "main") & (F.col("chars") * 2 >= F.col("whole")), -depth)
-            .when(F.col("chars") >= SHARE * F.col("whole"), depth - 1_000_000)
-            .alias("merit"),
-        )
-        .where("merit is not null")
-        .groupBy("host")
-        .agg(F.max_by("path", F.struct("merit", "path")).alias("container"))
-    )
-    fixed = fixed.groupBy("host").agg(F.collect_set("token").alias("fixed"))
-    return best.join(fixed, "host", "full")
+    total = pages.groupBy("host").agg(F.count("*").alias("total"))
+    some = vectors.join(total, "host").where(f"pages >= 2 and pages >= {SUPPORT} * total")
+    some = some.withColumn("class", F.xxhash64("vector", "pages"))
+    # As often on every page but for a few.
+    steady = some.where("8 * squares * pages <= 9 * times * times")
+    size = steady.groupBy("host", "class").agg(F.count("*").alias("size"))
+    held = vectors.where("not is_text").select("host", F.col("token").alias("within"), F.col("pages").alias("held"))
+    found = steady.join(size, ["host", "class"]).join(held, ["host", "within"], "left")
+    # Text outside of all elements lies in the page.
+    found = found.withColumn("held", F.coalesce("held", "total"))
+    least = f"if(size > 1, {TEXT_SUPPORT}, {ALONE}) * held"
+    return found.where(f"not is_text or pages >= {least}").select("host", "token", "class", "pages", "is_text")
+
+
+def _place(found: list[dict], tokens: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(token, slot, before) of a page's candidates.
+
+    ``slot`` is the closest token before it that has more support, ``before`` the last one
+    of its own class in that slot; 0 stands for none.
+    """
+    known = {c["token"]: c for c in found}
+    enclosing: list[tuple[int, int, int]] = []  # (support, place, token), support going down
+    last: dict[int, tuple[int, int]] = {}  # class: (place, token)
+    for at, token in enumerate(tokens):
+        one = known.get(token)
+        if one is None:
+            continue
+        while enclosing and enclosing[-1][0] <= one["pages"]:
+            enclosing.pop()
+        _, begin, slot = enclosing[-1] if enclosing else (0, -1, 0)
+        place, before = last.get(one["class"], (-1, 0))
+        yield token, slot, before if place > begin else 0
+        last[one["class"]] = (at, token)
+        enclosing.append((one["pages"], at, token))
+
+
+def places(pages: DataFrame, known: DataFrame) -> DataFrame:
+    """(host, token, slot, before, n): on how many pages each candidate has each place."""
+    names = ["host", "token", "slot", "before", "n"]
+    kinds = [pa.string()] + [pa.int64()] * 4
+
+    def batch_of(counts: Counter) -> pa.RecordBatch:
+        rows = [(*k, n) for k, n in counts.items()]
+        columns = zip(*rows, strict=True) if rows else [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for host, tokens, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                counts.update((host, *p) for p in _place(found, tokens))
+                if len(counts) > HELD_PLACES:
+                    yield batch_of(counts)
+                    counts = Counter()
+        yield batch_of(counts)
+
+    rows = pages.join(known, "host").select("host", "tokens.hash", "found")
+    counted = rows.mapInArrow(run, "host string, token long, slot long, before long, n long")
+    return counted.groupBy("host", "token", "slot", "before").agg(F.sum("n").alias("n"))
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(host, token, slot, before, is_text): the valid tokens of each host of pages (host, page).
+
+    ``slot`` and ``before`` make a tree of them: the token in whose slot each one lies, and
+    the one of its class that comes before it there, or 0.
+    """
+    # Pages of equal text count once, so copies of a page are no template.
+    pages = written(skeletons(pages).dropDuplicates(["host", "key"]), "skeletons")
+    found = written(candidates(pages), "candidates")
+    # A page's tokens over the share of support bound a host's candidates.
+    known = found.groupBy("host").agg(F.collect_list(F.struct("token", "class", "pages")).alias("found"))
+    placed = places(pages, broadcast_if_small(known, found.count(), BROADCAST_ITEMS))
+    order = Window.partitionBy("host", "token").orderBy(F.col("n").desc(), "slot", "before")
+    placed = placed.withColumn("rank", F.row_number().over(order)).where("rank = 1")
+    placed = placed.join(found, ["host", "token"]).where(f"n >= {PLACED} * pages")
+    return placed.select("host", "token", "slot", "before", "is_text")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) per row of ``pages`` (page_id, url, html)."""
     rows = pages.select("page_id", "url", F.col("html").alias("page"))
     rows = rows.withColumn("host", _host())
-    uid = F.xxhash64("url", "page_id", "page").alias("uid")
-    known = written(templates(rows.select("host", uid, "page")), "hosts")
-    # A host counts as one and its fixed texts, of eight bytes each, as one each.
-    count = known.agg(F.coalesce(F.sum(1 + F.greatest(F.size("fixed"), F.lit(0))), F.lit(0))).first()[0]
+    known = templates(rows.select("host", "page")).where("is_text")
+    known = written(known.groupBy("host").agg(F.collect_set("token").alias("template")), "templates")
+    # A host counts as one and its texts, of eight bytes each, as one each.
+    count = known.agg(F.coalesce(F.sum(1 + F.size("template")), F.lit(0))).first()[0]
     rows = rows.join(broadcast_if_small(known, count, BROADCAST_ITEMS), "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            page_id, url, page, container, fixed = batch.columns
-            texts = [
-                extract(p, c, frozenset(f or ()))
-                for p, c, f in zip(page.to_pylist(), container.to_pylist(), fixed.to_pylist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([page_id, url, pa.array(texts, pa.string())], ["page_id", "url", "text"])
+            for low in range(0, batch.num_rows, 500):
+                page_id, url, page, template = batch.slice(low, 500).columns
+                texts = [
+                    extract(p, frozenset(t or ())) for p, t in zip(page.to_pylist(), template.to_pylist(), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [page_id, url, pa.array(texts, pa.string())], ["page_id", "url", "text"]
+                )
 
     kinds = dict(pages.dtypes)
-    rows = rows.select("page_id", "url", "page", "container", "fixed")
+    rows = rows.select("page_id", "url", "page", "template")
     return rows.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
