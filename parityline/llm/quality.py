@@ -202,7 +202,8 @@ def sampled_labels(
 def train(docs: DataFrame, labels: DataFrame, in_train: Column, sample: int = 10_000) -> Additive:
     """Fit on the features of at most ``sample`` labelled documents of the training fold.
 
-    Only the numbers of the sampled rows reach the driver.
+    Only the numbers of the sampled documents reach the driver, one row each: rows that
+    repeat an id are reduced to the largest numbers on the executors.
     """
     chosen = F.broadcast(sampled_labels(labels, "quality", in_train, sample))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t"))
@@ -215,10 +216,9 @@ def train(docs: DataFrame, labels: DataFrame, in_train: Column, sample: int = 10
 
     rows = rows.join(chosen, "id").select("id", "y", "t")
     rows = rows.mapInArrow(run, "id long, y double, x array<double>")
-    # A document that repeats under its id counts once.
-    found = {r["id"]: (r["y"], r["x"]) for r in sorted(rows.collect())}
-    x = np.array([v[1] for v in found.values()], float).reshape(-1, len(FEATURES))
-    return fit(x, np.array([v[0] for v in found.values()], float))
+    found = sorted(rows.groupBy("id", "y").agg(F.max("x").alias("x")).collect())
+    x = np.array([r["x"] for r in found], float).reshape(-1, len(FEATURES))
+    return fit(x, np.array([r["y"] for r in found], float))
 
 
 def scorer(model: Additive) -> Callable[[list[str | None]], np.ndarray]:

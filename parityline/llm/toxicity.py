@@ -7,7 +7,7 @@ named more often in toxic texts therefore gains no weight by that, and neutral m
 are not held against a text.
 
 The model is fitted on a bounded sample of labelled rows (``sample``) in a stated hash
-order, over at most ``vocabulary`` words; scoring covers every row and whole texts.
+order, over at most ``VOCABULARY`` words; scoring covers every row and whole texts.
 
 Defined results: a null text counts as empty and gets a score; without labels of both
 kinds the score is the share of ones (0.5 without any); repeated labels of a document
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -28,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parityline.llm.common import written
 from parityline.llm.quality import sampled_labels
 
 #: Terms that can stand for one another in a sentence, by kind.
@@ -43,6 +43,8 @@ IDENTITY = (
     ("disabled", "deaf", "blind", "autistic"),
     ("old", "young", "elderly"),
 )
+#: Words of the model, and the least chi-squared of one against the label.
+VOCABULARY, LEAST_CHI = 5_000, 15.0
 _KIND = {term: kind for kind in IDENTITY for term in kind}
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -106,25 +108,43 @@ def fit(
     y: np.ndarray,
     swaps: dict[tuple[str, str | None], float],
     penalty: float = 10.0,
+    vocabulary: int = VOCABULARY,
+    least: float = LEAST_CHI,
+) -> Model:
+    """Choose the telling words of the texts, and fit their weights: see ``weigh``."""
+    if not len(y) or not 0 < y.sum() < len(y):
+        return _constant(y)
+    kept = _telling(texts, y, vocabulary, least)
+    at = {w: i for i, w in enumerate(kept)}
+    # Sorted, so that sums, and by that the model, are the same at every run.
+    found = [np.sort(np.fromiter((at[w] for w in t if w in at), np.int64)) for t in texts]
+    return weigh(kept, found, y, swaps, penalty)
+
+
+def _constant(y: np.ndarray) -> Model:
+    """The share of ones, where there are none of one kind."""
+    share = float(np.clip(y.mean(), 0.001, 0.999)) if len(y) else 0.5
+    return Model(math.log(share / (1 - share)), {})
+
+
+def weigh(
+    kept: list[str],
+    texts: list[np.ndarray],
+    y: np.ndarray,
+    swaps: dict[tuple[str, str | None], float],
+    penalty: float = 10.0,
     l2: float = 0.3,
-    vocabulary: int = 5_000,
-    least: float = 15.0,
     steps: int = 300,
 ) -> Model:
     """Minimise the weighted log loss, a ridge, and the penalty on changes by swaps.
 
-    In a linear model over sets of words, a swap changes the logit by the difference of
-    two weights; ``swaps`` counts the swaps by (term, other or None).
+    ``texts`` hold the sorted places of their words in ``kept``. In a linear model over sets
+    of words, a swap changes the logit by the difference of two weights; ``swaps`` counts the
+    swaps by (term, other or None).
     """
-    if not len(y) or not 0 < y.sum() < len(y):
-        share = float(np.clip(y.mean(), 0.001, 0.999)) if len(y) else 0.5
-        return Model(math.log(share / (1 - share)), {})
-    kept = _telling(texts, y, vocabulary, least)
     at = {w: i for i, w in enumerate(kept)}
-    # Sorted, so that sums, and by that the model, are the same at every run.
-    cols = [np.sort(np.fromiter((at[w] for w in t if w in at), np.int64)) for t in texts]
-    rows = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
-    cols = np.concatenate(cols) if len(rows) else np.zeros(0, np.int64)
+    rows = np.repeat(np.arange(len(texts)), [len(c) for c in texts])
+    cols = np.concatenate(texts) if len(rows) else np.zeros(0, np.int64)
     pairs = [(at.get(a, -1), at.get(b, -1), n) for (a, b), n in swaps.items()]
     pairs = [p for p in pairs if p[0] != p[1]]
     one, two = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
@@ -177,33 +197,52 @@ def train(
 ) -> Model:
     """Fit on at most ``sample`` labelled documents of the training fold.
 
-    What reaches the driver are the distinct words of the sampled texts and their swaps.
+    The documents' words are counted on the executors. What reaches the driver are the
+    ``VOCABULARY`` words that tell most, for each sampled document the places of its words
+    among them, and the number of swaps of each pair of identity terms.
     """
     chosen = F.broadcast(sampled_labels(labels, label, in_train, sample))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t"))
+    # Of rows that repeat an id one counts: that of the largest hash, ties by the text.
+    rows = rows.join(chosen, "id").withColumn("h", F.xxhash64("t"))
+    rows = rows.groupBy("id", "y").agg(F.max(F.struct("h", "t")).alias("r")).select("id", "y", "r.t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            found = [" ".join(sorted(words(t))) for t in texts]
+            found = [sorted(words(t)) for t in texts]
             swaps = [[(a, b, n) for (a, b), n in swap_counts(t).items()] for t in texts]
             kind = pa.list_(pa.struct([("a", pa.string()), ("b", pa.string()), ("n", pa.int32())]))
             swaps = [[{"a": a, "b": b, "n": n} for a, b, n in s] for s in swaps]
-            columns = [batch.column(0), batch.column(1), pa.array(found, pa.string())]
+            columns = [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))]
             names = ["id", "y", "words", "swaps"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(swaps, kind)], names)
 
-    schema = "id long, y double, words string, swaps array<struct<a: string, b: string, n: int>>"
-    rows = rows.join(chosen, "id").select("id", "y", "t").mapInArrow(run, schema)
-    # A document that repeats under its id counts once.
-    found = {r["id"]: r for r in sorted(rows.collect(), key=lambda r: (r["id"], r["words"]))}
-    ordered = list(found.values())
-    swaps: Counter = Counter()
-    for r in ordered:
-        for s in r["swaps"]:
-            swaps[s["a"], s["b"]] += s["n"]
-    y = np.array([r["y"] for r in ordered], float)
-    return fit([set(map(sys.intern, r["words"].split())) for r in ordered], y, swaps, penalty)
+    schema = "id long, y double, words array<string>, swaps array<struct<a: string, b: string, n: int>>"
+    rows = written(rows.mapInArrow(run, schema), "toxic-words")
+    n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0.0))).first()
+    if not 0 < ones < n:
+        return _constant(np.repeat([1.0, 0.0], [int(ones), int(n - ones)]))
+    each = rows.select("y", F.explode("words").alias("w")).groupBy("w")
+    each = each.agg(F.count("*").cast("double").alias("k"), F.sum("y").alias("a"))
+    chi = f"(a - k * {ones!r}D / {n}) * (a - k * {ones!r}D / {n}) * (1 / (k * {ones!r}D / {n}) + 1 / (k - k * {ones!r}D / {n}))"
+    each = each.select("w", "k", F.expr(chi).alias("chi"), (~F.col("w").isin(*_KIND)).alias("other"))
+    each = each.where(f"not other or chi >= {LEAST_CHI} and k >= 3")
+    kept = [r["w"] for r in each.orderBy("other", F.desc("chi"), "w").limit(VOCABULARY).collect()]
+    held = rows.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(kept)})
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = held.value
+        for batch in batches:
+            found = [sorted(at[w] for w in t if w in at) for t in batch.column(2).to_pylist()]
+            columns = [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "y", "at"])
+
+    placed = sorted(rows.select("id", "y", "words").mapInArrow(place, "id long, y double, at array<int>").collect())
+    swaps = rows.select(F.explode("swaps").alias("s")).groupBy("s.a", "s.b").agg(F.sum("s.n").alias("n"))
+    swaps = {(r["a"], r["b"]): r["n"] for r in sorted(swaps.collect(), key=lambda r: (r["a"] or "", r["b"] or ""))}
+    y = np.array([r["y"] for r in placed], float)
+    return weigh(kept, [np.array(r["at"], np.int64) for r in placed], y, swaps, penalty)
 
 
 def scorer(model: Model) -> Callable[[list[str | None]], list[float]]:

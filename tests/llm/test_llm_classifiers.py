@@ -114,3 +114,37 @@ def test_toxicity_model_does_not_depend_on_the_order_of_rows(spark):
         models.append(toxicity.train(docs, labels, F.lit(True)))
     assert models[0].weights and models[0].weights == models[1].weights
     assert models[0].intercept == models[1].intercept
+
+
+@pytest.mark.parametrize("module,label", [(quality, "quality"), (toxicity, "toxic")])
+def test_repeats_of_an_id_do_not_reach_the_driver(spark, monkeypatch, module, label):
+    texts = [f"some words w{i % 5} {'awful vile' if i % 4 == 0 else 'nice'} here" for i in range(40)]
+    data = [(i, t) for i, t in enumerate(texts)] + [(7, f"another text {k}") for k in range(3000)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], f"doc_id long, {label} int")
+    collected = []
+    collect = type(docs).collect
+
+    def counting(self):
+        found = collect(self)
+        collected.append((self.columns, len(found)))
+        return found
+
+    monkeypatch.setattr(type(docs), "collect", counting)
+    module.train(docs, labels, F.lit(True))
+    assert max(n for columns, n in collected if "y" in columns) == 40
+    assert all(n <= 200 for _, n in collected)
+
+
+def test_words_are_chosen_on_the_executors_as_on_the_driver(spark):
+    rng = np.random.default_rng(4)
+    base = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)] + ["women", "men", "muslims"]
+    y = (rng.random(400) < 0.3).astype(float)
+    texts = [" ".join(rng.choice(base, 30)) + (". vile awful women" if t else ". men said so") for t in y]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(y)], "doc_id long, toxic int")
+    swaps = sum((toxicity.swap_counts(t) for t in texts), toxicity.Counter())
+    want = toxicity.fit([toxicity.words(t) for t in texts], y, swaps)
+    got = toxicity.train(docs, labels, F.lit(True))
+    assert got.weights.keys() == want.weights.keys() and len(want.weights) > 3
+    assert all(abs(got.weights[w] - x) < 1e-6 for w, x in want.weights.items())
