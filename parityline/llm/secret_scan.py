@@ -4,7 +4,7 @@ Base findings are regex matches of three kinds: assignments, access identifiers
 hexadecimal runs. Weak candidates are parts that mean little alone:
 
 - ``id``: an upper-case identifier of 16 characters or more, with letters and digits, that
-  is no access identifier; from 129 on, more than any has, it counts as a key only,
+  is no access identifier,
 - ``key``: 32 or more characters of the Base64 alphabets in both cases, with a digit or with
   as many capitals as no words have, or in capitals with digits, not in the host or path of
   a web address; with points and dashes only if its capitals are not those of a title,
@@ -40,10 +40,9 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # a match is as long as its run, so a shorter run has none
 ASSIGN_VALUE, ACCESS_LENGTH = 6, 20
 # The weak parts: what to match, and what a match must hold besides.
-ID, ID_LONGEST = r"[A-Z0-9]{16,}", 128
+ID = r"[A-Z0-9]{16,}"
 KEYS = r"[A-Za-z0-9+/_-][A-Za-z0-9+/_.-]{30,}[A-Za-z0-9+/_-]={0,2}"
-#: The SQL knows these only: short identifiers, and keys of one alphabet.
-ID_LENGTH = 19
+#: Keys of the plain alphabet need no further capitals.
 KEY = r"[A-Za-z0-9+/]{32,}={0,2}"
 IS_ACCESS = f"^{ACCESS}$"
 # A web address up to the values of its query, where keys may stand; one that names a user
@@ -59,6 +58,47 @@ NEEDS = {"id": ("secret",), "key": ("id", "endpoint"), "endpoint": ("secret",)}
 _SPANS = "array<struct<start: int, kind: int, stop: int>>"
 
 
+#: Parts of an array that are worked on at once; a part's part is as small.
+BLOCK = 64
+
+
+def _with(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _blocks(values: Column, size: int) -> Column:
+    """An array that is not empty in parts of ``size``."""
+    last = F.floor((F.size(values) - 1) / size).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * size + 1, F.lit(size)))
+
+
+def _running(values: Column, step, levels: int = 2) -> Column:
+    """For each value of an array of numbers what ``step`` makes of all before it, from 0 on.
+
+    An array that grows is copied at each step, so it grows in parts, whose own results are
+    first made by parts of parts. The work is in proportion to the array.
+    """
+
+    def within(part: Column, first: Column) -> Column:
+        begin = F.struct(first.cast("int").alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(
+            part,
+            begin,
+            lambda s, v: F.struct(step(s["at"], v).cast("int").alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+            lambda s: s["out"],
+        )
+
+    if not levels:
+        return within(values, F.lit(0))
+
+    def joined(parts: Column) -> Column:
+        whole = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda x, v: step(x, v).cast("int")))
+        return F.flatten(F.zip_with(parts, _running(whole, step, levels - 1), within))
+
+    return _with(_blocks(values, BLOCK), joined)
+
+
 def _matches(pattern: str, kind: str, keep) -> Column:
     """Spans of the pattern's matches in column ``t`` for which ``keep`` holds.
 
@@ -68,22 +108,21 @@ def _matches(pattern: str, kind: str, keep) -> Column:
     both = F.zip_with(
         F.split("t", pattern, -1),
         F.regexp_extract_all("t", F.lit(pattern), F.lit(0)),
-        lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")),
+        lambda gap, m: F.struct(F.length(gap).alias("gap"), F.coalesce(F.length(m), F.lit(0)).alias("long"), m.alias("m")),
     )
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("found"))
 
-    def add(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        stop = start + F.coalesce(F.length(x["m"]), F.lit(0))
-        span = F.struct(
-            start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), stop.alias("stop")
-        )
-        kept = F.when(x["m"].isNotNull() & keep(x["m"]), F.array(span)).otherwise(
-            F.array().cast(_SPANS)
+    def span(x: Column, at: Column) -> Column:
+        start = at + x["gap"]
+        made = F.struct(
+            start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (start + x["long"]).alias("stop")
         )
-        return F.struct(stop.alias("at"), F.concat(state["found"], kept).alias("found"))
+        return F.when(x["m"].isNotNull() & keep(x["m"]), made)
 
-    return F.aggregate(both, nothing, add, lambda state: state["found"])
+    def spans(found: Column) -> Column:
+        places = _running(F.transform(found, lambda x: x["gap"] + x["long"]), lambda at, n: at + n)
+        return F.array_compact(F.zip_with(found, places, span))
+
+    return _with(both, spans).cast(_SPANS)
 
 
 def _found(pattern: str, kind: str, keep=lambda m: F.lit(True), word: str = "", over: str = "") -> Column:
@@ -104,7 +143,7 @@ def _count(m: Column, characters: str) -> Column:
 
 def _is_id(m: Column) -> Column:
     access = m.rlike(IS_ACCESS) & (F.length(m) >= ACCESS_LENGTH)
-    return (F.length(m) <= ID_LONGEST) & m.rlike("[A-Z]") & m.rlike("[0-9]") & ~access
+    return m.rlike("[A-Z]") & m.rlike("[0-9]") & ~access
 
 
 def _is_key(m: Column) -> Column:
@@ -192,22 +231,37 @@ def count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
 
 
+def _pieces(text: Column, first: Column, cuts: Column, size: int) -> Column:
+    """The pieces (a, b) of a text that begins at ``first``.
+
+    To find a place in a text takes as long as the text before it, so pieces are taken from
+    parts of the text, and these from larger parts.
+    """
+    if size == 1:
+        return F.transform(cuts, lambda c: F.substring(text, c["a"] - first + 1, c["b"] - c["a"]))
+
+    def part(block: Column) -> Column:
+        a, b = F.get(block, F.lit(0))["a"], F.element_at(block, -1)["b"]
+        return _with(F.substring(text, a - first + 1, b - a), lambda t: _pieces(t, a, block, size // BLOCK))
+
+    return F.flatten(F.transform(_blocks(cuts, size), part))
+
+
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span, or run of spans that overlap, replaced by ``mark``."""
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    """The text with every span, or run of spans that overlap, replaced by ``mark``.
 
-    def add(state: Column, s: Column) -> Column:
-        before = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        new = F.when(s["start"] >= state["at"], F.array(before, F.lit(mark))).otherwise(
-            F.array().cast("array<string>")
-        )
-        at = F.greatest(state["at"], s["stop"])
-        return F.struct(at.alias("at"), F.concat(state["out"], new).alias("out"))
+    ``spans`` come in order, and there is one at least.
+    """
 
-    def end(state: Column) -> Column:
-        return F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text)))
+    def cut(spans: Column) -> Column:
+        # A run of spans that overlap begins where no earlier one goes on.
+        before = _running(F.transform(spans, lambda s: s["stop"]), lambda x, y: F.greatest(x, y))
+        piece = lambda s, a: F.when(s["start"] >= a, F.struct(a.alias("a"), s["start"].alias("b")))
+        end = F.array(F.struct(F.array_max(F.transform(spans, lambda s: s["stop"])).alias("a"), F.length(text).alias("b")))
+        return F.concat(F.array_compact(F.zip_with(spans, before, piece)), end)
 
-    return F.aggregate(spans, begin, add, end)
+    pieces = _with(_with(spans, cut), lambda cuts: _pieces(text, F.lit(0), cuts, BLOCK * BLOCK))
+    return F.array_join(pieces, mark)
 
 
 def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -236,31 +290,46 @@ def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 
 def oracle(scope: int = SCOPE) -> str:
-    """The same by DuckDB, comparing every weak span with every part of its document."""
+    """The same rules by DuckDB, comparing every weak span with every part of its document.
+
+    Its patterns know no look-around: an address that names a user gets another sign for its
+    colon before keys are looked for, and a host's character before it is looked at later.
+    """
+    user = r"""(https?):(//[^\s/?#:"'<>@]+(?::[^\s"'<>@]*)?@)"""
+    url = URL.replace("""(?![^\\s/?#:"'<>@]+(?::[^\\s"'<>@]*)?@)""", "")
     quoted = {
         "assign": f"(?i){ASSIGN}",
         "access": ACCESS,
         "hex": HEX,
         "id": ID,
-        "key": KEY,
+        "key": f"{url}|{KEYS}",
         "endpoint": ENDPOINT.replace("(?<![a-z0-9.-])", ""),
     }
     quoted = {k: "'" + p.replace("'", "''") + "'" for k, p in quoted.items()}
+    quote = lambda p: "'" + p.replace("'", "''") + "'"
+    has = lambda p: f"regexp_matches(m, {quote(p)})"
+    number = lambda c: f"length(regexp_replace(m, '[^{c}]', '', 'g'))"
+    access = f"({has(IS_ACCESS)} AND length(m) >= {ACCESS_LENGTH})"
+    mixed = f"({number('A-Z')} * 4 >= length(m) AND {number('a-z')} * 4 >= length(m))"
+    whole = f"({has(KEY)} OR {number('A-Z')} * 8 >= length(m))"
+    both = f"({has('[a-z]')} AND {has('[A-Z]')} AND ({has('[0-9]')} OR {mixed}) AND {whole})"
+    upper = f"({has('^[A-Z0-9]+=*$')} AND {has('[A-Z]')} AND {has('[0-9]')} AND NOT {has(IS_ACCESS)})"
     keep = {
         "assign": f"length(regexp_extract(m, {quoted['assign']}, 2)) >= {ASSIGN_VALUE}",
         "access": f"length(m) >= {ACCESS_LENGTH}",
         "hex": "true",
-        "id": f"length(m) <= {ID_LENGTH} AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]')",
-        "key": "regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]')",
-        "endpoint": f"regexp_matches(m, '{IS_ENDPOINT}')",
+        "id": f"{has('[A-Z]')} AND {has('[0-9]')} AND NOT {access}",
+        "key": f"NOT {has(f'^(?:{url})$')} AND ({both} OR {upper})",
+        "endpoint": f"{has(IS_ENDPOINT)} AND ({has('^https?://')} OR NOT regexp_matches(gap, '[a-z0-9.-]$'))",
     }
     parts = " UNION ALL ".join(
         f"""SELECT doc_id, {i} AS kind, start, start + length(m) AS stop
-            FROM (SELECT doc_id, ms[i] AS m, coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+            FROM (SELECT doc_id, ms[i] AS m, concat(ms[i - 1], gaps[i]) AS gap,
+                    coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
                     + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS start
                   FROM (SELECT doc_id, gaps, ms, unnest(range(1, len(ms) + 1)) AS i
-                        FROM (SELECT doc_id, string_split_regex(t, {quoted[k]}) AS gaps,
-                                     regexp_extract_all(t, {quoted[k]}, 0) AS ms FROM d))) WHERE {keep[k]}"""
+                        FROM (SELECT doc_id, string_split_regex({'u' if k == 'key' else 't'}, {quoted[k]}) AS gaps,
+                                     regexp_extract_all({'u' if k == 'key' else 't'}, {quoted[k]}, 0) AS ms FROM d))) WHERE {keep[k]}"""
         for i, k in enumerate(KINDS)
     )
     role = "CASE " + " ".join(f"WHEN kind = {i} THEN '{r}'" for i, r in enumerate(ROLES)) + " END"
@@ -270,12 +339,13 @@ def oracle(scope: int = SCOPE) -> str:
     )
     name = "CASE kind " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(KINDS)) + " END"
     joined = f"string_agg({name} || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start, kind)"
-    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+                regexp_replace(coalesce(text, ''), {quote(user)}, concat('\\1', chr(1), '\\2'), 'g') AS u FROM documents),
         parts AS (SELECT *, {role} AS role FROM ({parts})),
         kept AS (SELECT * FROM parts WHERE kind < 3 UNION ALL
           SELECT * FROM parts w WHERE kind >= 3 AND EXISTS (SELECT 1 FROM parts p
-            WHERE p.doc_id = w.doc_id AND p.start <= w.stop + {scope}
-              AND p.stop >= w.start - {scope} AND ({need}))),
+            WHERE p.doc_id = w.doc_id AND (p.start BETWEEN w.stop + 1 AND w.stop + {scope}
+              OR p.stop BETWEEN w.start - {scope} AND w.start - 1) AND ({need}))),
         per AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign,
                   count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
                   {joined} FILTER (kind < 3) AS base, {joined} AS spans FROM kept GROUP BY doc_id)

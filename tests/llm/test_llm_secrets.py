@@ -1,7 +1,9 @@
 """Secret scan against brute force."""
 
 import re
+import time
 
+import duckdb
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -27,36 +29,52 @@ TEXTS = [
     f"host.example.org:5432 user token: {KEY}== :80 a.b:1 x:443",
     ("a" * 30_000) + " " + "Z9" * 20_000 + " " + ("ab.c" * 5_000),
     f"secret: abcdefg {A} " * 300,
+    f"ASIAABCDEFGH23456789 wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY at db.example.org:5432 " * 70,
+    f"{'A1' * 200} {H} https://me:{KEY}@host.example https://x.example/{KEY}?k={KEY} {'Z9' * 16}=",
+    f"{KEY}ÀÉ😀 {KEY} ABCD1234EFGH5678😀{H}😀https://a.example " * 9,
+    f"see https://files.example.org/Archive2019/InternationalBusinessMachines12 Report-2023-of-the-long-document.pdf {H}",
     f'token = "{H}" and {A}!',
 ]
-PATTERNS = {
-    "assign": (re.compile(S.ASSIGN, re.I | re.A), lambda m: len(m[2]) >= 6),
-    "access": (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
-    "hex": (re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 24),
-    "id": (
-        re.compile(S.ID),
-        lambda m: len(m[0]) <= 19 and re.search("[A-Z]", m[0]) and re.search("[0-9]", m[0]),
-    ),
-    "key": (re.compile(S.KEY), lambda m: re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0])),
-    "endpoint": (re.compile(S.ENDPOINT), lambda m: re.search(S.IS_ENDPOINT, m[0])),
-}
+URL = re.compile(S.URL)
+
+
+def is_key(m):
+    capitals, smalls = len(re.findall("[A-Z]", m)), len(re.findall("[a-z]", m))
+    if capitals and smalls:
+        telling = re.search("[0-9]", m) or (capitals * 4 >= len(m) and smalls * 4 >= len(m))
+        return bool(telling and (re.search(S.KEY, m) or capitals * 8 >= len(m)))
+    access = re.fullmatch(S.ACCESS, m)
+    return bool(re.fullmatch("[A-Z0-9]+=*", m) and capitals and re.search("[0-9]", m) and not access)
+
+
+def parts(text):
+    """All spans (start, kind, stop) by the rules that the module states, found one after another."""
+    yield from ((m.start(), 0, m.end()) for m in re.finditer(S.ASSIGN, text, re.I | re.A) if len(m[2]) >= 6)
+    yield from ((m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20)
+    yield from ((m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24)
+    for m in re.finditer("[A-Z0-9]{16,}", text):
+        access = m[0].startswith("AKIA") and len(m[0]) >= 20
+        if re.search("[A-Z]", m[0]) and re.search("[0-9]", m[0]) and not access:
+            yield m.start(), 3, m.end()
+    at, either = 0, re.compile(f"(?P<url>{S.URL})|{S.KEYS}")
+    while m := either.search(text, at):
+        if m["url"] is None and is_key(m[0]):
+            yield m.start(), 4, m.end()
+        at = m.end()
+    for m in re.finditer(S.ENDPOINT, text):
+        if re.match("https?://", m[0]) or re.search(r"[a-z0-9]\.[a-z0-9-]+:[0-9]{2,5}$", m[0]):
+            yield m.start(), 5, m.end()
 
 
 def brute(text):
-    text = text or ""
-    spans = [
-        (m.start(), S.KINDS.index(k), m.end())
-        for k, (p, keep) in PATTERNS.items()
-        for m in p.finditer(text)
-        if keep(m)
-    ]
+    spans = list(parts(text or ""))
     base = sorted(s for s in spans if s[1] < 3)
 
+    def apart(w, p):
+        return 1 <= p[0] - w[2] <= S.SCOPE or 1 <= w[0] - p[2] <= S.SCOPE
+
     def linked(w):
-        return any(
-            S.ROLES[p[1]] in S.NEEDS[S.KINDS[w[1]]] and p[0] <= w[2] + S.SCOPE and p[2] >= w[0] - S.SCOPE
-            for p in spans
-        )
+        return any(S.ROLES[p[1]] in S.NEEDS[S.KINDS[w[1]]] and apart(w, p) for p in spans)
 
     return base, sorted(base + [w for w in spans if w[1] >= 3 and linked(w)])
 
@@ -78,6 +96,42 @@ def test_spans_equal_brute_force(docs):
     assert got == sorted(want, key=repr)
 
 
+def test_sql_equals_the_query_where_parts_are_linked(spark, docs, tmp_path):
+    """The SQL is written from the same rules; here it meets texts with linked parts."""
+    from parityline.llm.queries import op4_secret_scan
+
+    one = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    one.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = op4_secret_scan(spark, str(tmp_path))
+    with duckdb.connect() as con:
+        con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+        want = con.execute(f"select {', '.join(got.columns)} from ({S.oracle()})").fetchall()
+    assert rows(got) == sorted(want, key=repr)
+    assert sum(w[-1].count(k) for w in want for k in ("id:", "key:", "endpoint:")) > 100
+
+
+def test_work_is_in_proportion_to_the_matches(spark):
+    def seconds(n):
+        text = spark.createDataFrame([(1, "secret: abcdefgh, " * n)], "doc_id long, text string")
+        began = time.perf_counter()
+        out = S.redact(text).first()
+        assert out.text == "[SECRET], " * n
+        return time.perf_counter() - began
+
+    seconds(1000)
+    few, many = seconds(20_000), seconds(60_000)
+    assert many < 6 * few + 2 and many < 30
+
+
+def test_places_in_long_arrays(spark):
+    for n in (1, 63, 64, 65, 4096, 4097, 9000):
+        df = spark.range(1).select(F.expr(f"transform(sequence(1, {n}), i -> int(i % 7))").alias("v"))
+        out = df.select(S._running(F.col("v"), lambda a, v: a + v).alias("s"), S._running(F.col("v"), F.greatest).alias("m")).first()
+        v = [i % 7 for i in range(1, n + 1)]
+        assert out.s == [sum(v[:i]) for i in range(n)]
+        assert out.m == [max(v[:i], default=0) for i in range(n)]
+
+
 def test_weak_parts_need_a_complement():
     near, far = (dict(zip(("base", "all"), brute(TEXTS[i]), strict=True)) for i in (8, 9))
     assert {S.KINDS[k] for _, k, _ in near["all"]} == {"id", "key", "endpoint"}
