@@ -31,10 +31,12 @@ from parityline.sinks import staging
 from parityline.sources import catalog, documents
 from parityline.sources.tickets import EXPORT_COLUMNS, load_tickets, project_tickets
 
-try:  # the folder of these operators may be left out
+try:  # these operators and the pipeline may be left out, but not what they need
     import corpus_pipeline
     from parityline.llm import queries as training_data
-except ImportError:
+except ImportError as error:
+    if error.name not in ("corpus_pipeline", "parityline.llm"):
+        raise
     corpus_pipeline = training_data = None
 
 PREFIX = "legacy.src_"

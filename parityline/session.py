@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -65,7 +66,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def discard_written(spark: SparkSession) -> None:
     """Remove what was written to new shared paths in this process, once no frame needs it."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
     while _WRITTEN:
-        path = hadoop(_WRITTEN.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(spark, _WRITTEN.pop())
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder by Hadoop's file systems, or where the client has none, by Arrow's."""
+    try:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    except AttributeError:
+        store, place = fs.FileSystem.from_uri(path)
+        if store.get_file_info(place).type == fs.FileType.Directory:
+            store.delete_dir(place)
+        return
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

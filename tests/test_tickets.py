@@ -131,3 +131,28 @@ def test_files_are_read_by_their_own_headers(spark, tmp_path):
     (tmp_path / "d.csv").write_text("Status,Issue key\n1,2\n")
     with pytest.raises(Exception, match="EDW table"):
         load_tickets(spark, str(tmp_path / "*.csv")).collect()
+
+
+def test_headers_are_looked_at_in_one_job(spark, tmp_path, monkeypatch):
+    """Many files of two kinds, one with a header over two lines; empty files and folders."""
+    headers = list(EXPORT_COLUMNS)
+    for i in range(9):
+        order = headers if i % 2 else headers[::-1]
+        row = {h: f"{h[:3]}{i}" for h in headers}
+        text = ",".join(order) + "\n" + ",".join(row[h] for h in order) + "\n"
+        (tmp_path / f"f {i}+%.csv").write_text(text)
+    odd = ['"two\nlines"', *headers]
+    (tmp_path / "odd.csv").write_text(",".join(odd) + "\n" + ",".join(["x", *[f"{h[:3]}9" for h in headers]]) + "\n")
+    (tmp_path / "none.csv").write_text("")
+    looks = []
+    reader = type(spark.read)
+    csv = reader.csv
+    monkeypatch.setattr(reader, "csv", lambda self, path, *a, **k: looks.append(path) or csv(self, path, *a, **k))
+    found = load_tickets(spark, str(tmp_path))
+    assert len(looks) <= 2 + 1 + 1
+    assert sorted(r.issue_key for r in found.collect()) == [f"Iss{i}" for i in range(10)]
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError, match="no export"):
+        load_tickets(spark, str(tmp_path / "empty"))
+    with pytest.raises(FileNotFoundError, match="no export"):
+        load_tickets(spark, str(tmp_path / "none.csv"))
