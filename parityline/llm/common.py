@@ -2,32 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parityline.session import CHECKPOINT_DIR, shared_dir
-
-_OWN: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; where none is named (tests), one of our own."""
-    if spark.conf.get(CHECKPOINT_DIR, None):
-        return shared_dir(spark)
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="parityline-")
-    return _OWN[app]
-
+from parityline.session import shared_path, written
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the lineage ends here."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["broadcast_if_small", "fold", "fresh_name", "row_key", "shared_path", "written"]
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = 100_000) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parityline.llm.common import shared_folder, written
+from parityline.llm.common import shared_path, written
 from parityline.llm.pretokens import WORD_PATTERN, Encoder
 
 END_ID = 2
@@ -391,7 +391,7 @@ def write(
     Its columns are (path, bytes, part, terminals, tokens); ``part`` orders the files.
     """
     spark = docs.sparkSession
-    folder = f"{shared_folder(spark)}/repair-{uuid.uuid4().hex}"
+    folder = shared_path(spark, "repair")
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc"), F.coalesce(f"`{text_col}`", F.lit("")).alias("t")
     )

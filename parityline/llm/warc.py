@@ -33,7 +33,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parityline.llm.common import shared_folder, written
+from parityline.llm.common import shared_path, written
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
@@ -104,7 +104,7 @@ def write(rows: DataFrame, id_col: str, uri_col: str, payload_col: str) -> DataF
     Record ids are the rows' ids. Payloads are strings (as UTF-8) or binary.
     """
     spark = rows.sparkSession
-    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    folder = shared_path(spark, "warc")
     rows = rows.select(
         F.col(f"`{id_col}`").cast("long").alias("id"),
         F.coalesce(F.col(f"`{uri_col}`").cast("string"), F.lit("")).alias("uri"),
