@@ -15,8 +15,9 @@ Files lie in the shared folder and are opened through pyarrow's file systems by
 address, whatever store that is.
 
 Defined results: a null payload counts as empty; empty payloads are equal to each other;
-rows that repeat an id are written each; rows with a null id are written and read, and come
-last in the order of ids; a null address is written as empty; an empty table gives an
+rows that repeat an id are written each, and if their payloads are equal, too, one of them is
+the response; rows with a null id are written and read, and come last in the order of ids;
+zero bytes between members are passed over, any others are an error; a null address is written as empty; an empty table gives an
 archive without records; further columns are ignored, whatever their names.
 """
 
@@ -112,10 +113,20 @@ def write(rows: DataFrame, id_col: str, uri_col: str, payload_col: str) -> DataF
     ).withColumn("sha1", F.unhex(F.sha1("payload")))
     # Only payloads that occur more than once need to know their response: (sha1, id) is
     # grouped, not the payloads, and the ids are looked up by what is found.
-    same = rows.groupBy("sha1").agg(F.max("id").alias("last"), F.count("*").alias("n"))
-    same = written(same.where("n > 1").select("sha1", "last"), "same")
+    same = rows.groupBy("sha1", "id").agg(F.count("*").alias("m")).groupBy("sha1")
+    same = same.agg(F.max(F.struct("id", "m")).alias("last"), F.sum("m").alias("n")).where("n > 1")
+    same = written(same.select("sha1", "last.id", "last.m").withColumnRenamed("id", "last"), "same")
+    again = F.lit(False)
+    if not same.where("m > 1 and last is not null").isEmpty():
+        # An id that repeats with its payload: one of its rows is the response. Written, so
+        # that the rows keep their numbers.
+        rows = written(rows.withColumn("no", F.monotonically_increasing_id()), "pages")
+        first = rows.join(same.where("m > 1").select("sha1", F.col("last").alias("id")), ["sha1", "id"])
+        first = first.groupBy("sha1").agg(F.min("no").alias("first"))
+        same = same.join(first, "sha1", "left")
+        again = F.col("no") != F.col("first")
     rows = rows.join(same, "sha1", "left")
-    refers = F.when((F.col("last") != F.col("id")) | F.col("id").isNull(), F.col("last"))
+    refers = F.when((F.col("last") != F.col("id")) | F.col("id").isNull() | again, F.col("last"))
     rows = rows.select("id", "uri", "payload", refers.cast("string").alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,6 +151,7 @@ def write(rows: DataFrame, id_col: str, uri_col: str, payload_col: str) -> DataF
 def members(source, start: int, stop: int, size: int) -> Iterator[bytes]:
     """Decoded members of an open file that start in [start, stop) and hold a record."""
     at, window, begin = start, b"", start  # window holds the bytes from begin on
+    sure = start == 0  # whether a member is known to begin here
 
     def more(n: int) -> bool:
         nonlocal window
@@ -158,6 +170,7 @@ def members(source, start: int, stop: int, size: int) -> Iterator[bytes]:
             if not more(1 << 20):
                 return
             continue
+        sure = sure and not window[at - begin : place].strip(b"\0")
         at = begin + place
         if at >= stop:
             return
@@ -168,7 +181,7 @@ def members(source, start: int, stop: int, size: int) -> Iterator[bytes]:
         except zlib.error:
             head = b""
         if not head.startswith(b"WARC/1."):
-            at += 1
+            at, sure = at + 1, False
             continue
         unpack, used, parts = zlib.decompressobj(wbits=31), place, []
         try:
@@ -180,13 +193,17 @@ def members(source, start: int, stop: int, size: int) -> Iterator[bytes]:
         if not unpack.eof:
             raise ValueError(f"the record at byte {at} is cut off")
         end = begin + used - len(unpack.unused_data)
-        if len(window) - (end - begin) < len(MAGIC):
-            more(1 << 20)
-        after = window[end - begin : end - begin + len(MAGIC)]
-        if after and not after.startswith(MAGIC):
+        after = end - begin  # behind the member and zero bytes that fill up
+        while True:
+            after += len(window) - after - len(window[after:].lstrip(b"\0"))
+            if len(window) - after >= len(MAGIC) or not more(1 << 20):
+                break
+        if after < len(window) and not window[after:].startswith(MAGIC):
+            if sure:
+                raise ValueError(f"the bytes after the record at byte {at} are no record")
             at += 1  # bytes of a payload that look like a member
             continue
-        at = end
+        at, sure = end, True
         yield b"".join(parts)
 
 
@@ -235,8 +252,9 @@ def oracle() -> str:
             sha1(coalesce(html, '')) AS hex FROM pages),
         d AS (SELECT page_id, payload_bytes, hex,
             array_to_string(list_transform(range(8), lambda i: {four}), '') AS payload_digest FROM p),
-        r AS (SELECT hex, max(page_id) AS last FROM p GROUP BY hex)
+        r AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS last,
+                row_number() OVER (PARTITION BY hex ORDER BY page_id DESC) AS place FROM d)
         SELECT page_id, payload_bytes, payload_digest,
-          CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
-          CASE WHEN page_id <> last THEN last END AS refers_to
-        FROM d JOIN r USING (hex)"""
+          CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN place > 1 THEN last END AS refers_to
+        FROM r"""

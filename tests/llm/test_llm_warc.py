@@ -3,6 +3,7 @@
 import gzip
 import io
 
+import duckdb
 import pytest
 from conftest import rows
 from pyarrow import fs
@@ -37,10 +38,11 @@ def test_round_trip(archive):
     for i, _, html in PAGES:
         key = (html or "").encode()
         last[key] = max(last.get(key, -1), -1 if i is None else i)
-    want = []
+    want, done = [], set()
     for i, _, html in PAGES:
         data = (html or "").encode()
-        refers = str(last[data]) if last[data] not in (-1, i) else None
+        refers = str(last[data]) if last[data] not in (-1, i) or (i, data) in done else None
+        done |= {(i, data)} if i is not None else set()
         want.append(
             (
                 "" if i is None else str(i),
@@ -93,3 +95,33 @@ def test_damaged_record_is_an_error():
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read(warc.write(pages, "page_id", "url", "html")).count() == 0
+
+
+def test_one_response_for_rows_that_repeat(spark, tmp_path):
+    data = [(5, "u", "x"), (5, "u", "x"), (5, "v", "x"), (3, "u", "x"), (4, "u", "y"), (6, "u", "z"), (6, "u", "zz")]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").repartition(4)
+    got = rows(warc.read(warc.write(pages, "page_id", "url", "html")), "record_id", "type", "refers_to")
+    assert got == [
+        ("3", "revisit", "5"), ("4", "response", None), ("5", "response", None), ("5", "revisit", "5"),
+        ("5", "revisit", "5"), ("6", "response", None), ("6", "response", None),
+    ]
+    from parityline.llm.queries import op1_warc
+
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    found = op1_warc(spark, str(tmp_path))
+    with duckdb.connect() as con:
+        con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+        want = con.execute(f"select {', '.join(found.columns)} from ({warc.oracle()})").fetchall()
+    assert rows(found) == sorted(want, key=repr)
+
+
+def test_bytes_between_members():
+    one, two = warc.record("a", "u", b"first"), warc.record("b", "u", b"second")
+    names = lambda data, start=0: [warc.parse(m)[0] for m in warc.members(io.BytesIO(data), start, len(data), len(data))]
+    for n in (1, 16, 3_000_000):
+        data = bytes(n) + one + bytes(n) + two + bytes(n)
+        assert names(data) == ["a", "b"]
+        assert names(data, n + 1) == ["b"]
+    for data in (one + b"junk" + two, one + b"\0junk", one + two + b"junk" + one):
+        with pytest.raises(ValueError, match="no record"):
+            names(data)
