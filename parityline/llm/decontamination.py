@@ -12,9 +12,9 @@ Only DataFrame functions are used. Documents are neither joined with each other
 shuffled: what is shuffled are hits.
 
 Defined results: words are runs of letters and digits in lower case; a null text counts as
-empty; an item with fewer words than a shingle has all its words as its one shingle, and
-so has a document, so such items are found only where they are the whole text; items
-without words are found nowhere; items that repeat in id and text count as one, texts that
+empty; an item with fewer words than a shingle has all its words as its one shingle, which
+documents are probed for at its own width, wherever it stands in them; items without words
+are found nowhere; items that repeat in id and text count as one, texts that
 share an id or have none are judged and reported each; rows with the same doc_id count as
 one document, their shingles together, and rows without one are in no pair (dropping judges
 them each); an empty table on either side gives an empty result; further columns are
@@ -41,37 +41,47 @@ def _words(text: Column) -> Column:
     return F.array_remove(split, "")
 
 
-def _shingles(form: str) -> Column:
-    """One value per shingle of the column ``words``; ``form`` gets its five words or all."""
-    each = ", ".join(f"words[i + {k}]" for k in range(WIDTH))
-    if form == "text":
-        many, whole = f"concat_ws(' ', {each})", "array_join(words, ' ')"
-    else:
-        # A hash of several columns is seeded by the one before; shorter texts hash alike.
-        many, whole = f"xxhash64({each})", "xxhash64(array_join(words, ' '))"
-    return F.expr(
-        f"""CASE WHEN size(words) >= {WIDTH}
-              THEN transform(sequence(0, size(words) - {WIDTH}), i -> {many})
-            WHEN size(words) > 0 THEN array({whole}) END"""
-    )
+def _at(width: int, form: str) -> str:
+    """SQL for the shingles of ``width`` words of the column ``words``, which has so many."""
+    each = ", ".join(f"words[i + {k}]" for k in range(width))
+    # Longer shingles' hashes are seeded by the one before, shorter ones' are of their text.
+    one = f"xxhash64({each})" if form == "hash" and width == WIDTH else f"concat_ws(' ', {each})"
+    one = f"xxhash64({one})" if form == "hash" and width < WIDTH else one
+    return f"transform(sequence(0, size(words) - {width}), i -> {one})"
+
+
+def _own(form: str) -> Column:
+    """The shingles of an item: of five words, or of all its words if it has fewer."""
+    cases = " ".join(f"WHEN size(words) = {w} THEN {_at(w, form)}" for w in range(1, WIDTH))
+    return F.expr(f"CASE WHEN size(words) >= {WIDTH} THEN {_at(WIDTH, form)} {cases} END")
+
+
+def _probes(form: str, widths: list[int]) -> Column:
+    """The shingles of a document at the widths that items have."""
+    parts = [f"if(size(words) >= {w}, {_at(w, form)}, array())" for w in widths]
+    return F.expr(f"concat({', '.join(parts)})") if parts else F.expr("array()")
 
 
 def _index(items: DataFrame, share: float) -> tuple[DataFrame, DataFrame]:
-    """(no, item, n, shingle) for all shingles; (no, h) for the indexed MinHash values.
+    """(no, item, n, shingle) for all shingles; (no, width, h) for the indexed MinHash values.
 
     ``no`` numbers the distinct rows of ``items``, whose ids may be null or repeat.
     """
     rows = items.distinct().select("item", _words(F.col("t")).alias("words"))
-    rows = rows.select("item", _shingles("text").alias("s"), _shingles("hash").alias("h"))
-    rows = rows.select("item", F.array_distinct("s").alias("s"), F.array_distinct("h").alias("h"))
-    rows = rows.where("size(s) > 0").withColumn("n", F.size("s"))
+    rows = rows.where("size(words) > 0").select(
+        "item",
+        F.array_distinct(_own("text")).alias("s"),
+        F.array_distinct(_own("hash")).alias("h"),
+        F.least(F.size("words"), F.lit(WIDTH)).alias("width"),
+    )
+    rows = rows.withColumn("n", F.size("s"))
     # Written at once: the numbers stay the same from then on.
     rows = written(rows.withColumn("no", F.monotonically_increasing_id()), "items")
     # Partition c holds items of 2 ** c up to 2 ** (c + 1) - 1 shingles.
     most = F.pow(F.lit(2.0), F.floor(F.log2("n")) + 1) - 1
     keep = (F.floor((1 - share) * most + 1e-9) + 1).cast("int")
     smallest = F.slice(F.array_sort("h"), 1, F.least(keep, F.size("h")))
-    hashes = rows.select("no", F.explode(smallest).alias("h"))
+    hashes = rows.select("no", "width", F.explode(smallest).alias("h"))
     return rows.select("no", "item", "n", F.explode("s").alias("shingle")), hashes
 
 
@@ -91,19 +101,20 @@ def contaminated(
     items = items.select(F.col(f"`{item_col}`").alias("item"), F.col("text").alias("t"))
     texts, hashes = _index(items, share)
     hashes = written(hashes, "minhash")
-    count, top = hashes.agg(F.count("*"), F.max("h")).first()
+    count, top, widths = hashes.agg(F.count("*"), F.max("h"), F.sort_array(F.collect_set("width"))).first()
 
     rows = docs.select("doc", _words(F.col("t")).alias("words"))
-    hits = rows.select("doc", F.explode(_shingles("hash")).alias("h"))
+    hits = rows.select("doc", F.explode(_probes("hash", widths).cast("array<long>")).alias("h"))
     hits = hits.where(F.col("h") <= F.lit(top if count else 0))
-    hits = hits.join(broadcast_if_small(hashes, count, BROADCAST_ROWS), "h")
+    hits = hits.join(broadcast_if_small(hashes.select("no", "h"), count, BROADCAST_ROWS), "h")
     candidates = written(hits.select("doc", "no").distinct(), "candidates")
 
     texts = written(texts.join(candidates.select("no").distinct(), "no", "left_semi"), "wanted")
     code = F.xxhash64("shingle").alias("code")
     wanted = written(texts.select(code).distinct(), "codes")
     held = rows.join(candidates.select("doc").distinct(), "doc", "left_semi")
-    held = held.select("doc", F.explode(_shingles("text")).alias("shingle")).withColumn("code", code)
+    held = held.select("doc", F.explode(_probes("text", widths).cast("array<string>")).alias("shingle"))
+    held = held.withColumn("code", code)
     # The hash only lets fewer through; what counts is the shingle's text.
     held = held.join(broadcast_if_small(wanted, wanted.count(), BROADCAST_ROWS), "code", "left_semi")
     held = written(held.select("doc", "shingle").distinct(), "held")
@@ -129,17 +140,17 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -
 def oracle(share: float = SHARE) -> str:
     """The same by DuckDB, comparing every item's shingles with every document's."""
 
-    def shingled(table: str, key: str) -> str:
-        return f"""SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= {WIDTH}
-              THEN list_transform(range(1, len(w) - {WIDTH} + 2),
-                                  lambda i: array_to_string(w[i:i + {WIDTH} - 1], ' '))
-              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
-            FROM (SELECT {key}, list_filter(string_split_regex(lower(coalesce(text, '')),
-                    '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {table})"""
+    def words(table: str, keys: str) -> str:
+        return f"""SELECT {keys}, list_filter(string_split_regex(lower(coalesce(text, '')),
+                    '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {table}"""
 
-    return f"""WITH d AS ({shingled("documents", "doc_id")}),
+    shingles = """unnest(list_transform(range(1, len(w) - k + 2),
+                    lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s"""
+    return f"""WITH dw AS ({words("documents", "doc_id")}),
         b AS MATERIALIZED (SELECT row_number() OVER () AS no, * FROM (SELECT DISTINCT item_id, text FROM benchmark)),
-        i AS ({shingled("b", "no, item_id")}),
+        bw AS (SELECT *, least(len(w), {WIDTH}) AS k FROM ({words("b", "no, item_id")}) WHERE len(w) > 0),
+        d AS (SELECT DISTINCT doc_id, {shingles} FROM dw, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k),
+        i AS (SELECT DISTINCT no, item_id, {shingles} FROM bw),
         n AS (SELECT no, count(*) AS shingles FROM i GROUP BY no)
         SELECT doc_id, item_id, count(*) AS shared, any_value(shingles) AS shingles
         FROM d JOIN i USING (s) JOIN n USING (no) GROUP BY doc_id, no, item_id

@@ -3,29 +3,32 @@
 import random
 import re
 
+import duckdb
 from conftest import rows
 
 from parityline.llm import decontamination as D
 
 
-def shingles(text):
-    words = [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
-    if len(words) < 5:
-        return {" ".join(words)} if words else set()
-    return {" ".join(words[i : i + 5]) for i in range(len(words) - 4)}
+def words(text):
+    return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+
+
+def shingles(text, width):
+    found = words(text)
+    return {" ".join(found[i : i + width]) for i in range(len(found) - width + 1)}
 
 
 def brute(docs, items):
-    held = {}
-    for d, t in docs:
-        held.setdefault(d, set()).update(shingles(t))
     out = []
-    for d, own in held.items():
-        for i, t in dict.fromkeys(items):
-            want = shingles(t)
-            shared = len(want & own)
-            if want and shared >= 0.8 * len(want) - 1e-9:
-                out.append((d, i, shared, len(want)))
+    for i, t in dict.fromkeys(items):
+        width = min(5, len(words(t)))
+        want = shingles(t, width) if width else set()
+        held = {}
+        for d, text in docs:
+            held.setdefault(d, set()).update(shingles(text, width) & want)
+        for d, own in held.items():
+            if want and len(own) >= 0.8 * len(want) - 1e-9:
+                out.append((d, i, len(own), len(want)))
     return sorted(out, key=repr)
 
 
@@ -71,3 +74,38 @@ def test_empty_tables(spark):
     assert D.contaminated(d.limit(0), b).count() == 0
     assert D.contaminated(d, b.limit(0)).count() == 0
     assert D.drop_contaminated(d, b.limit(0)).count() == 1
+
+
+def test_short_items_inside_long_documents(spark):
+    filler = " ".join(f"w{i}" for i in range(400))
+    items = [(1, "the answer is forty"), (2, "Sum: nine"), (3, "w77"), (4, "four words never met"), (5, "one two three four five")]
+    docs = [
+        (1, f"{filler} it holds the answer, is FORTY two {filler}"),
+        (2, "The answer is forty"),
+        (3, "the answer is"),
+        (4, f"sum nine {filler}"),
+        (5, "one two three four"),
+        (6, "sum of nine; the answer was forty"),
+        (7, "nine"),
+    ]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = rows(D.contaminated(d, b))
+    assert got == brute(docs, items) == [(1, 1, 1, 1), (1, 3, 1, 1), (2, 1, 1, 1), (4, 2, 1, 1), (4, 3, 1, 1)]
+    assert sorted(r.doc_id for r in D.drop_contaminated(d, b).collect()) == [3, 5, 6, 7]
+
+
+def test_sql_equals_the_query_with_short_items(spark, tmp_path):
+    docs, items = fixture()
+    items = [*items, (60, "w5 w6"), (61, "w7"), (62, "w1 w2 w3 w4")]
+    docs = [x for x in docs if x[0] is not None] + [(1000, "x w1 w2 w3 w4 y w5 w6"), (1001, "w5 w7 w6")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = D.contaminated(d, b)
+    with duckdb.connect() as con:
+        for name, frame in (("documents", d), ("benchmark", b)):
+            frame.coalesce(1).write.parquet(str(tmp_path / name))
+            con.execute(f"create view {name} as select * from '{tmp_path}/{name}/*.parquet'")
+        want = con.execute(f"select {', '.join(got.columns)} from ({D.oracle()})").fetchall()
+    assert rows(got) == sorted(want, key=repr) == brute(docs, items)
+    assert {r[1] for r in want} >= {60, 61, 62}
