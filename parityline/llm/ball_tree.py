@@ -1,36 +1,46 @@
 """Exact top-k inner products by branch and bound over ball trees, one tree per shard.
 
-Vectors are quantised to integers and dealt to shards of a bounded size by a hash of
-their id, themselves and a row number; the trees cover every vector. A task holds one shard, builds its tree, and
-searches it for a bounded number of blocks of queries. A block goes down the tree best
-bound first: no vector in a ball has a larger inner
-product with q than q.c + |q| r. Nodes whose bound is below a query's current kth score
-are left out for it.
-
-The kth score is shared between shards: each query first searches one shard, and starts
-in all others from the kth score found there, below which nothing can matter. Scores are
-sums of products of integers, so ties are exact; a node is left out only if its bound is
-below the kth score, and of equal scores the smaller id wins.
+Vectors are quantised to integers and dealt to shards of a bounded size by a hash of their
+id, themselves and a row number. Each shard's tree is built once and written to a file, and
+so are the queries, in blocks. A search task holds one shard, and searches it for a bounded
+number of blocks; what is shuffled are the vectors, once, the files' names and the results,
+so shuffled bytes grow with the table and not with its square. A block goes down a tree
+best bound first: no vector in a ball has a larger inner product with q than q.c + |q| r.
+Nodes whose bound is below a query's current kth score are left out for it.
+
+The kth score is shared as the search goes on: it runs in rounds, of one shard a block, then
+of seven times as many as before, and after each one the best kth score of every query that
+any shard has found is written for all tasks of the next. Scores are sums of products of
+integers, so ties are exact; a node is left out only if its bound is below the kth score,
+and of equal scores the smaller id wins.
+
+Bounds leave out what is far from the best, as in tables of clusters; vectors of many
+dimensions that point all ways alike lie within every bound, and all of them are compared.
 
 Defined results: vectors that are null, or hold a null or a number that is not finite,
 take no part; neither do rows with a null id; queries meet vectors of their own length
 only; vectors that repeat an id are searched each, and none is found by its own id; with
-fewer candidates than k all are returned; an empty table gives an empty result; further
-columns are ignored, whatever their names.
+fewer candidates than k all are returned; an inner product that no long could hold is an
+error; an empty table gives an empty result; further columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import io
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parityline.llm.common import written
+from parityline.llm.common import shared_path, written
 
 SCALE = 256
 SHARD_ROWS = 8192
@@ -38,8 +48,12 @@ LEAF_ROWS = 64
 BLOCK_ROWS = 512
 #: Blocks of queries that one task searches a shard for.
 BLOCKS = 16
+#: A round has so many times the shards of all rounds before it.
+WIDENING = 7
 #: Whole numbers up to this size are exact in floating point.
 EXACT = 2.0**52
+#: Tasks of a round at most.
+TASKS = 10_000
 
 
 def quantised(rows: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
@@ -55,83 +69,153 @@ def _matrix(vectors: list) -> np.ndarray:
     return np.array([np.asarray(v, np.int64) for v in vectors], np.int64).reshape(len(vectors), -1)
 
 
+def _put(path: str, **arrays: np.ndarray) -> str:
+    """Write arrays to a file of the shared folder."""
+    store, place = fs.FileSystem.from_uri(path)
+    store.create_dir(place.rpartition("/")[0], recursive=True)
+    data = io.BytesIO()
+    np.savez(data, **arrays)
+    with store.open_output_stream(place, compression=None) as out:
+        out.write(data.getvalue())
+    return path
+
+
+def _get(path: str) -> dict[str, np.ndarray]:
+    store, place = fs.FileSystem.from_uri(path)
+    with store.open_input_file(place) as source:
+        return dict(np.load(io.BytesIO(source.read())))
+
+
 class Tree:
-    """A ball tree over the rows of a matrix, as arrays: balls, children and leaves' rows."""
-
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, leaf: int = LEAF_ROWS):
-        self.ids, self.rows = ids, rows
-        self.centre, self.radius, self.children, self.members = [], [], [], []
-        self._grow(np.arange(len(ids)), leaf)
-
-    def _grow(self, at: np.ndarray, leaf: int) -> int:
-        x, node = self.rows[at].astype(float), len(self.centre)
-        centre = x.mean(axis=0)
-        apart = np.linalg.norm(x - centre, axis=1)
-        self.centre.append(centre)
-        self.radius.append(float(apart.max(initial=0.0)))
-        self.children.append(None)
-        self.members.append(at)
-        if len(at) > leaf and self.radius[node] > 0:
-            # Two far points; the others go to the nearer, halves if that splits nothing.
-            one = x[apart.argmax()]
-            two = x[np.linalg.norm(x - one, axis=1).argmax()]
-            side = (x @ (two - one)).argsort(kind="stable")
-            half = len(at) // 2
-            self.members[node] = None
-            self.children[node] = (self._grow(at[side[:half]], leaf), self._grow(at[side[half:]], leaf))
-        return node
-
-    def search(self, ids: np.ndarray, queries: np.ndarray, k: int, least: np.ndarray) -> list[np.ndarray]:
-        """The best k (score, id) of each query, those below ``least`` left out.
+    """A ball tree over the rows of a matrix, as arrays.
+
+    A node has a ball, the range of rows in it, and the number of its second child, 0 for a
+    leaf; its first child follows it.
+    """
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, centre: np.ndarray, radius: np.ndarray, ranges: np.ndarray, second: np.ndarray):
+        self.ids, self.rows, self.centre, self.radius, self.ranges, self.second = ids, rows, centre, radius, ranges, second
+
+    @classmethod
+    def of(cls, ids: np.ndarray, rows: np.ndarray, leaf: int = LEAF_ROWS) -> Tree:
+        x, order = rows.astype(float), np.arange(len(ids))
+        centre, radius, ranges, second = [], [], [], []
+        waiting = [(0, len(ids), -1)]
+        while waiting:
+            low, high, parent = waiting.pop()
+            node, at = len(centre), order[low:high]
+            if parent >= 0:
+                second[parent] = node
+            middle = x[at].mean(axis=0)
+            apart = np.linalg.norm(x[at] - middle, axis=1)
+            centre.append(middle)
+            radius.append(float(apart.max(initial=0.0)))
+            ranges.append((low, high))
+            second.append(0)
+            if len(at) > leaf and radius[node] > 0:
+                # Halves along the line through two far points.
+                one = x[at[apart.argmax()]]
+                two = x[at[np.linalg.norm(x[at] - one, axis=1).argmax()]]
+                order[low:high] = at[(x[at] @ (two - one)).argsort(kind="stable")]
+                half = low + len(at) // 2
+                waiting += [(half, high, node), (low, half, -1)]
+        return cls(ids[order], rows[order], np.array(centre), np.array(radius), np.array(ranges), np.array(second))
+
+    def search(
+        self, ids: np.ndarray, queries: np.ndarray, k: int, least: np.ndarray
+    ) -> tuple[list[np.ndarray], int]:
+        """The best k (score, id) of each query, those below ``least`` left out, and the
+        number of pairs of a query and a vector that were compared.
 
         All queries of the block share the walk; a node serves those whose bound holds.
         """
-        centre, radius = np.array(self.centre), np.array(self.radius)
         q = queries.astype(float)
         top = float(np.abs(q).max(initial=0)) * float(np.abs(self.rows).max(initial=0)) * q.shape[1]
-        bound = q @ centre.T + np.linalg.norm(q, axis=1, keepdims=True) * radius
+        if top >= 2.0**63:
+            raise ValueError("inner products beyond 64 bits")
+        bound = q @ self.centre.T + np.linalg.norm(q, axis=1, keepdims=True) * self.radius
         # Rounding can only have taken a little from a bound.
         bound += 1e-6 * (1 + np.abs(bound))
         left, right = (queries, self.rows) if top >= EXACT else (q, self.rows.astype(float))
         kth = least.astype(float).copy()
         best = [np.zeros((0, 2), np.int64) for _ in ids]
-        heap = [(-bound[:, 0].max(initial=-np.inf), 0)]
+        heap, compared = [(-bound[:, 0].max(initial=-np.inf), 0)], 0
         while heap:
             _, node = heapq.heappop(heap)
             active = np.flatnonzero(bound[:, node] >= kth)
             if not len(active):
                 continue
-            if self.children[node]:
-                for child in self.children[node]:
+            if self.second[node]:
+                for child in (node + 1, int(self.second[node])):
                     heapq.heappush(heap, (-bound[active, child].max(), child))
                 continue
-            at = self.members[node]
-            scores = left[active] @ right[at].T
-            for i, row in zip(active, scores, strict=True):
-                take = np.flatnonzero((row >= kth[i]) & (self.ids[at] != ids[i]))
-                if len(take):
-                    new = np.stack([row[take].astype(np.int64), self.ids[at[take]]], axis=1)
-                    both = np.concatenate([best[i], new])
-                    both = both[np.lexsort((both[:, 1], -both[:, 0]))][:k]
-                    best[i] = both
-                    if len(both) == k:
-                        kth[i] = max(kth[i], float(both[-1, 0]))
-        return best
-
-
-def _search(k: int):
-    """Searches all blocks of queries that came with a shard; the tree is built once."""
-
-    def run(shard: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(shard) and len(blocks):
-            tree = Tree(shard["id"].to_numpy(), _matrix(shard["v"].tolist()))
-            for ids, vectors, least in zip(blocks["ids"], blocks["vectors"], blocks["least"], strict=True):
-                queries = _matrix(list(vectors))
-                found = tree.search(np.asarray(ids), queries, k, np.asarray(least, float))
-                for i, best in zip(ids, found, strict=True):
-                    out += [(i, a, b) for b, a in best.tolist()]
-        return pd.DataFrame(out, columns=["query", "id", "score"]).astype("int64")
+            low, high = self.ranges[node]
+            compared += len(active) * int(high - low)
+            scores, own = left[active] @ right[low:high].T, self.ids[low:high]
+            hits = (scores >= kth[active, None]) & (own != ids[active, None])
+            for i, row, hit in zip(active[hits.any(axis=1)], scores[hits.any(axis=1)], hits[hits.any(axis=1)], strict=True):
+                new = np.stack([row[hit].astype(np.int64), own[hit]], axis=1)
+                both = np.concatenate([best[i], new])
+                best[i] = both = both[np.lexsort((both[:, 1], -both[:, 0]))][:k]
+                if len(both) == k:
+                    kth[i] = max(kth[i], float(both[-1, 0]))
+        return best, compared
+
+
+def _written_groups(folder: str, kind: str, make: Callable[[pd.DataFrame], dict[str, np.ndarray]]) -> Callable:
+    """Write what ``make`` makes of each group (d, ``kind``) to a file; its row names it."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        path = _put(f"{folder}/{uuid.uuid4().hex}.npz", **make(rows))
+        found = {"d": rows["d"].iloc[:1], kind: rows[kind].iloc[:1], "path": path, "n": len(rows)}
+        return pd.DataFrame(found)
+
+    return run
+
+
+def _tree(rows: pd.DataFrame) -> dict[str, np.ndarray]:
+    return vars(Tree.of(rows["id"].to_numpy(), _matrix(rows["v"].tolist())))
+
+
+def _block(rows: pd.DataFrame) -> dict[str, np.ndarray]:
+    rows = rows.sort_values("id")
+    return {"ids": rows["id"].to_numpy(), "vectors": _matrix(rows["v"].tolist())}
+
+
+def _bounds(rows: pd.DataFrame) -> dict[str, np.ndarray]:
+    rows = rows.sort_values("query")
+    return {"ids": rows["query"].to_numpy(), "least": rows["kth"].to_numpy(float)}
+
+
+def planted(vectors: DataFrame, shards: int, folder: str) -> DataFrame:
+    """(d, shard, path, n): the trees of vectors (id, v, no), written to files of ``folder``."""
+    # Rows that repeat an id go to all shards.
+    dealt = F.expr(f"pmod(xxhash64(id, v, no), {shards})").cast("int")
+    held = vectors.select("id", "v", F.size("v").alias("d"), dealt.alias("shard")).groupBy("d", "shard")
+    schema = "d int, shard int, path string, n long"
+    return written(held.applyInPandas(_written_groups(folder, "shard", _tree), schema), "trees")
+
+
+def _search(k: int) -> Callable:
+    """Searches trees for blocks of queries, both read from files; rows of a tree are together."""
+    names = ["d", "block", "query", "id", "score"]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, tree = None, None
+        for batch in batches:
+            for d, block, path, asked, kth in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if path != at:
+                    at, tree = path, Tree(**_get(path))
+                queries = _get(asked)
+                ids, least = queries["ids"], np.full(len(queries["ids"]), -np.inf)
+                if kth is not None:
+                    known = _get(kth)
+                    least[np.searchsorted(ids, known["ids"])] = known["least"]
+                found, _ = tree.search(ids, queries["vectors"], k, least)
+                out = [(d, block, i, b, a) for i, best in zip(ids.tolist(), found, strict=True) for a, b in best.tolist()]
+                columns = zip(*out, strict=True) if out else [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     return run
 
@@ -150,56 +234,50 @@ def nearest(
     ``is_query`` is SQL over the column id. A query that repeats an id is asked once, with
     the smallest of its vectors.
     """
+    spark = rows.sparkSession
     # Written at once: the numbers stay the same from then on.
     vectors = quantised(rows, id_col, vector_col).withColumn("no", F.monotonically_increasing_id())
     vectors = written(vectors, "vectors")
-    total = vectors.count()
-    shards = max(1, -(-total // shard_rows))
-    home = F.expr(f"pmod(xxhash64(id), {shards})").cast("int")
-    # Rows that repeat an id go to all shards.
-    dealt = F.expr(f"pmod(xxhash64(id, v, no), {shards})").cast("int")
-    vectors = vectors.select("id", "v", F.size("v").alias("d"), dealt.alias("shard"))
-    schema = "query long, id long, score long"
-
-    queries = vectors.select("id", "v", "d").where(is_query).groupBy("id").agg(F.min(F.struct("v", "d")).alias("q"))
-    queries = queries.select("id", "q.*", home.alias("shard"))
-    # Queries of one shard fill blocks in a hash order; blocks are split by a second hash,
-    # so that their sizes vary around half the limit and none grows with the table.
-    per = max(1, -(-2 * shard_rows // block_rows))
-    block = F.expr(f"pmod(xxhash64(id, 1), {per})").cast("int")
-    queries = queries.withColumn("block", block)
-
-    def blocks(queries: DataFrame, least: str) -> DataFrame:
-        rows = queries.groupBy("d", "shard", "block").agg(
-            F.sort_array(F.collect_list(F.struct("id", "v", F.expr(least).alias("least")))).alias("q")
-        )
-        return rows.select(
-            "d", "shard", "block", F.col("q.id").alias("ids"), F.col("q.v").alias("vectors"), F.col("q.least").alias("least")
-        )
+    shards = max(1, -(-vectors.count() // shard_rows))
+    folder = shared_path(spark, "ball-trees")
+    trees = planted(vectors, shards, folder)
 
-    first = blocks(queries, "double('-Infinity')").groupBy("d", "shard")
-    first = vectors.groupBy("d", "shard").cogroup(first).applyInPandas(_search(k), schema)
-    first = written(first, "first")
-    kth = first.groupBy("query").agg(
-        F.when(F.count("*") >= k, F.min("score")).otherwise(float("-inf")).cast("double").alias("kth")
-    )
-    asked = queries.join(kth, queries["id"] == kth["query"], "left").drop("query")
-    asked = blocks(asked, "coalesce(kth, double('-Infinity'))")
-    # Every block meets every other shard; a batch of blocks shares one copy of the shard.
-    batches = max(1, -(-shards * per // BLOCKS))
-    asked = asked.withColumn("batch", F.pmod(F.xxhash64("shard", "block"), F.lit(batches)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    asked = asked.withColumn("to", other).where("to != shard")
-    asked = asked.select("d", F.col("to").alias("shard"), "batch", "ids", "vectors", "least")
-    held = vectors.withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
-    rest = (
-        held.groupBy("d", "shard", "batch")
-        .cogroup(asked.groupBy("d", "shard", "batch"))
-        .applyInPandas(_search(k), schema)
-    )
+    queries = vectors.where(is_query).groupBy("id").agg(F.min(F.struct("v", F.size("v").alias("d"))).alias("q"))
+    queries = written(queries.select("id", "q.*"), "queries")
+    # Blocks by a hash, so that their sizes vary around half the limit.
+    per = max(1, -(-2 * queries.count() // block_rows))
+    blocks = queries.withColumn("block", F.expr(f"pmod(xxhash64(id, 1), {per})").cast("int"))
+    schema = "d int, block int, path string, n long"
+    asked = blocks.groupBy("d", "block").applyInPandas(_written_groups(folder, "block", _block), schema)
+    asked = written(asked.select("d", "block", F.col("path").alias("asked")), "asked")
+
+    # Each block meets the shards in an order of its own, so that a round uses all of them.
+    turn = F.expr(f"pmod(shard - block, {shards})")
+    pairs = asked.join(trees.select("d", "shard", "path"), "d").withColumn("turn", turn)
+    pairs = pairs.withColumn("batch", F.expr(f"block div {BLOCKS}"))
     ordered = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    found = first.unionAll(rest).withColumn("rank", F.row_number().over(ordered))
-    return found.where(f"rank <= {k}").select("query", "rank", "id", "score")
+    best = kth = None
+    done = 0
+    while done < shards:
+        upto = min(shards, done + max(1, WIDENING * done))
+        some = pairs.where(F.col("turn").between(done, upto - 1))
+        if kth is None:
+            some = some.withColumn("kth", F.lit(None).cast("string"))
+        else:
+            some = some.join(kth, ["d", "block"], "left")
+        tasks = min(TASKS, (upto - done) * per, shards * -(-per // BLOCKS))
+        some = some.repartition(tasks, "path", "batch").sortWithinPartitions("path", "block")
+        found = some.select("d", "block", "path", "asked", "kth").mapInArrow(
+            _search(k), "d int, block int, query long, id long, score long"
+        )
+        found = found if best is None else found.unionByName(best.drop("rank"))
+        best = written(found.withColumn("rank", F.row_number().over(ordered)).where(f"rank <= {k}"), "best")
+        done = upto
+        if done < shards:
+            last = best.where(f"rank = {k}").select("d", "block", "query", F.col("score").alias("kth"))
+            kth = last.groupBy("d", "block").applyInPandas(_written_groups(folder, "block", _bounds), schema)
+            kth = written(kth.select("d", "block", F.col("path").alias("kth")), "kth")
+    return best.select("query", "rank", "id", "score")
 
 
 def oracle(k: int = 5, every: int = 50) -> str:
