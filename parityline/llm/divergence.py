@@ -66,17 +66,18 @@ def term_counts(
     """(lang, source, term, n, df): occurrences and documents of every term of whole texts."""
     text = F.col(f"`{text_col}`").cast("string").cast("binary")
     rows = _groups(docs, lang_col, source_col, text.alias("t")).where("t is not null")
-    kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
     names = ["lang", "source", "term", "n", "df"]
 
-    def batch_of(groups: dict) -> pa.RecordBatch:
-        rows = [
-            (*g, term, n & _MOST, n >> _SHIFT) for g, terms in groups.items() for term, n in terms.items()
-        ]
-        columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
-        )
+    def passed_on(groups: dict[tuple, dict]) -> Iterator[pa.RecordBatch]:
+        """Counts in parts, so that few at a time become rows."""
+        for (lang, source), terms in groups.items():
+            left = iter(terms.items())
+            while part := list(islice(left, 20_000)):
+                found, counts = zip(*part, strict=True)
+                counts = np.array(counts, np.int64)
+                plain = [pa.repeat(pa.scalar(x, pa.string()), len(part)) for x in (lang, source)]
+                numbers = [pa.array(counts & _MOST), pa.array(counts >> _SHIFT)]
+                yield pa.RecordBatch.from_arrays([*plain, pa.array(found, pa.binary()), *numbers], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: dict[tuple, dict] = {}
@@ -89,25 +90,15 @@ def term_counts(
                     terms[term] = terms.get(term, 0) + n + _DOCUMENT
                 held, size = held + len(terms) - before, size + len(text)
                 if held > HELD_TERMS or size > HELD_BYTES:
-                    for some in _pieces(groups):
-                        yield batch_of(some)
+                    yield from passed_on(groups)
                     groups, held, size = {}, 0, 0
-        for some in _pieces(groups):
-            yield batch_of(some)
+        yield from passed_on(groups)
 
     parts = rows.mapInArrow(run, "lang string, source string, term binary, n long, df long")
     counted = parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
     return counted.withColumn("term", F.col("term").cast("string"))
 
 
-def _pieces(groups: dict[tuple, dict], size: int = 20_000) -> Iterator[dict[tuple, dict]]:
-    """Counts in parts, so that few at a time become rows."""
-    for group, terms in groups.items():
-        left = iter(terms.items())
-        while part := dict(islice(left, size)):
-            yield {group: part}
-
-
 def _groups(docs: DataFrame, lang_col: str, source_col: str, *more: Column) -> DataFrame:
     plain = [
         F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name)
