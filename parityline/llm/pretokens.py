@@ -25,8 +25,9 @@ BYTE_PATTERN = re.compile(
 WORD_PATTERN = re.compile(
     rf"[a-zß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^{_S}a-zß-öø-ÿ0-9]+"
 )
-#: Entries of each of the two generations of a worker's cache.
-CACHE = 300_000
+#: Entries of each of the two generations of a worker's cache, and the longest ones: what is
+#: longer is encoded each time, so that a cache is bounded in bytes.
+CACHE, LONGEST = 300_000, 256
 
 
 def tokenizer_path(name: str) -> str:
@@ -81,8 +82,9 @@ class Encoder:
             young, old = self.young, self.old
             for k, p in enumerate(pieces):
                 if found[k] is None:
-                    value = young.get(p) or old.get(p) or make(self.piece(p))
-                    young[p] = found[k] = value
+                    found[k] = value = young.get(p) or old.get(p) or make(self.piece(p))
+                    if len(p) <= LONGEST:
+                        young[p] = value
             if len(young) > CACHE:
                 self.old, self.young = young, {}
         return found

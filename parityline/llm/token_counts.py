@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parityline.llm.pretokens import BYTE_PATTERN, Encoder
+from parityline.llm.pretokens import BYTE_PATTERN, LONGEST, Encoder
 
 
 def frequent(docs: DataFrame, path: str, text_col: str, sample: int, entries: int) -> dict[str, int]:
-    """Numbers of tokens of the ``entries`` most frequent pre-tokens in ``sample`` documents.
+    """Numbers of tokens of the ``entries`` most frequent pre-tokens in ``sample`` documents,
+    but for very long ones.
 
     The sample is the first in a hash order of the texts; it only decides what is looked
     up fast. One task counts it, so only the table reaches the driver.
@@ -42,7 +43,7 @@ def frequent(docs: DataFrame, path: str, text_col: str, sample: int, entries: in
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if encoder.plain(text):
-                    seen.update(encoder.pieces(text))
+                    seen.update(p for p in encoder.pieces(text) if len(p) <= LONGEST)
         words = sorted(seen, key=lambda w: (-seen[w], w))[:entries]
         lengths = [len(encoder.piece(w)) for w in words]
         yield pa.RecordBatch.from_arrays(

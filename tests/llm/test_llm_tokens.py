@@ -59,6 +59,15 @@ def test_cache_generations(monkeypatch):
         assert len(encoder.young) <= 4 + len(encoder.pieces(text))
 
 
+def test_very_long_pieces_are_not_kept(monkeypatch):
+    monkeypatch.setattr("parityline.llm.pretokens.LONGEST", 10)
+    encoder = Encoder(tokenizer_path("byte_bpe_50k.json"), BYTE_PATTERN, False)
+    text = "short words and " + "x" * 5000 + " twice " + "x" * 5000
+    for _ in range(2):
+        assert sum(encoder.cached(encoder.pieces(text), len)) == len(encoder.whole(text))
+    assert encoder.young and max(map(len, encoder.young)) <= 10
+
+
 def check_packing(pieces, texts, length=2048):
     library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
