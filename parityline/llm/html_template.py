@@ -60,26 +60,27 @@ APART = frozenset(
 )
 #: Words that name adverts and notices, and readers' comments, which are never part of an article.
 FOREIGN_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo cookie "
-    "cookies consent notice notices alert alerts popup modal newsletter subscribe signup login".split()
+    "ad ads advert adverts advertisement advertisements advertising adsbygoogle sponsor sponsored promo "
+    "cookie cookies consent notice notices alert alerts popup modal newsletter subscribe subscription "
+    "signup login".split()
 )
-COMMENT_WORDS = frozenset("comment comments commentary respond reply replies disqus".split())
+COMMENT_WORDS = frozenset("comment comments commentary discussion respond reply replies disqus".split())
 #: Words that name the layout around an article.
 LAYOUT_WORDS = frozenset(
-    "banner menu nav navigation navbar breadcrumb breadcrumbs sidebar footer header masthead share "
-    "sharing social related recommended widget widgets toolbar pagination pager search complementary "
-    "contentinfo".split()
+    "banner menu nav navigation navbar breadcrumb breadcrumbs sidebar footer header masthead branding "
+    "share sharing social related recommended trending popular widget widgets toolbar pagination pager "
+    "search copyright complementary contentinfo".split()
 )
 #: Words that may stand before and behind these in a name.
 BEFORE = frozenset(
     "post page site main left right top bottom primary secondary user reader blog article entry story "
-    "global mobile desktop sticky fixed inline our the js".split()
+    "global mobile desktop sticky fixed inline our the js google dfp privacy gdpr legal email".split()
 )
 BEHIND = frozenset(
     "list lists box bar area block section container wrapper wrap inner outer panel item items body text "
     "content title head heading author form link links button buttons icon icons left right top bottom "
     "main primary secondary post posts articles stories news slot unit module group row column thread "
-    "message template".split()
+    "message template toggle collapse".split()
 )
 #: Elements whose own classes say how they look or what the page has, not what they are.
 UNMARKED = frozenset("html body main h1 h2 h3 h4 h5 h6 th thead".split())
@@ -101,18 +102,25 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
+def _kind(word: str) -> str | None:
+    """What a word names, written alone or as one with what may stand behind it."""
+    for kind, words in (("foreign", FOREIGN_WORDS), ("comment", COMMENT_WORDS), ("layout", LAYOUT_WORDS)):
+        if word in words:
+            return kind
+        if any(word.startswith(w) and word[len(w) :] in BEHIND for w in words if len(w) > 2):
+            return kind
+    return None
+
+
 @lru_cache(maxsize=10_000)
 def named_apart(name: str) -> str | None:
     """What a name of an element says that it is as a whole: foreign, comment, layout or None."""
     words = [w for w in _SPLIT.split(_CAMEL.sub("-", name).lower()) if w]
     kinds = set()
     for word in words:
-        if word in FOREIGN_WORDS:
-            kinds.add("foreign")
-        elif word in COMMENT_WORDS:
-            kinds.add("comment")
-        elif word in LAYOUT_WORDS:
-            kinds.add("layout")
+        kind = _kind(word)
+        if kind:
+            kinds.add(kind)
         elif not word.isdigit() and word not in (BEHIND if kinds else BEFORE):
             return None
     return min(kinds, key=("foreign", "comment", "layout").index, default=None)

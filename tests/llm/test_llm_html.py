@@ -151,8 +151,14 @@ def test_changed_copies_of_an_article_are_no_template(spark):
 def test_names_that_say_as_a_whole_what_is_apart():
     for name in ("ad", "ads-top", "cookie-notice", "cookieNotice", "ad-300x250"):
         assert (H.named_apart(name) == "foreign") == (name != "ad-300x250")
-    for name in ("comments", "comment-list", "post-comments", "CommentBody", "comment-12"):
+    for name in ("privacy-notice", "cookiebar", "google-ads", "newsletter-signup", "banner-ad"):
+        assert H.named_apart(name) == "foreign"
+    for name in ("comments", "comment-list", "post-comments", "CommentBody", "comment-12", "commentlist", "disqus_thread"):
         assert H.named_apart(name) == "comment"
+    for name in ("copyright", "navbar-toggle", "popular-posts", "sidebarwrap"):
+        assert H.named_apart(name) == "layout"
+    for name in ("adlink", "commenter-of-the-year", "headerless", "noticed"):
+        assert H.named_apart(name) is None
     for name in ("sidebar", "sidebar-left", "site-footer", "main_menu", "related-posts"):
         assert H.named_apart(name) == "layout"
     for name in ("has-sidebar", "no-ads", "comments-open", "content-sidebar-wrap", "social-policy", "wrap-social",
