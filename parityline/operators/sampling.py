@@ -98,24 +98,30 @@ def sample_row_budget(
     )
 
 
-def _sliced(df: DataFrame, keys: list[str] | None) -> DataFrame:
-    """``df`` with its MD5 order, over ``keys`` and then all other columns, and its slice.
+def _ordered(df: DataFrame, keys: list[str] | None) -> DataFrame:
+    """``df`` with its MD5 order, over ``keys`` and then all other columns.
 
-    All columns take part, so rows that share a key are spread like any others. A slice is
-    the order's leading zeros and the digits after them, so slices are fine where values
-    are small, compare as texts like the values, and are few: a digit more in the number of
-    rows adds as many slices as the digit before.
+    All columns take part, so rows that share a key are spread like any others.
     """
     first = keys or []
     ordered = [*first, *(c for c in df.columns if c not in first)]
-    tagged = df.withColumn("_digest", digest(*[F.col(f"`{c}`") for c in ordered]))
+    return df.withColumn("_digest", digest(*[F.col(f"`{c}`") for c in ordered]))
+
+
+def _slice() -> Column:
+    """The slice of a value of the order: its leading zeros and the digits after them.
+
+    So slices are fine where values are small, compare as texts like the values, and are
+    few: a digit more in the number of rows adds as many slices as the digit before. No
+    slice begins with another.
+    """
     zeros = F.length("_digest") - F.length(F.ltrim("_digest", F.lit("0")))
-    return tagged.withColumn("_slice", F.left("_digest", zeros + SIGNIFICANT))
+    return F.left("_digest", zeros + SIGNIFICANT)
 
 
 def _sketch(df: DataFrame, keys: list[str] | None) -> DataFrame:
     """Rows of each slice, as one row ``slices`` in order: tasks sum up their own first."""
-    counted = _sliced(df, keys).groupBy("_slice").agg(F.count("*").alias("_rows"))
+    counted = _ordered(df, keys).groupBy(_slice().alias("_slice")).agg(F.count("*").alias("_rows"))
     held = F.collect_list(F.struct("_slice", "_rows"))
     return counted.agg(F.array_sort(held).alias("slices"))
 
@@ -143,11 +149,13 @@ def sample_rows(df: DataFrame, n: int | Column, keys: list[str] | None = None) -
     last, before = found["last"], found["before"]
     n = F.lit(n) if isinstance(n, int) else n
     columns = [F.col(f"`{c}`") for c in df.columns]
+    # Up to the last slice, told by as many digits as it has.
     packed = (
-        _sliced(df, keys)
-        .where(F.col("_slice") <= last)
-        .groupBy("_slice", "_digest", *columns)
+        _ordered(df, keys)
+        .where(F.left("_digest", F.length(last)) <= last)
+        .groupBy("_digest", *columns)
         .agg(F.count("*").alias("_copies"))
+        .withColumn("_slice", _slice())
     )
     in_slice = (
         Window.partitionBy("_slice")
