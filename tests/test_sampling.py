@@ -145,6 +145,12 @@ def test_sample_has_no_window_over_all_rows_or_slices(spark):
     assert len(windows) == 1 and "windowspecdefinition(_slice" in windows[0]
 
 
+def test_rows_are_filtered_by_one_hash_of_a_row(spark):
+    plan = sample_rows(spark.range(1000).toDF("v"), 50)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line and "md5" in line]
+    assert len(filters) == 1 and filters[0].count("md5(") == 1
+
+
 def test_percent_is_a_sample_node(spark, many_files):
     df, _ = many_files
     part = sample_percent(df, 25, seed=3)
