@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parityline.llm.common import shared_path, written
+from parityline.llm.pretokens import _OTHER as OTHER
 from parityline.llm.pretokens import WORD_PATTERN, Encoder
 
 END_ID = 2
@@ -58,7 +59,9 @@ ROUNDS = 24
 #: Chunks of text whose ids a worker remembers, in each of two generations, and their bytes.
 CHUNKS, CHUNK_BYTES = 500_000, 32 << 20
 _END = struct.Struct("<QQQ8s")
-_CONTROL = tuple("\x1c\x1d\x1e\x1f")
+#: Characters whose pre-tokens are those of the pattern; the four that separate records are
+#: white space to the library alone.
+_PLAIN = bytes(c for c in range(256) if not OTHER.match(chr(c)) and not 0x1C <= c <= 0x1F)
 _MARKS = frozenset(b".,;:!?")
 #: Small letters of Latin-1.
 _SMALL = bytes(range(256)).decode("latin-1").lower().encode("latin-1")
@@ -109,9 +112,13 @@ class Ids:
 
     def of(self, text: str) -> bytes:
         """The ids of a text and the end id, little-endian."""
-        if not self.encoder.plain(text) or any(c in text for c in _CONTROL):
+        try:
+            data = text.encode("latin-1")
+        except UnicodeEncodeError:
+            data = None
+        if data is None or data.translate(None, _PLAIN) or any(s in text for s in self.encoder.special):
             return _packed(self.encoder.whole(text)) + self.end
-        found = b"".join(map(self.chunks.__getitem__, text.encode("latin-1").translate(_SMALL).split()))
+        found = b"".join(map(self.chunks.__getitem__, data.translate(_SMALL).split()))
         if len(self.chunks) > CHUNKS or self.chunks.bytes > CHUNK_BYTES:
             self.chunks.old = {}
             self.chunks = Chunks(self.encoder, dict(self.chunks))
