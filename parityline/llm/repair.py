@@ -48,8 +48,8 @@ from parityline.llm.pretokens import WORD_PATTERN, Encoder
 
 END_ID = 2
 MAGIC = b"repair01"
-#: Ids of a shard, characters of texts in a file.
-SHARD_IDS, FILE_CHARACTERS = 1 << 20, 32 << 20
+#: Ids of a shard, bytes of texts in a file.
+SHARD_IDS, FILE_BYTES = 1 << 20, 32 << 20
 #: Symbols are 16-bit numbers: terminals, then nonterminals as far as they go.
 SYMBOLS = 1 << 16
 #: A round replaces up to so many pairs, each with so many places; rounds end when one
@@ -72,6 +72,12 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}H", *ids)
 
 
+@cache
+def _numbers(count: int, form: str) -> tuple[bytes, ...]:
+    """The bytes of each number below ``count``."""
+    return tuple(struct.pack(form, i) for i in range(count))
+
+
 class Chunks(dict):
     """Ids of chunks of text between white space, made when first asked for.
 
@@ -80,6 +86,7 @@ class Chunks(dict):
 
     def __init__(self, encoder: Encoder, old: dict[bytes, bytes]):
         self.encoder, self.old, self.bytes = encoder, old, 0
+        self.two = _numbers(SYMBOLS, "<H")
 
     def __missing__(self, chunk: bytes) -> bytes:
         found = self.old.get(chunk)
@@ -88,9 +95,12 @@ class Chunks(dict):
             if chunk[-1] in _MARKS and chunk[-2:-1].isalpha():
                 found = self[chunk[:-1]] + self[chunk[-1:]]
             else:
-                text = chunk.decode("latin-1")
-                pieces = [text] if text.isalpha() else self.encoder.pieces(text)
-                found = _packed([i for piece in pieces for i in self.encoder.piece(piece)])
+                text, two = chunk.decode("latin-1"), self.two
+                if chunk.isalpha():  # the byte level writes letters of ASCII as they are
+                    found = b"".join([two[t.id] for t in self.encoder.tokenize(text)])
+                else:
+                    pieces = [text] if text.isalpha() else self.encoder.pieces(text)
+                    found = b"".join([two[i] for piece in pieces for i in self.encoder.piece(piece)])
         self[chunk] = found
         self.bytes += len(chunk) + len(found)
         return found
@@ -206,12 +216,6 @@ def lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
     return np.array(found[terminals:], "<u4")
 
 
-@cache
-def _terminals(count: int) -> tuple[bytes, ...]:
-    """Every terminal as a little-endian 32-bit number."""
-    return tuple(struct.pack("<I", i) for i in range(count))
-
-
 class Shard:
     """A shard as it is read: expands any span of its ids.
 
@@ -251,7 +255,7 @@ class Shard:
         symbols = self.symbols[low:high].tolist()
         self.asked += len(symbols)
         if self.every is None and self.asked > len(self.rules):
-            self.every = list(_terminals(self.terminals))
+            self.every = list(_numbers(self.terminals, "<I"))
             for a, b in self.rules:
                 self.every.append(self.every[a] + self.every[b])
         known = self.every
@@ -390,7 +394,7 @@ def write(
     end_id: int = END_ID,
     id_col: str = "doc_id",
     text_col: str = "text",
-    file_characters: int = FILE_CHARACTERS,
+    file_bytes: int = FILE_BYTES,
     shard_ids: int = SHARD_IDS,
 ) -> DataFrame:
     """Write the ids of ``docs``; returns the written list of files.
@@ -402,11 +406,11 @@ def write(
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc"), F.coalesce(f"`{text_col}`", F.lit("")).alias("t")
     )
-    size = rows.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     # Rows of one id are spread by their texts, and equal rows by their place.
     spread = [F.xxhash64("t").alias("h"), F.monotonically_increasing_id().alias("u")]
     order = ["doc", "h", "u"]
-    rows = rows.select("doc", "t", *spread).repartitionByRange(max(1, -(-size // file_characters)), *order)
+    rows = rows.select("doc", "t", *spread).repartitionByRange(max(1, -(-size // file_bytes)), *order)
     rows = rows.sortWithinPartitions(*order).select("doc", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

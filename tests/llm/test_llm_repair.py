@@ -66,13 +66,13 @@ def check(found, wanted):
 
 @pytest.mark.parametrize(("characters", "shard"), [(1 << 25, 1 << 20), (20_000, 1000), (3000, 7)])
 def test_round_trip(docs, wanted, characters, shard):
-    files = repair.write(docs, PATH, file_characters=characters, shard_ids=shard)
+    files = repair.write(docs, PATH, file_bytes=characters, shard_ids=shard)
     assert (files.count() > 3) == (characters < 1 << 20)
     check(repair.read(files).collect(), wanted)
 
 
 def test_spans(spark, docs, data):
-    files = repair.write(docs, PATH, file_characters=20_000, shard_ids=500)
+    files = repair.write(docs, PATH, file_bytes=20_000, shard_ids=500)
     total = files.agg({"tokens": "sum"}).first()[0]
     whole = spark.createDataFrame([(0, total)], "start long, length long")
     parts = sorted(repair.spans(files, whole).collect())
