@@ -150,6 +150,19 @@ def write_columns(columns: DataFrame, path: str) -> None:
 def read_columns(
     spark: SparkSession, path: str, schemas: DataFrame | None = None, limit: int = 10_000
 ) -> DataFrame:
-    """A kept column listing, of which only the folders of ``schemas`` are read."""
+    """A kept column listing, of which only the folders of ``schemas`` are read.
+
+    ``schemas`` may hold any number of names, of which the executors find those that have a
+    folder. Up to ``limit`` of these are named in the read; of more, a join picks the rows.
+    """
     rows = spark.read.parquet(path)
-    return rows if schemas is None else rows.where(F.col("table_schema").isin(_names(schemas, limit)))
+    if schemas is None:
+        return rows
+    # Only the folders' names are needed: without its content no file is opened.
+    folders = spark.read.format("binaryFile").load(path).select("table_schema").distinct()
+    asked = schemas.select("table_schema").where("table_schema <> ''")
+    there = asked.join(folders, "table_schema", "left_semi").distinct()
+    names = [r[0] for r in there.take(limit + 1)]
+    if len(names) > limit:
+        return rows.join(there, "table_schema", "left_semi").select(*rows.columns)
+    return rows.where(F.col("table_schema").isin(sorted(names)))

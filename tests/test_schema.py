@@ -186,3 +186,24 @@ def test_kept_listing_is_read_by_schemas(spark, tmp_path):
     write_columns(spark.createDataFrame([("q.gold.d", "k")], "table_name string, column_name string"), path)
     again = read_columns(spark, path, spark.createDataFrame([("p.gold",), ("q.gold",)], "table_schema string"))
     assert rows(again, "table_name", "column_name") == [*tables[:2], ("q.gold.d", "k")]
+
+
+def test_kept_listing_is_read_for_any_number_of_schemas(spark, tmp_path):
+    """Names without a folder are no matter of the driver; folders beyond the limit are joined."""
+    path = str(tmp_path / "columns")
+    tables = [(f"p.s{i}.t", c) for i in range(6) for c in ("id", "ts")]
+    write_columns(spark.createDataFrame(tables, "table_name string, column_name string"), path)
+    odd = spark.range(50).select(F.concat(F.lit("p.s1.x_"), "id", F.lit("/ p.s2")).alias("table_schema"))
+    few = odd.union(spark.createDataFrame([("p.s1",), ("p.s4",), ("p.s4",), (None,), ("",)], "table_schema string"))
+    found = read_columns(spark, path, few, limit=2)
+    assert rows(found, "table_name", "column_name") == [t for t in tables if t[0] in ("p.s1.t", "p.s4.t")]
+    # Other folders are not opened.
+    for file in (tmp_path / "columns/table_schema=p.s5").glob("part-*"):
+        file.write_bytes(b"broken" * 100)
+    assert rows(found, "table_name", "column_name") == [t for t in tables if t[0] in ("p.s1.t", "p.s4.t")]
+    more = few.union(spark.createDataFrame([("p.s0",)], "table_schema string"))
+    write_columns(spark.createDataFrame(tables[10:], "table_name string, column_name string"), path)
+    found = read_columns(spark, path, more, limit=2)
+    assert found.columns == read_columns(spark, path).columns
+    assert rows(found, "table_name", "column_name") == [t for t in tables if t[0] in ("p.s0.t", "p.s1.t", "p.s4.t")]
+    assert rows(read_columns(spark, path, odd, limit=2)) == []
